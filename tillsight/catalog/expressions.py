@@ -181,7 +181,7 @@ def filter_baseline(spark, sf_dir):
 @query(
     "topk_per_group",
     on_retail(
-        "SELECT location, item_purchased, n, rn FROM (SELECT location, item_purchased, COUNT(*) AS n, ROW_NUMBER() OVER "
+        "SELECT location, item_purchased, n, CAST(rn AS INT) AS rn FROM (SELECT location, item_purchased, COUNT(*) AS n, ROW_NUMBER() OVER "
         "(PARTITION BY location ORDER BY COUNT(*) DESC, item_purchased) AS rn FROM retail GROUP BY location, item_purchased) WHERE rn <= 5"
     ),
 )

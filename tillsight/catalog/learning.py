@@ -218,7 +218,7 @@ def novel_recs_als(spark, sf_dir):
 @query(
     "novel_recs_popularity",
     on_retail(
-        "SELECT user_id, item_purchased, buyers, rank FROM (SELECT u.user_id, c.item_purchased, c.buyers, "
+        "SELECT user_id, item_purchased, buyers, CAST(rank AS INT) AS rank FROM (SELECT u.user_id, c.item_purchased, c.buyers, "
         "ROW_NUMBER() OVER (PARTITION BY u.user_id ORDER BY c.buyers DESC, c.item_purchased) AS rank FROM "
         "(SELECT DISTINCT user_id FROM history) u CROSS JOIN (SELECT item_purchased, COUNT(*) AS buyers FROM history GROUP BY 1) c "
         "ANTI JOIN history h ON h.user_id = u.user_id AND h.item_purchased = c.item_purchased) WHERE rank <= 3",

@@ -22,7 +22,7 @@ def _counts(spark, sf_dir, *keys):
 @query(
     "win_row_number",
     on_retail(
-        "SELECT category, item_purchased, n, ROW_NUMBER() OVER (PARTITION BY category ORDER BY n DESC, item_purchased) AS rn "
+        "SELECT category, item_purchased, n, CAST(ROW_NUMBER() OVER (PARTITION BY category ORDER BY n DESC, item_purchased) AS INT) AS rn "
         "FROM (SELECT category, item_purchased, COUNT(*) AS n FROM retail GROUP BY 1, 2)"
     ),
 )
@@ -33,7 +33,7 @@ def win_row_number(spark, sf_dir):
 @query(
     "win_rank_partitioned",
     on_retail(
-        "SELECT location, age, n, RANK() OVER (PARTITION BY location ORDER BY n DESC) AS rank "
+        "SELECT location, age, n, CAST(RANK() OVER (PARTITION BY location ORDER BY n DESC) AS INT) AS rank "
         "FROM (SELECT location, age, COUNT(*) AS n FROM retail GROUP BY 1, 2)"
     ),
 )
@@ -44,7 +44,7 @@ def win_rank_partitioned(spark, sf_dir):
 @query(
     "win_rank_global",
     on_retail(
-        "SELECT color, n, revenue, RANK() OVER (ORDER BY n DESC) AS by_count, RANK() OVER (ORDER BY revenue DESC) AS by_revenue "
+        "SELECT color, n, revenue, CAST(RANK() OVER (ORDER BY n DESC) AS INT) AS by_count, CAST(RANK() OVER (ORDER BY revenue DESC) AS INT) AS by_revenue "
         f"FROM (SELECT color, COUNT(*) AS n, {tot('purchase_amount')} AS revenue FROM retail GROUP BY 1)"
     ),
 )
@@ -124,7 +124,7 @@ def win_zscore(spark, sf_dir):
 @query(
     "topk_per_user",
     on_retail(
-        "SELECT customer_id, item_purchased, spent, rank FROM (SELECT customer_id, item_purchased, CAST(SUM(purchase_amount) AS DOUBLE) AS spent, "
+        "SELECT customer_id, item_purchased, spent, CAST(rank AS INT) AS rank FROM (SELECT customer_id, item_purchased, CAST(SUM(purchase_amount) AS DOUBLE) AS spent, "
         "ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY SUM(purchase_amount) DESC, item_purchased) AS rank "
         "FROM retail GROUP BY 1, 2) WHERE rank <= 3"
     ),

@@ -38,7 +38,7 @@ _report(
     "report_top_categories",
     reports.top_categories,
     on_retail(
-        "SELECT age_group, category, purchase_count, total_revenue, avg_purchase, avg_rating, percentage_of_age_group, popularity_rank "
+        "SELECT age_group, category, purchase_count, total_revenue, avg_purchase, avg_rating, percentage_of_age_group, CAST(popularity_rank AS INT) AS popularity_rank "
         f"FROM (SELECT *, {pct('purchase_count', 'SUM(purchase_count) OVER (PARTITION BY age_group)')} AS percentage_of_age_group, "
         "ROW_NUMBER() OVER (PARTITION BY age_group ORDER BY purchase_count DESC, category) AS popularity_rank FROM stats) "
         "WHERE popularity_rank <= 3 ORDER BY age_group, popularity_rank",
@@ -89,7 +89,7 @@ _report(
     on_retail(
         f"SELECT s.payment_method, n AS transaction_count, avg_purchase, {rnd('m.median')} AS median_purchase, min_purchase, max_purchase, "
         f"stddev, total_revenue, avg_rating, avg_customer_age, subscriber_rate, {pct('n', 'SUM(n) OVER ()')} AS market_share, "
-        "RANK() OVER (ORDER BY avg_purchase DESC) AS spending_rank, RANK() OVER (ORDER BY n DESC) AS popularity_rank "
+        "CAST(RANK() OVER (ORDER BY avg_purchase DESC) AS INT) AS spending_rank, CAST(RANK() OVER (ORDER BY n DESC) AS INT) AS popularity_rank "
         "FROM stats s JOIN medians m ON s.payment_method = m.payment_method",
         stats=f"SELECT payment_method, COUNT(*) AS n, {avg(AMOUNT)} AS avg_purchase, {_low_high()}, {sd(AMOUNT)} AS stddev, "
         f"{tot(AMOUNT)} AS total_revenue, {avg(RATING)} AS avg_rating, {avg('age', 1)} AS avg_customer_age, "
@@ -104,7 +104,7 @@ _report(
     on_retail(
         "SELECT * FROM (SELECT season, category, n AS sales_volume, revenue, avg_price, avg_rating, discount_rate, "
         f"{pct('n', 'SUM(n) OVER (PARTITION BY season)')} AS pct_of_season, "
-        "RANK() OVER (PARTITION BY season ORDER BY revenue DESC) AS revenue_rank FROM stats) WHERE revenue_rank <= 3",
+        "CAST(RANK() OVER (PARTITION BY season ORDER BY revenue DESC) AS INT) AS revenue_rank FROM stats) WHERE revenue_rank <= 3",
         stats=f"SELECT season, category, COUNT(*) AS n, {tot(AMOUNT)} AS revenue, {avg(AMOUNT)} AS avg_price, "
         f"{avg(RATING)} AS avg_rating, {share(_DISCOUNTED)} AS discount_rate FROM retail GROUP BY 1, 2",
     ),

@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from py4j.protocol import Py4JJavaError
 
+from ..sources.shared import materialize
 from .features import assembler, encoder_stages, fit_index
 
 
@@ -63,21 +64,18 @@ def train(df: DataFrame, spec: ForestSpec) -> PipelineModel:
     The label index is fitted here too, so that test rows have no say in it; a row whose
     target was not met in training is skipped and no extra class is made for it.
     """
-    rows = df.select(spec.target, *spec.inputs).persist()
-    try:
-        label = fit_index(rows, spec.target, "label", unseen="skip")
-        stages = [
-            label,
-            *encoder_stages(spec.categorical),
-            assembler(spec.categorical, spec.numeric),
-            RandomForestClassifier(
-                labelCol="label", featuresCol="features", numTrees=spec.trees, maxDepth=spec.depth, seed=spec.seed
-            ),
-            IndexToString(inputCol="prediction", outputCol=spec.predicted, labels=label.labels),
-        ]
-        return Pipeline(stages=stages).fit(rows)
-    finally:
-        rows.unpersist()
+    rows = materialize(df.select(spec.target, *spec.inputs))
+    label = fit_index(rows, spec.target, "label", unseen="skip")
+    stages = [
+        label,
+        *encoder_stages(spec.categorical),
+        assembler(spec.categorical, spec.numeric),
+        RandomForestClassifier(
+            labelCol="label", featuresCol="features", numTrees=spec.trees, maxDepth=spec.depth, seed=spec.seed
+        ),
+        IndexToString(inputCol="prediction", outputCol=spec.predicted, labels=label.labels),
+    ]
+    return Pipeline(stages=stages).fit(rows)
 
 
 def class_labels(model: PipelineModel) -> list[str]:

@@ -30,12 +30,12 @@ def label_frame(model: StringIndexerModel, df: DataFrame, column: str, out: str)
 
 
 def encoder_stages(categorical: Sequence[str]) -> list:
-    """Index and one-hot encode each column; unseen values get an index of their own."""
-    stages: list = []
-    for c in categorical:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_hot"))
-    return stages
+    """Index and one-hot encode all columns, in one pass; unseen values get an index of their own."""
+    indexed = [f"{c}_index" for c in categorical]
+    return [
+        StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep"),
+        OneHotEncoder(inputCols=indexed, outputCols=[f"{c}_hot" for c in categorical]),
+    ]
 
 
 def assembler(categorical: Sequence[str], numeric: Sequence[str], invalid: str = "keep") -> VectorAssembler:

@@ -13,50 +13,60 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DecimalType
 
-_ACCURACY = 10_000
-
+from ..sources.shared import materialize
 
-def _cut_points(x: Column, slices: int) -> Column:
-    return F.array_distinct(F.percentile_approx(x, [i / slices for i in range(1, slices)], _ACCURACY))
+_ACCURACY = 10_000
+_EXACT_IN_DOUBLE = 2.0**53
 
 
-def _below(cuts: str, x: Column) -> Column:
-    """Number of cut points smaller than ``x``."""
-    return F.size(F.filter(cuts, lambda c: c < x))
+def _cut_points(df: DataFrame, slices: int, **columns: Column) -> dict[str, list[float]]:
+    """Percentiles of numeric columns: at most ``slices`` numbers each reach the driver."""
+    probs = [i / slices for i in range(1, slices)]
+    row = df.agg(
+        *[F.percentile_approx(c.cast("double"), probs, _ACCURACY).alias(n) for n, c in columns.items()]
+    ).first()
+    return {n: sorted({x for x in (row[n] or []) if x == x}) for n in columns}
 
 
-def _slice_cuts(df: DataFrame, key: Column, id_col: str, slices: int) -> Column:
-    """One struct with the cut points of the key and of the id."""
+def _with_slice_number(df: DataFrame, x: Column, cuts: list[float], out: str) -> DataFrame:
+    """Number of cut points up to ``x``, by binary search; NULL gets NULL."""
+    splits = [float("-inf"), *[c for c in cuts if abs(c) != float("inf")], float("inf")]
+    if len(splits) == 2:
+        return df.withColumn(out, F.when(x.isNotNull(), 0))
+    search = Bucketizer(splits=splits, inputCol="_x", outputCol="_bucket", handleInvalid="keep")
+    filled = df.withColumn("_x", F.coalesce(x.cast("double"), F.lit(float("nan"))))
     return (
-        df.select(key.alias("_key"), F.col(id_col).alias("_id"))
-        .agg(
-            F.struct(
-                _cut_points(F.col("_key"), slices).alias("key"),
-                _cut_points(F.col("_id"), slices).alias("id"),
-            )
-        )
-        .scalar()
+        search.transform(filled)
+        .withColumn(out, F.when(x.isNotNull(), F.col("_bucket").cast("int")))
+        .drop("_x", "_bucket")
     )
 
 
-def _with_slices(df: DataFrame, key: Column, id_col: str, cuts: Column) -> DataFrame:
-    """Add ``_key`` and the slice number pair ``(_slice, _sub)``; NULL keys come first."""
-    alone = F.coalesce(F.array_contains("_key_cuts", F.col("_key")), F.col("_key").isNull())
-    return (
-        df.withColumns({"_key": key, "_cuts": cuts})
-        .withColumns({"_key_cuts": F.col("_cuts.key"), "_id_cuts": F.col("_cuts.id")})
-        .withColumns(
-            {
-                "_slice": F.when(F.col("_key").isNull(), -1).otherwise(
-                    _below("_key_cuts", F.col("_key")) * 2 + alone.cast("int")
-                ),
-                "_sub": F.when(alone, _below("_id_cuts", F.col(id_col))).otherwise(0),
-            }
-        )
-        .drop("_cuts", "_key_cuts", "_id_cuts")
-    )
+def _with_slices(df: DataFrame, key: Column, id_col: str, cuts: dict[str, list[float]]) -> DataFrame:
+    """Add ``_key`` and the slice number pair ``(_slice, _sub)``; NULL keys come first.
+
+    Slices of a cut point alone have odd numbers.  They are cut again by id unless different
+    keys could share one DOUBLE.
+    """
+    keyed = df.withColumn("_key", key)
+    kind = keyed.schema["_key"].dataType
+    scale = kind.scale if isinstance(kind, DecimalType) else 0
+    x = F.col("_key").cast("double")
+    numbered = _with_slice_number(keyed, F.col("_key"), cuts["key"], "_upto")
+    numbered = _with_slice_number(numbered, F.col(id_col), cuts["id"], "_id_upto")
+    points = F.array(*[F.lit(c) for c in cuts["key"]]) if cuts["key"] else F.array().cast("array<double>")
+    on_cut = F.coalesce(F.get(points, F.col("_upto") - 1) == x, F.lit(False))
+    alone = F.col("_key").isNull() | (on_cut & (F.abs(x) < _EXACT_IN_DOUBLE / 10**scale))
+    return numbered.withColumns(
+        {
+            "_slice": F.coalesce(F.col("_upto") * 2 - on_cut.cast("int"), F.lit(-2)),
+            "_sub": F.when(alone, F.col("_id_upto")).otherwise(0),
+        }
+    ).drop("_upto", "_id_upto")
 
 
 def _earlier_slices():
@@ -80,7 +90,7 @@ def global_row_number(
     """
     source = df if source is None else source
     key = -F.col(order_col) if descending else F.col(order_col)
-    cuts = _slice_cuts(source, key, id_col, slices)
+    cuts = _cut_points(source, slices, key=key, id=F.col(id_col))
     offsets = (
         _with_slices(source.select(order_col, id_col), key, id_col, cuts)
         .groupBy("_slice", "_sub")
@@ -129,7 +139,8 @@ def global_running_sum(
 
     ``order_col`` must be unique and not NULL, as it is after grouping by it.
     """
-    sliced = _with_slices(df, F.col(order_col), order_col, _slice_cuts(df, F.col(order_col), order_col, slices))
+    cuts = _cut_points(df, slices, key=F.col(order_col), id=F.col(order_col))
+    sliced = _with_slices(df, F.col(order_col), order_col, cuts)
     offsets = (
         sliced.groupBy("_slice", "_sub")
         .agg(*[F.sum(m).alias(f"_s_{m}") for m in measures])
@@ -161,15 +172,13 @@ def exact_quantiles(
     part of all rows is never gathered in one task.
     """
     groups = list(groups)
-    counted = (
+    counted = materialize(
         df.where(F.col(value).isNotNull())
         .groupBy(*groups, F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 0)
     )
-    cuts = counted.agg(_cut_points(F.col("_v"), slices)).scalar()
-    sliced = (
-        counted.withColumn("_cuts", cuts).withColumn("_slice", _below("_cuts", F.col("_v"))).drop("_cuts")
+    sliced = _with_slice_number(
+        counted, F.col("_v"), _cut_points(counted, slices, v=F.col("_v"))["v"], "_slice"
     )
     in_group = Window.partitionBy(*groups)
     earlier = in_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

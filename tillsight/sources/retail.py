@@ -51,11 +51,27 @@ RETAIL_FILE_SCHEMA = ", ".join(
     ]
 )
 
+# Columns of the order and event tables, so that opening one starts no job.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
 FILE_COLUMN_RENAMES = {display: name for name, display in DISPLAY_NAMES.items()}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def retail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,64 +83,44 @@ def retail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     customers = (
         table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("c_custkey"),
-            (F.lit(18) + F.col("c_custkey") % 53).cast("int").alias("age"),
-            F.when(F.col("c_custkey") % 3 == 0, "Female").otherwise("Male").alias("gender"),
-            F.col("n_name").alias("location"),
-            F.when(F.col("c_custkey") % 4 == 0, "Yes").otherwise("No").alias("subscription_status"),
-            F.greatest(F.lit(0), F.floor(F.col("c_acctbal") / 200)).cast("int").alias("previous_purchases"),
-            F.col("c_mktsegment").alias("frequency_of_purchases"),
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .selectExpr(
+            "c_custkey",
+            "CAST(18 + c_custkey % 53 AS INT) AS age",
+            "CASE WHEN c_custkey % 3 = 0 THEN 'Female' ELSE 'Male' END AS gender",
+            "n_name AS location",
+            "CASE WHEN c_custkey % 4 = 0 THEN 'Yes' ELSE 'No' END AS subscription_status",
+            "CAST(greatest(0, floor(c_acctbal / 200)) AS INT) AS previous_purchases",
+            "c_mktsegment AS frequency_of_purchases",
         )
     )
-    orders = (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderpriority")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    )
-    products = table(spark, sf_dir, "part").select(
-        "p_partkey",
-        F.col("p_name").alias("item_purchased"),
-        F.col("p_type").alias("category"),
-        F.when(F.col("p_size") <= 12, "S")
-        .when(F.col("p_size") <= 25, "M")
-        .when(F.col("p_size") <= 38, "L")
-        .otherwise("XL")
-        .alias("size"),
-        F.col("p_brand").alias("color"),
-    )
-    month = F.month("l_shipdate")
+    orders = table(spark, sf_dir, "orders").join(customers, F.expr("o_custkey = c_custkey"))
+    products = table(spark, sf_dir, "part")
     return (
         table(spark, sf_dir, "lineitem")
-        .join(products, F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            F.col("o_custkey").alias("customer_id"),
+        .join(products, F.expr("l_partkey = p_partkey"))
+        .join(orders, F.expr("l_orderkey = o_orderkey"))
+        .selectExpr(
+            "o_custkey AS customer_id",
             "age",
             "gender",
-            "item_purchased",
-            "category",
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("purchase_amount"),
+            "p_name AS item_purchased",
+            "p_type AS category",
+            "CAST(l_extendedprice AS DECIMAL(12,2)) AS purchase_amount",
             "location",
-            "size",
-            "color",
-            F.when(month.isin(12, 1, 2), "Winter")
-            .when(month.isin(3, 4, 5), "Spring")
-            .when(month.isin(6, 7, 8), "Summer")
-            .otherwise("Fall")
-            .alias("season"),
-            ((F.lit(25) + (F.col("l_partkey") * 7 + F.col("l_linenumber")) % 26).cast("double") / 10)
-            .cast("decimal(2,1)")
-            .alias("review_rating"),
+            "CASE WHEN p_size <= 12 THEN 'S' WHEN p_size <= 25 THEN 'M' WHEN p_size <= 38 THEN 'L' ELSE 'XL' END AS size",
+            "p_brand AS color",
+            "CASE WHEN month(l_shipdate) IN (12, 1, 2) THEN 'Winter' WHEN month(l_shipdate) IN (3, 4, 5) THEN 'Spring' "
+            "WHEN month(l_shipdate) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season",
+            "CAST(CAST(25 + (l_partkey * 7 + l_linenumber) % 26 AS DOUBLE) / 10 AS DECIMAL(2,1)) AS review_rating",
             "subscription_status",
-            F.col("o_orderpriority").alias("shipping_type"),
-            F.when(F.col("l_discount") > 0.05, "Yes").otherwise("No").alias("discount_applied"),
-            F.when(F.col("l_tax") > 0.04, "Yes").otherwise("No").alias("promo_code_used"),
+            "o_orderpriority AS shipping_type",
+            "CASE WHEN l_discount > 0.05D THEN 'Yes' ELSE 'No' END AS discount_applied",
+            "CASE WHEN l_tax > 0.04D THEN 'Yes' ELSE 'No' END AS promo_code_used",
             "previous_purchases",
-            F.concat("l_returnflag", "l_linestatus").alias("payment_method"),
+            "l_returnflag || l_linestatus AS payment_method",
             "frequency_of_purchases",
-            F.col("l_orderkey").alias("order_id"),
+            "l_orderkey AS order_id",
         )
     )
 
