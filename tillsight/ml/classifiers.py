@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from py4j.protocol import Py4JJavaError
 
-from ..sources.shared import materialize
+from ..sources.shared import materialize, spread
 from .features import assembler, encoder_stages, fit_index
 
 
@@ -58,13 +58,27 @@ SEASONAL_LIGHT = ForestSpec(
 )
 
 
+def training_rows(df: DataFrame, spec: ForestSpec) -> DataFrame:
+    """The columns of a model as a stored table, which fitting reads several times.
+
+    The draw of the trees goes by position, so rows are sorted inside their partitions:
+    fitting twice on the same stored rows gives the same forest.
+    """
+    columns = [spec.target, *spec.inputs]
+    return spread(materialize(df.select(*columns))).sortWithinPartitions(*columns)
+
+
 def train(df: DataFrame, spec: ForestSpec) -> PipelineModel:
-    """Fit encoders and forest on the training rows, which are read several times.
+    """Store the training rows and fit on them."""
+    return fit_forest(training_rows(df, spec), spec)
+
+
+def fit_forest(rows: DataFrame, spec: ForestSpec) -> PipelineModel:
+    """Fit encoders and forest.
 
     The label index is fitted here too, so that test rows have no say in it; a row whose
     target was not met in training is skipped and no extra class is made for it.
     """
-    rows = materialize(df.select(spec.target, *spec.inputs))
     label = fit_index(rows, spec.target, "label", unseen="skip")
     stages = [
         label,

@@ -145,8 +145,11 @@ def affinity(
     all_baskets = items.agg(F.count_distinct("basket")).scalar()
     a = per_item.select(F.col("item").alias("item_a"), F.col("baskets").alias("baskets_a"))
     b = per_item.select(F.col("item").alias("item_b"), F.col("baskets").alias("baskets_b"))
-    both = F.col("baskets_with_both")
-    lift = ratio(both.cast("double") * F.col("all_baskets").cast("double"), F.col("baskets_a").cast("double") * F.col("baskets_b").cast("double"))
+    both = "baskets_with_both"
+    lift = ratio(
+        "CAST(baskets_with_both AS DOUBLE) * CAST(all_baskets AS DOUBLE)",
+        "CAST(baskets_a AS DOUBLE) * CAST(baskets_b AS DOUBLE)",
+    )
     return (
         frequent_pairs(items, min_support, max_set_items)
         .join(a, "item_a")

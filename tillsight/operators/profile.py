@@ -65,7 +65,7 @@ def null_counts(df: DataFrame) -> DataFrame:
             F.struct(
                 F.lit(f.name).alias("column_name"),
                 F.col(f"n{i}").alias("nulls"),
-                percent(F.col(f"n{i}"), F.col("rows")).alias("null_pct"),
+                percent(f"n{i}", "rows").alias("null_pct"),
             )
             for i, f in enumerate(df.schema.fields)
         ]
@@ -122,10 +122,17 @@ def mode_per_column(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def _correlations(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[tuple[str, str]]]:
     pairs = list(combinations(columns, 2))
-    aggs = [
-        F.corr(_quoted(a).cast("double"), _quoted(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)
-    ]
-    return df.agg(*aggs), pairs
+    return df.agg(*[F.expr(_pearson(a, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]), pairs
+
+
+def _pearson(a: str, b: str) -> str:
+    """Correlation over the rows where both are filled; NULL for a constant column.
+
+    The built-in ``corr`` stops with a division by zero there.
+    """
+    x, y = f"CAST(`{a}` AS DOUBLE)", f"CAST(`{b}` AS DOUBLE)"
+    spread = f"stddev_pop(CASE WHEN {y} IS NOT NULL THEN {x} END) * stddev_pop(CASE WHEN {x} IS NOT NULL THEN {y} END)"
+    return f"covar_pop({x}, {y}) / nullif({spread}, 0D)"
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
@@ -136,7 +143,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str], digits: int = 6) ->
             F.struct(
                 F.lit(a).alias("column_a"),
                 F.lit(b).alias("column_b"),
-                round_half_up(F.nanvl(F.col(f"r{i}"), F.lit(None).cast("double")), digits).alias("correlation"),
+                round_half_up(f"r{i}", digits).alias("correlation"),
             )
             for i, (a, b) in enumerate(pairs)
         ]
@@ -184,8 +191,8 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("lo"), F.min("width").alias("width"))
         .select(
             "bin",
-            round_half_up(F.col("lo") + F.col("bin") * F.col("width"), 4).alias("bin_start"),
-            round_half_up(F.col("lo") + (F.col("bin") + 1) * F.col("width"), 4).alias("bin_end"),
+            round_half_up("lo + bin * width", 4).alias("bin_start"),
+            round_half_up("lo + (bin + 1) * width", 4).alias("bin_end"),
             "n",
         )
     )

@@ -45,7 +45,8 @@ def share_in_group(df: DataFrame, groups: Sequence[str], measure: str, out: str,
 
     Meant for frames that are aggregated already and hold one row per dimension value.
     """
-    return df.withColumn(out, percent(F.col(measure), F.sum(measure).over(Window.partitionBy(*groups)), digits))
+    whole = F.sum(measure).over(Window.partitionBy(*groups))
+    return df.withColumn("_whole", whole).withColumn(out, percent(measure, "_whole", digits)).drop("_whole")
 
 
 def top_rows(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.bands import AGE_GENERATIONS, Bands, bucketize
 from ..functions.numeric import (
-    count_where,
     exact_mean,
     mean,
     percent,
@@ -35,8 +34,8 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def _yes(column: str) -> Column:
-    return F.col(column) == "Yes"
+def _yes(column: str) -> str:
+    return f"{column} = 'Yes'"
 
 
 def _everything():
@@ -73,8 +72,8 @@ def subscription_frequency(retail: DataFrame, weighted: bool = False) -> DataFra
         mean(RATING).alias("avg_rating"),
         mean(AGE, 1).alias("avg_age"),
     )
-    group_amount = ratio(F.sum("amount_sum"), F.sum("customer_count")) if weighted else F.avg("amount")
-    group_history = ratio(F.sum("history_sum"), F.sum("customer_count")) if weighted else F.avg("history")
+    group_amount = ratio("sum(amount_sum)", "sum(customer_count)") if weighted else F.avg("amount")
+    group_history = ratio("sum(history_sum)", "sum(customer_count)") if weighted else F.avg("history")
     joined = join_rollup(
         detail,
         ["subscription_status"],
@@ -247,10 +246,10 @@ def lifetime_value(retail: DataFrame) -> DataFrame:
             _rows().alias("customer_count"),
             mean("lifetime_value").alias("avg_lifetime_value"),
             mean("total_transactions", 1).alias("avg_transactions"),
-            round_half_up(F.avg("avg_transaction")).alias("avg_transaction_size"),
+            round_half_up("avg(avg_transaction)").alias("avg_transaction_size"),
             mean(AGE, 1).alias("avg_age"),
             mean("loyalty_score", 1).alias("avg_loyalty_score"),
-            round_half_up(F.avg("avg_rating")).alias("avg_rating"),
+            round_half_up("avg(avg_rating)").alias("avg_rating"),
             share_where(_yes("is_subscriber")).alias("subscriber_rate"),
             total("lifetime_value").alias("segment_total_value"),
         )
@@ -274,7 +273,7 @@ def shipping_preferences(retail: DataFrame) -> DataFrame:
     joined = join_rollup(
         detail,
         ["shipping_type"],
-        {"type_rows": F.sum("order_count"), "shipping_type_avg": round_half_up(F.avg("amount"))},
+        {"type_rows": F.sum("order_count"), "shipping_type_avg": round_half_up("avg(amount)")},
     )
     return joined.select(
         "shipping_type",
@@ -301,8 +300,8 @@ def location_markets(retail: DataFrame, top: int = 20) -> DataFrame:
         mean(AGE, 1).alias("avg_customer_age"),
         mean(RATING).alias("avg_rating"),
         share_where(_yes("subscription_status")).alias("subscription_rate"),
-        share_where(F.col("gender") == "Male").alias("male_pct"),
-        share_where(F.col("gender") == "Female").alias("female_pct"),
+        share_where("gender = 'Male'").alias("male_pct"),
+        share_where("gender = 'Female'").alias("female_pct"),
         mean("previous_purchases", 1).alias("avg_loyalty"),
     )
     leaders = first_per_group(
