@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tillsight.operators.ordering import exact_quantiles, global_ntile, global_row_number, global_running_sum
+from tillsight.operators.ordering import exact_quantiles, global_ntiles, global_running_sum
 from tillsight.operators.ranking import share_in_group, top_k_per_group
 
 
@@ -29,21 +29,30 @@ SHAPES = {
 }
 
 
+def _tiles(order, tiles):
+    """Tile of each id from its place in the whole order."""
+    n = len(order)
+    sizes = [n // tiles + (1 if t < n % tiles else 0) for t in range(tiles)]
+    by_place = [t for t, size in enumerate(sizes, start=1) for _ in range(size)]
+    return {i: by_place[place - 1] for i, place in order.items()}
+
+
 @pytest.mark.parametrize("shape", SHAPES)
 @pytest.mark.parametrize("descending", [False, True])
-def test_row_number_over_everything(spark, shape, descending):
+@pytest.mark.parametrize("tiles", [4, 17])
+def test_tiles_over_everything(spark, shape, descending, tiles):
     values = SHAPES[shape]
-    got = global_row_number(_frame(spark, values), "v", "id", "rn", descending, slices=8)
-    assert {r["id"]: r["rn"] for r in got.collect()} == _expected_order(values, descending)
+    got = global_ntiles(_frame(spark, values), "id", {"t": "v"}, tiles, descending, slices=8)
+    assert {r["id"]: r["t"] for r in got.collect()} == _tiles(_expected_order(values, descending), tiles)
 
 
 def test_empty_input(spark):
-    assert global_ntile(_frame(spark, [1.0]).where("id < 0"), "v", "id", "t").count() == 0
+    assert global_ntiles(_frame(spark, [1.0]).where("id < 0"), "id", {"t": "v"}).count() == 0
 
 
 @pytest.mark.parametrize("n", [1, 3, 4, 5, 10])
 def test_tile_sizes(spark, n):
-    got = global_ntile(_frame(spark, [float(i % 3) for i in range(n)]), "v", "id", "t", tiles=4, slices=4)
+    got = global_ntiles(_frame(spark, [float(i % 3) for i in range(n)]), "id", {"t": "v"}, tiles=4, slices=4)
     sizes = [got.where(F.col("t") == t).count() for t in (1, 2, 3, 4)]
     assert sizes == [n // 4 + (1 if t < n % 4 else 0) for t in range(4)]
 
@@ -53,10 +62,19 @@ def test_large_decimals_that_share_a_double(spark):
     base = 10**20
     rows = [(i, f"{base + (i * 7) % 40}") for i in range(40)]
     df = spark.createDataFrame(rows, "id BIGINT, s STRING").select("id", F.col("s").cast("decimal(22,0)").alias("v"))
-    got = {r["id"]: r["rn"] for r in global_row_number(df, "v", "id", "rn", slices=8).collect()}
+    got = {r["id"]: r["t"] for r in global_ntiles(df, "id", {"t": "v"}, tiles=40, slices=8).collect()}
     assert got == {i: n for n, i in enumerate(sorted(range(40), key=lambda i: (i * 7) % 40), start=1)}
 
 
+def test_several_orders_at_once(spark):
+    rows = [(i, (i * 31) % 97, i % 5) for i in range(90)]
+    df = spark.createDataFrame(rows, "id BIGINT, a INT, b INT")
+    got = global_ntiles(df, "id", {"ta": "a", "tb": "b"}, slices=8).collect()
+    for out, c in (("ta", 1), ("tb", 2)):
+        order = {r[0]: n for n, r in enumerate(sorted(rows, key=lambda r: (r[c], r[0])), start=1)}
+        assert {r["id"]: r[out] for r in got} == _tiles(order, 4)
+
+
 def test_running_sum(spark):
     rows = [(float(v), v % 7) for v in random.Random(3).sample(range(5_000), 400)]
     df = spark.createDataFrame(rows, "v DOUBLE, m BIGINT")

@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from ..functions.numeric import exact_mean, round_half_up, total
 from ..operators.joins import with_baseline
-from ..operators.ordering import global_ntile
+from ..operators.ordering import global_ntiles
 from ..operators.ranking import number_in_group, rank_in_group, share_in_group, top_k_per_group, top_rows
 from ..operators.sampling import sample_with_replacement, split_point
 from ..plans.reports import customer_metrics
@@ -68,10 +68,8 @@ def win_rank_global(spark, sf_dir):
 )
 def win_ntile(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_custkey")
-    tiled = global_ntile(orders, "o_totalprice", "o_orderkey", "price_quartile")
-    tiled = global_ntile(
-        tiled, "o_custkey", "o_orderkey", "customer_decile", tiles=10, descending=True, source=orders
-    )
+    tiled = global_ntiles(orders, "o_orderkey", {"price_quartile": "o_totalprice"})
+    tiled = global_ntiles(tiled, "o_orderkey", {"customer_decile": "o_custkey"}, tiles=10, descending=True)
     return tiled.select("o_orderkey", "price_quartile", "customer_decile")
 
 

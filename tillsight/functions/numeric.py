@@ -16,12 +16,13 @@ def _col(c: Value) -> Column:
     return F.expr(c) if isinstance(c, str) else c
 
 
-def _ratio_sql(num: str, den: str) -> str:
+def ratio_sql(num: str, den: str) -> str:
+    """Text of :func:`ratio`."""
     return f"(CAST({num} AS DOUBLE) / nullif(CAST({den} AS DOUBLE), 0D))"
 
 
 def _mean_sql(x: str) -> str:
-    return _ratio_sql(f"sum({x})", f"count({x})")
+    return ratio_sql(f"sum({x})", f"count({x})")
 
 
 def round_half_up(x: Value, digits: int = 2) -> Column:
@@ -36,20 +37,20 @@ def round_half_up(x: Value, digits: int = 2) -> Column:
 def ratio(num: Value, den: Value) -> Column:
     """``num / den`` as DOUBLE; NULL where the denominator is zero or NULL."""
     if isinstance(num, str) and isinstance(den, str):
-        return F.expr(_ratio_sql(num, den))
+        return F.expr(ratio_sql(num, den))
     return _col(num).cast("double") / F.nullif(_col(den).cast("double"), F.lit(0.0))
 
 
 def percent(num: Value, den: Value, digits: int = 2) -> Column:
     """``num`` as a rounded percentage of ``den``."""
     if isinstance(num, str) and isinstance(den, str):
-        return round_half_up(_ratio_sql(f"CAST({num} AS DOUBLE) * 100D", den), digits)
+        return round_half_up(ratio_sql(f"CAST({num} AS DOUBLE) * 100D", den), digits)
     return round_half_up(ratio(_col(num).cast("double") * 100.0, den), digits)
 
 
 def relative_difference(x: str, base: str, digits: int = 2) -> Column:
     """Rounded percentage by which ``x`` lies above ``base``."""
-    return round_half_up(f"{_ratio_sql(f'CAST({x} AS DOUBLE) - CAST({base} AS DOUBLE)', base)} * 100D", digits)
+    return round_half_up(f"{ratio_sql(f'CAST({x} AS DOUBLE) - CAST({base} AS DOUBLE)', base)} * 100D", digits)
 
 
 def exact_mean(x: Value) -> Column:

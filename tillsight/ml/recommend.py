@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.numeric import exact_mean
 from ..operators.joins import lookup, minus_history
 from ..operators.ranking import top_k_per_group
+from ..sources.shared import materialize
 from .features import fit_index
 
 
@@ -68,9 +69,11 @@ def load_or_train_als(path: str, fit) -> ALSModel:
 
 def recommend_all(model: ALSModel, n: int) -> DataFrame:
     """The best ``n`` items of every user as rows."""
-    return model.recommendForAllUsers(n).select("user_id", F.inline("recommendations")).withColumnRenamed(
-        "rating", "predicted_rating"
-    )
+    return _as_rows(model.recommendForAllUsers(n))
+
+
+def _as_rows(lists: DataFrame) -> DataFrame:
+    return lists.select("user_id", F.inline("recommendations")).withColumnRenamed("rating", "predicted_rating")
 
 
 def novel_recommendations(
@@ -79,10 +82,23 @@ def novel_recommendations(
     """The best ``k`` items per user among those the user has not bought.
 
     ``history`` holds ``user_id`` and ``item_id``.  A user with ``h`` bought items has ``k``
-    new ones among the best ``k + h``, so that many candidates are scored and no more.
+    new ones among the best ``k + h``.  Users are asked for by classes of history length, so
+    that one user who bought nearly everything does not lengthen the lists of all others.
     """
-    longest = history.groupBy("user_id").agg(F.count_distinct("item_id").alias("h")).agg(F.max("h")).first()[0] or 0
-    fresh = minus_history(recommend_all(model, k + longest), history, ["user_id", "item_id"])
+    bought = materialize(history.distinct())
+    users = materialize(
+        bought.groupBy("user_id").agg(F.count(F.lit(1)).alias("h")).select(
+            "user_id", F.ceil(F.log(F.lit(4.0), F.col("h").cast("double"))).cast("int").alias("length_class")
+        )
+    )
+    candidates = None
+    for (c,) in users.select("length_class").distinct().collect():
+        subset = users.where(F.col("length_class") == c).select("user_id")
+        best = _as_rows(model.recommendForUserSubset(subset, k + 4**c))
+        candidates = best if candidates is None else candidates.union(best)
+    if candidates is None:
+        candidates = recommend_all(model, k)
+    fresh = minus_history(candidates, bought, ["user_id", "item_id"])
     best = top_k_per_group(fresh, ["user_id"], [F.desc("predicted_rating"), "item_id"], k, out="rank")
     return lookup(best, labels, "item_id").select("user_id", item, "predicted_rating", "rank")
 

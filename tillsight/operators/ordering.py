@@ -73,63 +73,80 @@ def _earlier_slices():
     return Window.orderBy("_slice", "_sub").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def global_row_number(
-    df: DataFrame,
-    order_col: str,
-    id_col: str,
-    out: str,
-    descending: bool = False,
-    slices: int = 128,
-    source: DataFrame | None = None,
+def _ranked(
+    source: DataFrame, key: Column, id_col: str, cuts: dict[str, list[float]], wanted: Column
 ) -> DataFrame:
-    """``row_number()`` over the whole table by a numeric column, ties by a unique numeric id.
+    """The rows whose rank is in the array ``wanted``, which may use ``_rows``.
 
-    NULLs come first.  Also adds ``_rows``, the number of rows in the table.  ``source`` is a
-    cheaper frame with the same order and id values, for the passes that only count: the
-    materialized table when ``df`` is already the result of another ordering function.
+    Only the slices that hold a wanted rank are sorted.  Their offsets are at most
+    ``slices`` squared small rows, so they can be broadcast.
     """
-    source = df if source is None else source
-    key = -F.col(order_col) if descending else F.col(order_col)
-    cuts = _cut_points(source, slices, key=key, id=F.col(id_col))
+    sliced = _with_slices(source, key, id_col, cuts)
     offsets = (
-        _with_slices(source.select(order_col, id_col), key, id_col, cuts)
-        .groupBy("_slice", "_sub")
+        sliced.groupBy("_slice", "_sub")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
             "_slice",
             "_sub",
+            "_n",
             F.coalesce(F.sum("_n").over(_earlier_slices()), F.lit(0)).alias("_offset"),
             F.sum("_n").over(Window.partitionBy()).alias("_rows"),
         )
+        .withColumn("_wanted", wanted)
+        .where(F.exists("_wanted", lambda r: (r > F.col("_offset")) & (r <= F.col("_offset") + F.col("_n"))))
     )
     inside = Window.partitionBy("_slice", "_sub").orderBy("_key", id_col)
     return (
-        _with_slices(df, key, id_col, cuts)
-        .join(offsets, ["_slice", "_sub"])
-        .withColumn(out, F.col("_offset") + F.row_number().over(inside))
-        .drop("_slice", "_sub", "_key", "_offset")
+        sliced.join(F.broadcast(offsets), ["_slice", "_sub"])
+        .withColumn("_rank", F.col("_offset") + F.row_number().over(inside))
+        .where(F.array_contains("_wanted", F.col("_rank")))
     )
 
 
-def global_ntile(
-    df: DataFrame,
-    order_col: str,
-    id_col: str,
-    out: str,
-    tiles: int = 4,
-    descending: bool = False,
-    slices: int = 128,
-    source: DataFrame | None = None,
+def _tile_ends(
+    source: DataFrame, key: Column, id_col: str, cuts: dict[str, list[float]], tiles: int
+) -> list[tuple]:
+    """Key and id of the last row of every tile but the last one."""
+    rows, ends = F.col("_rows"), []
+    for t in range(1, tiles):
+        ends.append(F.floor(rows / tiles) * t + F.least(F.lit(t), rows % tiles))
+    found = _ranked(source, key, id_col, cuts, F.array(*ends)).select("_rank", "_rows", "_key", F.col(id_col)).collect()
+    if not found:
+        return []
+    by_rank, n = {r[0]: (r[2], r[3]) for r in found}, found[0][1]
+    return [by_rank[n // tiles * t + min(t, n % tiles)] for t in range(1, tiles)]
+
+
+def _after(key: Column, id_col: str, end: tuple) -> Column:
+    """Whether a row comes after the given key and id; NULL keys come first."""
+    end_key, end_id = end
+    later_id = F.col(id_col) > F.lit(end_id)
+    if end_key is None:
+        return key.isNotNull() | later_id
+    return F.coalesce((key > F.lit(end_key)) | ((key == F.lit(end_key)) & later_id), F.lit(False))
+
+
+def global_ntiles(
+    df: DataFrame, id_col: str, orders: dict[str, str], tiles: int = 4, descending: bool = False, slices: int = 128
 ) -> DataFrame:
-    """``ntile(tiles)`` over the whole table: the first ``rows % tiles`` tiles hold one row more."""
-    ranked = global_row_number(df, order_col, id_col, "_rank", descending, slices, source)
-    small = F.floor(F.col("_rows") / tiles)
-    bigger = F.col("_rows") % tiles
-    in_bigger = bigger * (small + 1)
-    tile = F.when(
-        F.col("_rank") <= in_bigger, F.floor((F.col("_rank") - 1) / (small + 1)) + 1
-    ).otherwise(bigger + F.floor((F.col("_rank") - 1 - in_bigger) / F.nullif(small, F.lit(0))) + 1)
-    return ranked.withColumn(out, tile.cast("int")).drop("_rank", "_rows")
+    """``ntile(tiles)`` over the whole table, once for each ``output: order column``.
+
+    Ties go by a unique numeric id and NULLs come first.  The first ``rows % tiles`` tiles
+    hold one row more.  A tile is told by its last row, and the few last rows are found by
+    sorting only the slices they lie in.  The table itself gets its tiles by comparison with
+    them: it is neither sorted nor shuffled.
+    """
+    keys = {out: -F.col(c) if descending else F.col(c) for out, c in orders.items()}
+    cuts = _cut_points(df, slices, id=F.col(id_col), **keys)
+    tiled = df
+    for out, key in keys.items():
+        narrow = df.select(orders[out], id_col)
+        ends = _tile_ends(narrow, key, id_col, {"key": cuts[out], "id": cuts["id"]}, tiles)
+        tile = F.lit(1)
+        for end in ends:
+            tile = tile + _after(key, id_col, end).cast("int")
+        tiled = tiled.withColumn(out, tile)
+    return tiled
 
 
 def global_running_sum(
@@ -162,21 +179,36 @@ def global_running_sum(
     )
 
 
+def value_counts(df: DataFrame, groups: Sequence[str], value: str, **measures: Column) -> DataFrame:
+    """A stored table with one row per group and distinct value: its rows ``_n`` and further aggregates."""
+    return materialize(
+        df.where(F.col(value).isNotNull())
+        .groupBy(*groups, value)
+        .agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in measures.items()])
+    )
+
+
 def exact_quantiles(
     df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float], slices: int = 128
 ) -> DataFrame:
     """Exact interpolated quantiles per group, one DOUBLE column per entry of ``probs``.
 
-    Equal values are counted first.  The counts per value range tell in which range each
-    wanted position lies, and only those ranges are sorted, so a group that holds a large
-    part of all rows is never gathered in one task.
+    Equal values are counted first, so a group that holds a large part of all rows is never
+    gathered in one task.
+    """
+    return quantiles_of_counts(value_counts(df, groups, value), groups, value, probs, slices)
+
+
+def quantiles_of_counts(
+    counted: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float], slices: int = 128
+) -> DataFrame:
+    """Quantiles from :func:`value_counts`.
+
+    The counts per value range tell in which range each wanted position lies, and only
+    those ranges are sorted.
     """
     groups = list(groups)
-    counted = materialize(
-        df.where(F.col(value).isNotNull())
-        .groupBy(*groups, F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
+    counted = counted.select(*groups, F.col(value).alias("_v"), "_n")
     sliced = _with_slice_number(
         counted, F.col("_v"), _cut_points(counted, slices, v=F.col("_v"))["v"], "_slice"
     )

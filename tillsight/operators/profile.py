@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from ..functions.numeric import percent, round_half_up
-from .ordering import exact_quantiles
+from .ordering import quantiles_of_counts, value_counts
 
 
 def _quoted(name: str):
@@ -203,15 +203,13 @@ def boxplot_stats(df: DataFrame, group: str, value: str, reach: float = 1.5) ->
 
     Whiskers end at the last values within ``reach`` interquartile ranges of the box.
     """
-    q = exact_quantiles(df, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}).withColumnRenamed(group, "_group")
+    counted = value_counts(df, [group], value)
+    q = quantiles_of_counts(counted, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     spread = (F.col("q3") - F.col("q1")) * F.lit(reach)
     x = F.col(value).cast("double")
     inside = (x >= F.col("q1") - spread) & (x <= F.col("q3") + spread)
     return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(group, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .join(q, F.col(group).eqNullSafe(F.col("_group")))
+        counted.join(q.withColumnRenamed(group, "_group"), F.col(group).eqNullSafe(F.col("_group")))
         .groupBy(group)
         .agg(
             F.sum("_n").alias("n"),

@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.bands import AGE_GENERATIONS, Bands, bucketize
 from ..functions.numeric import (
+    count_where,
     exact_mean,
     mean,
     percent,
     ratio,
+    ratio_sql,
     relative_difference,
     round_half_up,
     sample_stddev,
@@ -22,8 +24,7 @@ from ..functions.numeric import (
 )
 from ..functions.rules import LiftLimits, value_segment
 from ..operators.basket import affinity
-from ..operators.joins import join_rollup
-from ..operators.ordering import exact_quantiles, global_ntile
+from ..operators.ordering import global_ntiles, quantiles_of_counts, value_counts
 from ..operators.ranking import first_per_group, share_in_group, top_k_per_group, top_rows
 from ..sources.shared import materialize
 
@@ -72,17 +73,11 @@ def subscription_frequency(retail: DataFrame, weighted: bool = False) -> DataFra
         mean(RATING).alias("avg_rating"),
         mean(AGE, 1).alias("avg_age"),
     )
-    group_amount = ratio("sum(amount_sum)", "sum(customer_count)") if weighted else F.avg("amount")
-    group_history = ratio("sum(history_sum)", "sum(customer_count)") if weighted else F.avg("history")
-    joined = join_rollup(
-        detail,
-        ["subscription_status"],
-        {
-            "group_rows": F.sum("customer_count"),
-            "group_avg_purchase": round_half_up(group_amount),
-            "group_avg_history": round_half_up(group_history),
-        },
-    )
+    over = "OVER (PARTITION BY subscription_status)"
+    rows = f"sum(customer_count) {over}"
+    amount = ratio_sql(f"sum(amount_sum) {over}", rows) if weighted else f"avg(amount) {over}"
+    history = ratio_sql(f"sum(history_sum) {over}", rows) if weighted else f"avg(history) {over}"
+    joined = detail.selectExpr("*", f"{rows} AS group_rows", f"{amount} AS group_amount", f"{history} AS group_history")
     return joined.select(
         "subscription_status",
         "frequency_of_purchases",
@@ -92,8 +87,8 @@ def subscription_frequency(retail: DataFrame, weighted: bool = False) -> DataFra
         round_half_up("history").alias("avg_historical_purchases"),
         "avg_rating",
         "avg_age",
-        "group_avg_purchase",
-        "group_avg_history",
+        round_half_up("group_amount").alias("group_avg_purchase"),
+        round_half_up("group_history").alias("group_avg_history"),
     ).orderBy("subscription_status", F.desc("customer_count"), "frequency_of_purchases")
 
 
@@ -149,24 +144,41 @@ def discount_promo(retail: DataFrame) -> DataFrame:
 
 
 def payment_performance(retail: DataFrame, approximate_median: bool = False) -> DataFrame:
-    """Payment methods by spending and popularity, with the exact median by default."""
+    """Payment methods by spending and popularity, with the exact median by default.
+
+    Purchases are counted per method and amount once; all figures come from that table.
+    """
+    counted = value_counts(
+        retail,
+        ["payment_method"],
+        AMOUNT,
+        ratings=F.sum(RATING),
+        rated=F.count(RATING),
+        ages=F.sum(AGE),
+        aged=F.count(AGE),
+        subscribers=count_where(_yes("subscription_status")),
+    )
+    spent, n = f"{AMOUNT} * CAST(_n AS DECIMAL(18, 0))", "sum(_n)"
+    x = f"CAST({AMOUNT} AS DOUBLE)"
+    mean_amount = f"(CAST(sum({spent}) AS DOUBLE) / {n})"
+    squares = f"sum(_n * {x} * {x}) - {mean_amount} * {mean_amount} * {n}"
     aggregates = [
-        _rows().alias("transaction_count"),
-        mean(AMOUNT).alias("avg_purchase"),
+        F.expr(f"{n} AS transaction_count"),
+        round_half_up(mean_amount).alias("avg_purchase"),
         F.min(AMOUNT).cast("double").alias("min_purchase"),
         F.max(AMOUNT).cast("double").alias("max_purchase"),
-        sample_stddev(AMOUNT).alias("stddev"),
-        total(AMOUNT).alias("total_revenue"),
-        mean(RATING).alias("avg_rating"),
-        mean(AGE, 1).alias("avg_customer_age"),
-        share_where(_yes("subscription_status")).alias("subscriber_rate"),
+        round_half_up(f"sqrt(greatest({squares}, 0D) / nullif({n} - 1, 0))").alias("stddev"),
+        F.expr(f"CAST(sum({spent}) AS DOUBLE) AS total_revenue"),
+        round_half_up(ratio_sql("sum(ratings)", "sum(rated)")).alias("avg_rating"),
+        round_half_up(ratio_sql("sum(ages)", "sum(aged)"), 1).alias("avg_customer_age"),
+        percent("sum(subscribers)", n).alias("subscriber_rate"),
     ]
+    stats = counted.groupBy("payment_method").agg(*aggregates)
     if approximate_median:
-        aggregates.append(F.percentile_approx(AMOUNT, 0.5).cast("double").alias("median"))
-    stats = retail.groupBy("payment_method").agg(*aggregates)
-    if not approximate_median:
-        medians = exact_quantiles(retail, ["payment_method"], AMOUNT, {"median": 0.5})
-        stats = stats.join(medians, "payment_method")
+        medians = retail.groupBy("payment_method").agg(F.percentile_approx(AMOUNT, 0.5).cast("double").alias("median"))
+    else:
+        medians = quantiles_of_counts(counted, ["payment_method"], AMOUNT, {"median": 0.5})
+    stats = stats.join(medians, "payment_method")
     return (
         share_in_group(stats, [], "transaction_count", "market_share")
         .select(
@@ -223,14 +235,15 @@ def customer_segments(retail: DataFrame) -> DataFrame:
 
     All three quartiles count upwards: 4 is the highest value, frequency and loyalty.
     """
-    metrics = materialize(customer_metrics(retail))
-    scored = metrics
-    for out, measure in (
-        ("value_quartile", "lifetime_value"),
-        ("frequency_quartile", "total_transactions"),
-        ("loyalty_quartile", "loyalty_score"),
-    ):
-        scored = global_ntile(scored, measure, "customer_id", out, source=metrics)
+    scored = global_ntiles(
+        materialize(customer_metrics(retail)),
+        "customer_id",
+        {
+            "value_quartile": "lifetime_value",
+            "frequency_quartile": "total_transactions",
+            "loyalty_quartile": "loyalty_score",
+        },
+    )
     return scored.withColumn(
         "customer_segment",
         value_segment(F.col("value_quartile"), F.col("frequency_quartile"), F.col("loyalty_quartile")),
@@ -270,11 +283,8 @@ def shipping_preferences(retail: DataFrame) -> DataFrame:
         share_where(_yes("subscription_status")).alias("subscriber_rate"),
         share_where(_yes("discount_applied")).alias("discount_rate"),
     )
-    joined = join_rollup(
-        detail,
-        ["shipping_type"],
-        {"type_rows": F.sum("order_count"), "shipping_type_avg": round_half_up("avg(amount)")},
-    )
+    over = "OVER (PARTITION BY shipping_type)"
+    joined = detail.selectExpr("*", f"sum(order_count) {over} AS type_rows", f"avg(amount) {over} AS type_amount")
     return joined.select(
         "shipping_type",
         "category",
@@ -286,7 +296,7 @@ def shipping_preferences(retail: DataFrame) -> DataFrame:
         "subscriber_rate",
         "discount_rate",
         percent("order_count", "type_rows").alias("pct_of_shipping_type"),
-        "shipping_type_avg",
+        round_half_up("type_amount").alias("shipping_type_avg"),
     ).orderBy("shipping_type", F.desc("total_revenue"), "category")
 
 
