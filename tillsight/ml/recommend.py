@@ -84,11 +84,12 @@ def novel_recommendations(
     ``history`` holds ``user_id`` and ``item_id``.  A user with ``h`` bought items has ``k``
     new ones among the best ``k + h``.  Users are asked for by classes of history length, so
     that one user who bought nearly everything does not lengthen the lists of all others.
+    Class ``c`` holds the lengths up to ``4 ** c``.
     """
     bought = materialize(history.distinct())
     users = materialize(
         bought.groupBy("user_id").agg(F.count(F.lit(1)).alias("h")).select(
-            "user_id", F.ceil(F.log(F.lit(4.0), F.col("h").cast("double"))).cast("int").alias("length_class")
+            "user_id", F.ceil(F.length(F.bin(F.col("h") - 1)) / 2).cast("int").alias("length_class")
         )
     )
     candidates = None
