@@ -301,21 +301,41 @@ def shipping_preferences(retail: DataFrame) -> DataFrame:
 
 
 def location_markets(retail: DataFrame, top: int = 20) -> DataFrame:
-    """The strongest locations: demographics, leading category and share of all revenue."""
-    markets = retail.groupBy("location").agg(
+    """The strongest locations: demographics, leading category and share of all revenue.
+
+    Purchases are summed per location, category and customer once; both the figures of a
+    location and its leading category come from that table.
+    """
+    detail = materialize(
+        retail.groupBy("location", "category", "customer_id").agg(
+            _rows().alias("n"),
+            F.sum(AMOUNT).alias("spent"),
+            F.count(AMOUNT).alias("priced"),
+            F.sum(AGE).alias("ages"),
+            F.count(AGE).alias("aged"),
+            F.sum(RATING).alias("ratings"),
+            F.count(RATING).alias("rated"),
+            F.sum("previous_purchases").alias("history"),
+            F.count("previous_purchases").alias("with_history"),
+            count_where(_yes("subscription_status")).alias("subscribers"),
+            count_where("gender = 'Male'").alias("male"),
+            count_where("gender = 'Female'").alias("female"),
+        )
+    )
+    markets = detail.groupBy("location").agg(
         F.count_distinct("customer_id").alias("unique_customers"),
-        _rows().alias("total_transactions"),
-        total(AMOUNT).alias("total_revenue"),
-        mean(AMOUNT).alias("avg_transaction"),
-        mean(AGE, 1).alias("avg_customer_age"),
-        mean(RATING).alias("avg_rating"),
-        share_where(_yes("subscription_status")).alias("subscription_rate"),
-        share_where("gender = 'Male'").alias("male_pct"),
-        share_where("gender = 'Female'").alias("female_pct"),
-        mean("previous_purchases", 1).alias("avg_loyalty"),
+        F.sum("n").alias("total_transactions"),
+        total("spent").alias("total_revenue"),
+        round_half_up(ratio_sql("sum(spent)", "sum(priced)")).alias("avg_transaction"),
+        round_half_up(ratio_sql("sum(ages)", "sum(aged)"), 1).alias("avg_customer_age"),
+        round_half_up(ratio_sql("sum(ratings)", "sum(rated)")).alias("avg_rating"),
+        percent("sum(subscribers)", "sum(n)").alias("subscription_rate"),
+        percent("sum(male)", "sum(n)").alias("male_pct"),
+        percent("sum(female)", "sum(n)").alias("female_pct"),
+        round_half_up(ratio_sql("sum(history)", "sum(with_history)"), 1).alias("avg_loyalty"),
     )
     leaders = first_per_group(
-        retail.groupBy("location", "category").agg(_rows().alias("n")),
+        detail.groupBy("location", "category").agg(F.sum("n").alias("n")),
         ["location"],
         "category",
         F.struct(-F.col("n"), F.col("category")),
