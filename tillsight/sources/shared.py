@@ -2,24 +2,36 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new path under ``spark.checkpoint.dir``.
+def session_folder(spark: SparkSession) -> str:
+    """The one folder that holds the intermediate tables of this session.
 
-    Only a local session without that setting falls back to a temporary folder; on a
-    cluster the setting is required, because other machines could not read the folder.
+    It lies in ``spark.checkpoint.dir``, or in the warehouse folder where that is unset; on a
+    cluster either is shared.  The name holds the application's id, so that sessions do not
+    meet and a later one can find and drop what an earlier one left.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tillsight-")
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
+    return f"{root.rstrip('/')}/tillsight-{spark.sparkContext.applicationId}"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new path in the folder of the session."""
+    return f"{session_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def drop_session_folder(spark: SparkSession) -> bool:
+    """Delete the intermediate tables of this session; frames that read them end with it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(session_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
