@@ -19,6 +19,8 @@ PER_CLASS = 1_200
 #: Of those documents, so many chunks of a step are looked at in an epoch, drawn anew each time.
 CHUNKS = 4
 EPOCHS = 16
+#: Part of the looks at a document that show a few words of it as if they were all, for the sake of short texts.
+SHORT = 0.3
 FILTERS, WIDTH = 16, 5
 #: A chunk is four cells of bytes; the next one begins three cells on, so that chunks overlap.
 CELL, CELLS, STRIDE = 64, 4, 3
@@ -93,6 +95,8 @@ def train(texts: list[bytes], good: np.ndarray, random: np.random.Generator | No
                 last = (len(docs[r]) - size) // (STRIDE * CELL)
                 picks.append(random.integers(0, last + 1, CHUNKS) * STRIDE * CELL)
             x = np.stack([docs[r][s + window] for r, starts in zip(rows, picks) for s in starts])
+            for k in np.nonzero(random.random(len(rows)) < SHORT)[0] * CHUNKS:  # this row stands for a short text
+                x[k : k + CHUNKS] = np.where(window < random.integers(10, size), x[k], 0)
             x = np.concatenate([x, np.zeros((len(x), WIDTH - 1), np.uint8)], axis=1)
             response = p["taps"][0][x[:, :size]]
             for j in range(1, WIDTH):
