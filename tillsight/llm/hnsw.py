@@ -204,7 +204,10 @@ def build_index(classes: DataFrame) -> DataFrame:
     dealt = classes.join(sizes, "dims").select(
         "dims", F.pmod(F.xxhash64("rep"), shards).cast("int").alias("shard"), "rep", "embedding"
     )
-    return materialize(dealt.groupBy("dims", "shard").applyInPandas(_build_shard, _INDEX))
+    made = sizes.agg(F.sum(shards)).first()[0] or 1
+    # a task for each shard: shards are small in bytes but dear to build, so they must not be coalesced by size
+    spread = dealt.repartition(int(made), "dims", "shard")
+    return materialize(spread.groupBy("dims", "shard").applyInPandas(_build_shard, _INDEX))
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
