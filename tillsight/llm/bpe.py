@@ -26,7 +26,7 @@ WINDOW, BITS = 16, 9
 #: A chunk has at least this many characters, but for a text's last one.
 LEAST = 64
 #: What a worker keeps: pieces in each of two generations, and chunks of up to so many characters.
-PIECES, CHUNKS, CHUNK_CHARS = 300_000, 8_000, 8_192
+PIECES, CHUNKS, CHUNK_CHARS = 150_000, 4_000, 8_192
 
 #: A character that is one token when it is a word.
 _MARK = "\x01"
