@@ -79,7 +79,7 @@ def with_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", sou
 
 def mix_report(docs: DataFrame) -> DataFrame:
     """What the mix takes of every document."""
-    return with_copies(docs).select(
+    return with_copies(docs.select("doc_id", "text", "source")).select(
         "doc_id",
         F.col("_words").alias("size"),
         "source_size",

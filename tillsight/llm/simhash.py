@@ -187,13 +187,17 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     found = near_duplicates(docs)
     kept = found.where(F.col("doc_id") == F.col("component")).select(F.col("doc_id").alias("_kept")).distinct()
-    first = Window.partitionBy("_kept").orderBy("text")
+    names = docs.columns
+    aside = docs.toDF(*[f"d{i}" for i in range(len(names))])  # a column of any name passes through
+    doc_id, text = (F.col(f"d{names.index(n)}") for n in ("doc_id", "text"))
+    first = Window.partitionBy("_kept").orderBy(text)
     chosen = (
-        docs.join(kept, docs["doc_id"].cast("long") == F.col("_kept"))
+        aside.join(kept, doc_id.cast("long") == F.col("_kept"))
         .withColumn("_row", F.row_number().over(first))
         .where("_row = 1")
+        .select(*aside.columns)
     )
-    return chosen.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    return chosen.unionByName(aside.where(doc_id.isNull())).toDF(*names)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
