@@ -116,3 +116,18 @@ def test_small_groups(spark):
     one = spark.createDataFrame([(5,)], "x INT")
     assert tuple(one.agg(sample_stddev("x"), exact_mean("x")).first()) == (None, 5.0)
     assert tuple(one.where("x > 9").agg(sample_stddev("x"), exact_mean("x")).first()) == (None, None)
+
+
+def test_payment_report_keeps_rows_without_amount_or_method(spark):
+    from tillsight.plans.reports import payment_performance
+
+    kinds = "payment_method string, purchase_amount decimal(12,2), review_rating decimal(2,1), age int, subscription_status string"
+    from decimal import Decimal
+
+    rows = [("a", Decimal("10.00")), ("a", None), ("b", None), (None, Decimal("5.00"))]
+    df = spark.createDataFrame([(m, x, None, 30, "Yes") for m, x in rows], kinds)
+    found = {r.payment_method: r for r in payment_performance(df).collect()}
+    assert {m: r.transaction_count for m, r in found.items()} == {"a": 2, "b": 1, None: 1}
+    assert (found["a"].market_share, found[None].median_purchase, found["b"].median_purchase) == (50.0, 5.0, None)
+    big = [("a", Decimal(1_000_000_000) + Decimal(i) / 100, None, 30, "Yes") for i in range(1000)]
+    assert payment_performance(spark.createDataFrame(big, kinds)).first().stddev == 2.89

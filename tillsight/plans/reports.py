@@ -24,7 +24,7 @@ from ..functions.numeric import (
 )
 from ..functions.rules import LiftLimits, value_segment
 from ..operators.basket import affinity
-from ..operators.ordering import global_ntiles, quantiles_of_counts, value_counts
+from ..operators.ordering import exact_quantiles, global_ntiles
 from ..operators.ranking import first_per_group, share_in_group, top_k_per_group, top_rows
 from ..sources.shared import materialize
 
@@ -146,39 +146,26 @@ def discount_promo(retail: DataFrame) -> DataFrame:
 def payment_performance(retail: DataFrame, approximate_median: bool = False) -> DataFrame:
     """Payment methods by spending and popularity, with the exact median by default.
 
-    Purchases are counted per method and amount once; all figures come from that table.
+    All purchases count, also those without an amount or a payment method; only the median is
+    sought apart, and is NULL where a method has no amounts.
     """
-    counted = value_counts(
-        retail,
-        ["payment_method"],
-        AMOUNT,
-        ratings=F.sum(RATING),
-        rated=F.count(RATING),
-        ages=F.sum(AGE),
-        aged=F.count(AGE),
-        subscribers=count_where(_yes("subscription_status")),
-    )
-    spent, n = f"{AMOUNT} * CAST(_n AS DECIMAL(18, 0))", "sum(_n)"
-    x = f"CAST({AMOUNT} AS DOUBLE)"
-    mean_amount = f"(CAST(sum({spent}) AS DOUBLE) / {n})"
-    squares = f"sum(_n * {x} * {x}) - {mean_amount} * {mean_amount} * {n}"
-    aggregates = [
-        F.expr(f"{n} AS transaction_count"),
-        round_half_up(mean_amount).alias("avg_purchase"),
+    stats = retail.groupBy("payment_method").agg(
+        _rows().alias("transaction_count"),
+        mean(AMOUNT).alias("avg_purchase"),
         F.min(AMOUNT).cast("double").alias("min_purchase"),
         F.max(AMOUNT).cast("double").alias("max_purchase"),
-        round_half_up(f"sqrt(greatest({squares}, 0D) / nullif({n} - 1, 0))").alias("stddev"),
-        F.expr(f"CAST(sum({spent}) AS DOUBLE) AS total_revenue"),
-        round_half_up(ratio_sql("sum(ratings)", "sum(rated)")).alias("avg_rating"),
-        round_half_up(ratio_sql("sum(ages)", "sum(aged)"), 1).alias("avg_customer_age"),
-        percent("sum(subscribers)", n).alias("subscriber_rate"),
-    ]
-    stats = counted.groupBy("payment_method").agg(*aggregates)
+        sample_stddev(AMOUNT).alias("stddev"),
+        total(AMOUNT).alias("total_revenue"),
+        mean(RATING).alias("avg_rating"),
+        mean(AGE, 1).alias("avg_customer_age"),
+        share_where(_yes("subscription_status")).alias("subscriber_rate"),
+    )
     if approximate_median:
         medians = retail.groupBy("payment_method").agg(F.percentile_approx(AMOUNT, 0.5).cast("double").alias("median"))
     else:
-        medians = quantiles_of_counts(counted, ["payment_method"], AMOUNT, {"median": 0.5})
-    stats = stats.join(medians, "payment_method")
+        medians = exact_quantiles(retail, ["payment_method"], AMOUNT, {"median": 0.5})
+    medians = medians.withColumnRenamed("payment_method", "_method")
+    stats = stats.join(medians, F.col("payment_method").eqNullSafe(F.col("_method")), "left").drop("_method")
     return (
         share_in_group(stats, [], "transaction_count", "market_share")
         .select(
