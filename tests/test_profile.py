@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillsight.operators import profile
-from tillsight.operators.joins import broadcast_if_small, minus_history, with_baseline
+from tillsight.operators.joins import minus_history, with_baseline
 from tillsight.operators.sampling import deterministic_split, sample_with_replacement
 
 
@@ -89,7 +89,3 @@ def test_joins(spark, rows):
     a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z")], "u INT, i STRING")
     assert rows(minus_history(a, a.where("i = 'z'"), ["u", "i"])) == [(1, "x"), (2, "y")]
     assert rows(with_baseline(a, n=a.agg(F.count("*"))).select("u", "n")) == [(1, 3), (2, 3), (2, 3)]
-    hinted = broadcast_if_small(a, 3)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted.lower()
-    plain = broadcast_if_small(a, 2)._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in plain.lower()

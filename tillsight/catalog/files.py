@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..ml.classifiers import PROMO, ForestSpec, save_model, train
+from ..ml.classifiers import PROMO, save_model, train
 from ..operators.ranking import top_rows
 from ..operators.sampling import deterministic_split
 from ..sources.files import (
@@ -65,7 +65,7 @@ def scan_fallback(spark, sf_dir):
     on_retail(f"SELECT category, season, COUNT(*) AS n, {tot('purchase_amount')} AS revenue FROM retail GROUP BY category, season"),
 )
 def temp_view(spark, sf_dir):
-    view = register_view(retail(spark, sf_dir), "retail")
+    view = register_view(retail(spark, sf_dir), "tillsight_temp_view")
     return spark.sql(
         f"SELECT category, season, count(*) AS n, CAST(sum(purchase_amount) AS DOUBLE) AS revenue FROM {view} GROUP BY ALL"
     )
@@ -148,8 +148,7 @@ def model_roundtrip(spark, sf_dir):
     from pyspark.ml import PipelineModel
 
     training, held_out = deterministic_split(retail(spark, sf_dir), ["order_id"])
-    small = ForestSpec(PROMO.target, PROMO.categorical, PROMO.numeric, trees=5)
     path = shared_folder(spark)
-    save_model(train(training, small), path)
+    save_model(train(training, PROMO), path)
     scored = PipelineModel.load(path).transform(held_out)
     return scored.groupBy("promo_code_used", "predicted_label").agg(F.count("*").alias("n"))

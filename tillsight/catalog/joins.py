@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_mean, percent, relative_difference, round_half_up, total
-from ..operators.basket import basket_items, frequent_pairs
+from ..operators.basket import basket_items, pairs_of
 from ..operators.joins import join_rollup, lookup, minus_history, with_baseline
 from ..operators.ranking import first_per_group
 from ..plans.reports import product_affinity
@@ -81,13 +81,13 @@ _ITEMS = "SELECT DISTINCT order_id AS basket, item_purchased AS item FROM retail
     "self_join_pairs",
     on_retail(
         "SELECT a.item AS item_a, b.item AS item_b, COUNT(*) AS baskets_with_both FROM items a JOIN items b "
-        "ON a.basket = b.basket AND a.item < b.item GROUP BY 1, 2 HAVING COUNT(*) >= 2",
+        "ON a.basket = b.basket AND a.item < b.item GROUP BY 1, 2",
         items=_ITEMS,
     ),
 )
 def self_join_pairs(spark, sf_dir):
     items = materialize(basket_items(retail(spark, sf_dir), "order_id", "item_purchased", "purchase_amount"))
-    return frequent_pairs(items, min_support=2).select("item_a", "item_b", "baskets_with_both")
+    return pairs_of(items).select("item_a", "item_b", "baskets_with_both")
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import exact_mean, percent, ratio, round_half_up
 from ..functions.rules import LiftLimits, affinity_strength
@@ -22,71 +22,15 @@ def basket_items(df: DataFrame, basket: str, item: str, amount: str) -> DataFram
     )
 
 
-def _pair_measures() -> list[Column]:
-    return [
-        F.sum("baskets").alias("baskets_with_both"),
-        F.sum("spend").alias("spend"),
-        F.sum("purchases").alias("purchases"),
-    ]
+def pairs_of(items: DataFrame, rows_per_part: int = 1_000) -> DataFrame:
+    """Totals of all pairs of items that share a basket.
 
-
-def pairs_by_item_set(items: DataFrame) -> DataFrame:
-    """Pair totals where the number of distinct items is small.
-
-    Baskets with the same set of items are merged first.  Pairs are then formed once per
-    distinct set, so the work after the merge depends on the number of sets and not on the
-    number of baskets.
-    """
-    contents = F.array_sort(F.collect_list(F.struct("item", "purchases", "mean_amount")))
-    sets = (
-        items.groupBy("basket")
-        .agg(contents.alias("c"))
-        .select(
-            F.col("c.item").alias("items"),
-            F.posexplode("c").alias("at", "e"),
-        )
-        .groupBy("items", "at")
-        .agg(
-            F.count(F.lit(1)).alias("baskets"),
-            F.sum("e.purchases").alias("purchases"),
-            F.sum("e.mean_amount").alias("spend"),
-        )
-        .groupBy("items")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "baskets", "purchases", "spend"))).alias("m"))
-    )
-    entry = F.transform(
-        "m", lambda x: F.struct(F.get("items", x["at"]).alias("item"), x["at"].alias("at"), x["baskets"].alias("baskets"), x["purchases"].alias("purchases"), x["spend"].alias("spend"))
-    )
-    return (
-        sets.select(entry.alias("m"))
-        .select("m", F.explode("m").alias("a"))
-        .select("a", F.explode(F.slice("m", F.col("a.at") + 2, F.size("m"))).alias("b"))
-        .select(
-            F.col("a.item").alias("item_a"),
-            F.col("b.item").alias("item_b"),
-            F.col("a.baskets").alias("baskets"),
-            (F.col("a.spend") + F.col("b.spend")).alias("spend"),
-            (F.col("a.purchases") + F.col("b.purchases")).alias("purchases"),
-        )
-        .groupBy("item_a", "item_b")
-        .agg(*_pair_measures())
-    )
-
-
-def pairs_by_join(items: DataFrame, heavy_items: int = 1_000, salts: int = 64) -> DataFrame:
-    """Pair totals where the number of distinct items is large.
-
-    A basket with more than ``heavy_items`` items is worked on by ``salts`` tasks: its left
-    side is spread by item and its right side is repeated for each part.  Matches go straight
-    into a partial aggregate; no pair is shuffled before that.
+    A basket of n items is worked on by ceil(n / rows_per_part) tasks: its left side is spread by
+    item and its right side is repeated for each part.  Matches go straight into a partial
+    aggregate; no pair is shuffled before that.
     """
-    heavy = (
-        items.groupBy("basket")
-        .agg(F.count(F.lit(1)).alias("size"))
-        .where(F.col("size") > heavy_items)
-        .select("basket", F.lit(salts).alias("parts"))
-    )
-    sized = items.join(heavy, "basket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)).cast("long"))
+    sizes = items.groupBy("basket").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_part)).alias("parts"))
+    sized = items.join(sizes, "basket")
     left = sized.select(
         "basket",
         F.pmod(F.xxhash64("item"), F.col("parts")).alias("salt"),
@@ -104,19 +48,16 @@ def pairs_by_join(items: DataFrame, heavy_items: int = 1_000, salts: int = 64) -
     return (
         left.join(right, ["basket", "salt"])
         .where(F.col("item_a") < F.col("item_b"))
-        .select(
-            "item_a",
-            "item_b",
-            F.lit(1).cast("long").alias("baskets"),
-            (F.col("mean_a") + F.col("mean_b")).alias("spend"),
-            (F.col("purchases_a") + F.col("purchases_b")).alias("purchases"),
-        )
         .groupBy("item_a", "item_b")
-        .agg(*_pair_measures())
+        .agg(
+            F.count(F.lit(1)).alias("baskets_with_both"),
+            F.sum(F.col("mean_a") + F.col("mean_b")).alias("spend"),
+            F.sum(F.col("purchases_a") + F.col("purchases_b")).alias("purchases"),
+        )
     )
 
 
-def frequent_pairs(items: DataFrame, min_support: int, max_set_items: int = 256) -> DataFrame:
+def frequent_pairs(items: DataFrame, min_support: int) -> DataFrame:
     """Totals of all pairs that share at least ``min_support`` baskets.
 
     An item in fewer baskets than that cannot belong to such a pair and is left out
@@ -125,9 +66,7 @@ def frequent_pairs(items: DataFrame, min_support: int, max_set_items: int = 256)
     per_item = items.groupBy("item").agg(F.count(F.lit(1)).alias("baskets"))
     common = per_item.where(F.col("baskets") >= min_support).select("item")
     kept = items.join(common, "item", "left_semi")
-    few_items = common.limit(max_set_items + 1).count() <= max_set_items
-    pairs = pairs_by_item_set(kept) if few_items else pairs_by_join(kept)
-    return pairs.where(F.col("baskets_with_both") >= min_support)
+    return pairs_of(kept).where(F.col("baskets_with_both") >= min_support)
 
 
 def affinity(
@@ -137,7 +76,6 @@ def affinity(
     amount: str,
     min_support: int = 5,
     limits: LiftLimits = LiftLimits(),
-    max_set_items: int = 256,
 ) -> DataFrame:
     """Support, confidence in both directions, lift and strength label of item pairs."""
     items = materialize(basket_items(df, basket, item, amount))
@@ -151,7 +89,7 @@ def affinity(
         "CAST(baskets_a AS DOUBLE) * CAST(baskets_b AS DOUBLE)",
     )
     return (
-        frequent_pairs(items, min_support, max_set_items)
+        frequent_pairs(items, min_support)
         .join(a, "item_a")
         .join(b, "item_b")
         .withColumn("all_baskets", all_baskets)

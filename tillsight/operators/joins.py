@@ -4,15 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only if a count that stops after ``max_rows`` proves the frame small.
-
-    A larger frame is returned as it is and joined by shuffle.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+from pyspark.sql import Column, DataFrame
 
 
 def join_rollup(detail: DataFrame, keys: Sequence[str], totals: dict[str, Column]) -> DataFrame:
@@ -34,6 +26,6 @@ def minus_history(candidates: DataFrame, history: DataFrame, keys: Sequence[str]
     return candidates.join(history.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def lookup(df: DataFrame, mapping: DataFrame, key: str, max_broadcast_rows: int = 100_000) -> DataFrame:
-    """Add the columns of a mapping by an equal key."""
-    return df.join(broadcast_if_small(mapping, max_broadcast_rows), key)
+def lookup(df: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
+    """Add the columns of a mapping by an equal key; Spark broadcasts the mapping if its bytes are few."""
+    return df.join(mapping, key)

@@ -8,23 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
-_PARTITIONS = "spark.sql.shuffle.partitions"
-
-
-def _start(df: DataFrame, writer: DataStreamWriter, every: str | None) -> StreamingQuery:
-    """Start with no more state partitions than cores.
-
-    The number is fixed at the first start of a query, and every partition costs files in
-    every micro-batch.  A query takes a copy of the session's settings when it starts.
-    """
+def _start(writer: DataStreamWriter, every: str | None) -> StreamingQuery:
+    """Start as the session is set; the number of state partitions is fixed at the first start."""
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-    spark = df.sparkSession
-    before = spark.conf.get(_PARTITIONS)
-    spark.conf.set(_PARTITIONS, min(int(before), spark.sparkContext.defaultParallelism))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(_PARTITIONS, before)
+    return writer.start()
 
 
 def to_memory(df: DataFrame, name: str, checkpoint: str | None, mode: str = "update", every: str | None = None) -> StreamingQuery:
@@ -35,13 +22,13 @@ def to_memory(df: DataFrame, name: str, checkpoint: str | None, mode: str = "upd
     writer = df.writeStream.format("memory").queryName(name).outputMode(mode)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
-    return _start(df, writer, every)
+    return _start(writer, every)
 
 
 def to_parquet(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Append finished rows to a Parquet folder, each exactly once."""
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    return _start(df, writer.option("path", path), every)
+    return _start(writer.option("path", path), every)
 
 
 def to_versions(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -55,7 +42,7 @@ def to_versions(df: DataFrame, path: str, checkpoint: str, every: str | None = N
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     writer = df.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
-    return _start(df, writer, every)
+    return _start(writer, every)
 
 
 def latest_version(versions: DataFrame, keys: Sequence[str], version: str = "batch_id") -> DataFrame:
@@ -89,7 +76,7 @@ def fan_out(
             kept.unpersist()
 
     writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
-    return _start(df, writer, every)
+    return _start(writer, every)
 
 
 def finish(*queries: StreamingQuery) -> None:
