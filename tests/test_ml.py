@@ -69,6 +69,12 @@ def test_load_or_train(labelled, model, tmp_path):
     classifiers.save_model(PipelineModel(model.stages[:-1]), path)  # without names at the end
     classifiers.load_or_train(path, fit)
     assert len(calls) == 2
+    broken = tmp_path / "broken" / "metadata"
+    broken.mkdir(parents=True)
+    (broken / "part-00000").write_text("not a model")
+    with pytest.raises(Exception):
+        classifiers.load_or_train(str(broken.parent), fit)
+    assert len(calls) == 2 and (broken / "part-00000").exists()
 
 
 def test_metrics_equal_evaluators(labelled, model):

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from py4j.protocol import Py4JJavaError
 
-from ..sources.shared import materialize, spread
+from ..sources.shared import materialize
 from .features import assembler, encoder_stages, fit_index
 
 
@@ -28,6 +28,8 @@ class ForestSpec:
     depth: int = 5
     predicted: str = "predicted_label"
     seed: int = 42
+    #: The draw of the trees goes by partition, so their number is part of the model; give a large table more.
+    partitions: int = 32
 
     @property
     def inputs(self) -> list[str]:
@@ -61,11 +63,12 @@ SEASONAL_LIGHT = ForestSpec(
 def training_rows(df: DataFrame, spec: ForestSpec) -> DataFrame:
     """The columns of a model as a stored table, which fitting reads several times.
 
-    The draw of the trees goes by position, so rows are sorted inside their partitions:
-    fitting twice on the same stored rows gives the same forest.
+    The draw of the trees goes by position, so rows are dealt by their values to a set number of
+    partitions and sorted there: the same rows give the same forest on any cluster.
     """
     columns = [spec.target, *spec.inputs]
-    return spread(materialize(df.select(*columns))).sortWithinPartitions(*columns)
+    stored = materialize(df.select(*columns))
+    return stored.repartition(spec.partitions, *columns).sortWithinPartitions(*columns)
 
 
 def train(df: DataFrame, spec: ForestSpec) -> PipelineModel:
@@ -107,13 +110,18 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 
 def load_or_train(path: str, fit: Callable[[], PipelineModel]) -> PipelineModel:
-    """Load a saved pipeline that ends in label names; otherwise train one and save it."""
+    """Load a saved pipeline that ends in label names; otherwise train one and save it.
+
+    Only a missing path leads to training: any other problem with reading is raised, and what
+    lies there is left alone.
+    """
     try:
         model = PipelineModel.load(path)
         if isinstance(model.stages[-1], IndexToString):
             return model
-    except (AnalysisException, Py4JJavaError):
-        pass
+    except (AnalysisException, Py4JJavaError) as problem:
+        if "does not exist" not in str(problem).lower() and "PATH_NOT_FOUND" not in str(problem):
+            raise
     model = fit()
     save_model(model, path)
     return model

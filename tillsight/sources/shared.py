@@ -43,12 +43,3 @@ def materialize(df: DataFrame) -> DataFrame:
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small frame at least one partition per core, for work that is heavy per row.
-
-    A large table has more partitions than that and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
