@@ -34,7 +34,10 @@ def describe_table(spark, sf_dir):
     return profile.describe_table(retail(spark, sf_dir).select(*_NUMBERS, *_TEXTS))
 
 
-_GAPPY_COLUMNS = ["event_id", "customer_id", "age", "purchase_amount", "category"]
+_GAPPY_COLUMNS = [
+    "event_id", "event_time", "customer_id", "gender", "item_purchased", "category", "review_rating",
+    "purchase_amount", "age", "processing_time",
+]
 
 
 @query(
@@ -54,10 +57,10 @@ def null_counts(spark, sf_dir):
 @query(
     "duplicate_count",
     f"SELECT {big('SUM(n)')} AS total_rows, COUNT(*) AS distinct_rows, {big('SUM(n - 1)')} AS duplicates FROM "
-    "(SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY 1, 2)",
+    "(SELECT lineitem, COUNT(*) AS n FROM lineitem GROUP BY lineitem)",
 )
 def duplicate_count(spark, sf_dir):
-    return profile.duplicate_count(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
+    return profile.duplicate_count(table(spark, sf_dir, "lineitem"))
 
 
 @query("distinct_count", on_retail("SELECT COUNT(*) AS distinct_values FROM (SELECT DISTINCT item_purchased FROM retail)"))
@@ -75,7 +78,10 @@ def overview(spark, sf_dir):
     return profile.overview(retail(spark, sf_dir), "customer_id")
 
 
-_MODE_COLUMNS = ["gender", "item_purchased", "category", "location", "size", "color", "season", "payment_method"]
+_MODE_COLUMNS = [
+    "gender", "item_purchased", "category", "location", "size", "color", "season", "payment_method",
+    "subscription_status", "shipping_type", "discount_applied", "promo_code_used", "frequency_of_purchases",
+]
 
 
 @query(
