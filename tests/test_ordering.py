@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tillsight.operators.ordering import exact_quantiles, global_ntiles, global_running_sum
+from tillsight.operators.ordering import exact_quantiles, global_ntiles, global_row_number, global_running_sum
 from tillsight.operators.ranking import share_in_group, top_k_per_group
 
 
@@ -82,10 +82,19 @@ def test_running_sum(spark):
     for v, m in sorted(rows):
         expected[v] = before
         before += m
-    got = global_running_sum(df, "v", ["m"], slices=8)
+    got = global_running_sum(df, "v", ["m"], ranges=8)
     assert {r["v"]: r["m_before"] for r in got.collect()} == expected
 
 
+def test_row_number(spark):
+    rows = [(i, i % 5 if i % 9 else None) for i in random.Random(5).sample(range(900), 300)]
+    df = spark.createDataFrame(rows, "id BIGINT, v INT")
+    expected = sorted(rows, key=lambda r: (r[1] is not None, -(r[1] or 0), r[0]))
+    got = global_row_number(df, "n", F.desc_nulls_first("v"), F.col("id"), ranges=8).collect()
+    assert {r["n"]: (r["id"], r["v"]) for r in got} == dict(enumerate(expected, start=1))
+    assert global_row_number(df.limit(0), "n", F.col("id")).count() == 0
+
+
 def test_quantiles_of_skewed_groups(spark):
     rng = random.Random(4)
     groups = {

@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillsight.streaming import jobs, sinks
+from tillsight.catalog.purchases import events_as_purchases
 from tillsight.streaming.sources import (
     STREAM_FILE_SCHEMA,
-    events_as_purchases,
     read_stream,
     with_ingest_columns,
     with_lateness,

@@ -17,7 +17,8 @@ from ..sources.files import (
 )
 from ..sources.retail import retail, table
 from ..sources.shared import shared_folder
-from ..streaming.sources import events_as_purchases, with_missing_values, with_validity_flags
+from ..streaming.sources import with_validity_flags
+from .purchases import events_as_purchases, with_missing_values
 from .registry import on_gappy, on_retail, query, tot
 
 CUSTOMER_SCHEMA = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_mean, percent, relative_difference, round_half_up, total
+from ..functions.numeric import exact_mean, percent, ratio, relative_difference, round_half_up, total
 from ..operators.basket import basket_items, pairs_of
 from ..operators.joins import join_rollup, lookup, minus_history, with_baseline
 from ..operators.ranking import first_per_group
@@ -63,9 +63,16 @@ def join_top1(spark, sf_dir):
 def cross_join_baseline(spark, sf_dir):
     """Every group next to a one-row baseline, which is a scalar subquery and not a join."""
     r = retail(spark, sf_dir)
-    groups = r.groupBy("payment_method").agg(F.count("*").alias("n"), exact_mean("purchase_amount").alias("amount"))
-    neither = r.where((F.col("discount_applied") == "No") & (F.col("promo_code_used") == "No"))
-    return with_baseline(groups, base=neither.agg(exact_mean("purchase_amount"))).select(
+    base = F.when((F.col("discount_applied") == "No") & (F.col("promo_code_used") == "No"), F.col("purchase_amount"))
+    sums = materialize(
+        r.groupBy("payment_method").agg(
+            F.count("*").alias("n"),
+            exact_mean("purchase_amount").alias("amount"),
+            F.sum(base).alias("base_sum"),
+            F.count(base).alias("base_n"),
+        )
+    )
+    return with_baseline(sums, base=sums.agg(ratio("sum(base_sum)", "sum(base_n)"))).select(
         "payment_method",
         "n",
         round_half_up("amount").alias("avg_purchase"),
@@ -127,9 +134,9 @@ def lookup_join_broadcast(spark, sf_dir):
 )
 def scalar_subquery_share(spark, sf_dir):
     r = retail(spark, sf_dir)
-    by_category = r.groupBy("category").agg(total("purchase_amount").alias("revenue"))
-    return with_baseline(by_category, all_revenue=r.agg(total("purchase_amount"))).select(
-        "category", "revenue", percent("revenue", "all_revenue").alias("revenue_pct")
+    by_category = materialize(r.groupBy("category").agg(F.sum("purchase_amount").alias("revenue")))
+    return with_baseline(by_category, all_revenue=by_category.agg(total("revenue"))).select(
+        "category", F.col("revenue").cast("double"), percent("revenue", "all_revenue").alias("revenue_pct")
     )
 
 

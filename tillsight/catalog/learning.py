@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..functions.numeric import exact_mean, round_half_up
+from ..functions.numeric import ratio, round_half_up
 from ..ml import classifiers, features, metrics, recommend
 from ..operators.ranking import top_k_per_group
 from ..operators.sampling import deterministic_split
@@ -109,9 +109,15 @@ def auc_roc(spark, sf_dir):
 )
 def rmse(spark, sf_dir):
     """Error of predicting each rating by the mean of its item."""
-    r = retail(spark, sf_dir).select("item_purchased", "review_rating")
-    means = r.groupBy("item_purchased").agg(exact_mean("review_rating").alias("prediction"))
-    return metrics.rmse(r.join(means, "item_purchased"), "review_rating", "prediction")
+    counted = (
+        retail(spark, sf_dir)
+        .where("review_rating is not null")
+        .groupBy("item_purchased", "review_rating")
+        .agg(F.count("*").alias("n"))
+    )
+    of_item = "OVER (PARTITION BY item_purchased)"  # one row per rating that the item has
+    mean = ratio(f"sum(review_rating * n) {of_item}", f"sum(n) {of_item}")
+    return metrics.rmse(counted.withColumn("prediction", mean), "review_rating", "prediction", rows="n")
 
 
 def _held_out(r):
@@ -140,8 +146,18 @@ def _scored(model, df):
 @query("train_seasonal")
 def train_seasonal(spark, sf_dir):
     """Seasonal item classifier: figures on the held-out part."""
-    training, held_out = _held_out(retail(spark, sf_dir))
-    return metrics.classification_metrics(_scored(classifiers.train(training, classifiers.SEASONAL_LIGHT), held_out))
+    return _seasonal_figures(retail(spark, sf_dir), classifiers.SEASONAL)
+
+
+@query("train_seasonal_light")
+def train_seasonal_light(spark, sf_dir):
+    """The same with the small forest."""
+    return _seasonal_figures(retail(spark, sf_dir), classifiers.SEASONAL_LIGHT)
+
+
+def _seasonal_figures(r, spec):
+    training, held_out = _held_out(r)
+    return metrics.classification_metrics(_scored(classifiers.train(training, spec), held_out))
 
 
 @query("score_promo_batch")
@@ -157,7 +173,7 @@ def score_season_topk(spark, sf_dir):
     """The three likeliest items of every customer in each of the four seasons."""
     r = retail(spark, sf_dir)
     training, _ = _held_out(r)
-    model = classifiers.train(training, classifiers.SEASONAL_LIGHT)
+    model = classifiers.train(training, classifiers.SEASONAL)
     return classifiers.score_scenarios(
         model, _profiles(r), ["customer_id"], "season", ["Winter", "Spring", "Summer", "Fall"], k=3
     )
@@ -188,31 +204,60 @@ def user_history(spark, sf_dir):
 
 
 def _als(spark, sf_dir):
+    """A factorization of all ratings, so that every user and item can be recommended for."""
     rows, index = _interactions(spark, sf_dir)
     ratings = materialize(rows)
-    training, held_out = deterministic_split(ratings, ["user_id", "item_id"])
-    return recommend.train_als(training), held_out, ratings, index
+    return recommend.train_als(ratings), ratings, index
 
 
 @query("train_als")
 def train_als(spark, sf_dir):
     """Factorization: error on held-out ratings."""
-    model, held_out, _, _ = _als(spark, sf_dir)
+    rows, _ = _interactions(spark, sf_dir)
+    training, held_out = deterministic_split(materialize(rows), ["user_id", "item_id"])
+    model = recommend.train_als(training)
     return metrics.rmse(model.transform(held_out), "rating", "prediction")
 
 
 @query("recommend_all")
 def recommend_all(spark, sf_dir):
-    model, _, _, _ = _als(spark, sf_dir)
+    model, _, _ = _als(spark, sf_dir)
     return recommend.recommend_all(model, 25)
 
 
 @query("novel_recs_als")
 def novel_recs_als(spark, sf_dir):
-    model, _, ratings, index = _als(spark, sf_dir)
+    return _novel(spark, sf_dir)[0]
+
+
+def _novel(spark, sf_dir):
+    """New items of every user, and all ratings."""
+    model, ratings, index = _als(spark, sf_dir)
     history = ratings.select("user_id", "item_id")
-    labels = recommend.label_table(index, ratings, "item_purchased")
-    return recommend.novel_recommendations(model, history, labels, "item_purchased")
+    labels = recommend.label_table(index, retail(spark, sf_dir), "item_purchased")
+    return recommend.novel_recommendations(model, history, labels, "item_purchased"), history.join(labels, "item_id")
+
+
+@query(
+    "novel_recs_als_rules",
+    on_retail(
+        "SELECT user_id, n, 0 AS bought_before, n AS last_rank FROM (SELECT customer_id AS user_id, "
+        "LEAST(3, (SELECT COUNT(DISTINCT item_purchased) FROM retail) - COUNT(DISTINCT item_purchased)) AS n FROM retail GROUP BY 1) WHERE n > 0"
+    ),
+)
+def novel_recs_als_rules(spark, sf_dir):
+    """How many new items each user gets, how many of them were bought before, and the last rank."""
+    found, history = _novel(spark, sf_dir)
+    bought = history.select("user_id", "item_purchased", F.lit(1).alias("bought"))
+    return (
+        found.join(bought, ["user_id", "item_purchased"], "left")
+        .groupBy(F.col("user_id").cast("bigint").alias("user_id"))
+        .agg(
+            F.count_distinct("item_purchased").alias("n"),
+            F.count("bought").cast("int").alias("bought_before"),
+            F.max("rank").cast("bigint").alias("last_rank"),
+        )
+    )
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import round_half_up
 from ..operators import profile
 from ..sources.retail import retail, table
-from ..streaming.sources import events_as_purchases, with_missing_values
+from .purchases import events_as_purchases, with_missing_values
 from .registry import big, on_gappy, on_retail, pct, quantile, query, rnd, sd
 
 _NUMBERS = ["age", "purchase_amount", "review_rating", "previous_purchases"]

@@ -24,6 +24,8 @@ from .registry import (
 AMOUNT, RATING, HISTORY = "purchase_amount", "review_rating", "previous_purchases"
 _SUBSCRIBED = "subscription_status = 'Yes'"
 _DISCOUNTED = "discount_applied = 'Yes'"
+_MALE, _FEMALE = "gender = 'Male'", "gender = 'Female'"
+_S_YES = "s = 'Yes'"
 
 
 def _low_high(a: str = "min_purchase", b: str = "max_purchase") -> str:
@@ -116,7 +118,7 @@ _report(
     on_retail(
         f"SELECT customer_segment, COUNT(*) AS customer_count, {avg('v')} AS avg_lifetime_value, {avg('n', 1)} AS avg_transactions, "
         f"{rnd('AVG(a)')} AS avg_transaction_size, {avg('age', 1)} AS avg_age, {avg('h', 1)} AS avg_loyalty_score, "
-        f"{rnd('AVG(r)')} AS avg_rating, {share('s = ' + chr(39) + 'Yes' + chr(39))} AS subscriber_rate, {tot('v')} AS segment_total_value, "
+        f"{rnd('AVG(r)')} AS avg_rating, {share(_S_YES)} AS subscriber_rate, {tot('v')} AS segment_total_value, "
         f"{pct('SUM(v)', '(SELECT SUM(v) FROM metrics)')} AS pct_of_total_revenue FROM segments GROUP BY customer_segment",
         metrics=f"SELECT customer_id, COUNT(*) AS n, SUM({AMOUNT}) AS v, {avg(AMOUNT, None)} AS a, {avg(RATING, None)} AS r, "
         f"MAX(age) AS age, MAX({HISTORY}) AS h, MAX(subscription_status) AS s FROM retail GROUP BY customer_id",
@@ -152,8 +154,8 @@ _report(
         "ORDER BY total_revenue DESC, m.location LIMIT 20",
         markets=f"SELECT location, COUNT(DISTINCT customer_id) AS unique_customers, COUNT(*) AS total_transactions, "
         f"{tot(AMOUNT)} AS total_revenue, {avg(AMOUNT)} AS avg_transaction, {avg('age', 1)} AS avg_customer_age, "
-        f"{avg(RATING)} AS avg_rating, {share(_SUBSCRIBED)} AS subscription_rate, {share('gender = ' + chr(39) + 'Male' + chr(39))} AS male_pct, "
-        f"{share('gender = ' + chr(39) + 'Female' + chr(39))} AS female_pct, {avg(HISTORY, 1)} AS avg_loyalty FROM retail GROUP BY 1",
+        f"{avg(RATING)} AS avg_rating, {share(_SUBSCRIBED)} AS subscription_rate, {share(_MALE)} AS male_pct, "
+        f"{share(_FEMALE)} AS female_pct, {avg(HISTORY, 1)} AS avg_loyalty FROM retail GROUP BY 1",
     ),
 )
 

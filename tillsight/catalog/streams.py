@@ -18,13 +18,12 @@ from ..sources.shared import shared_folder
 from ..streaming import jobs, sinks, snapshots
 from ..streaming.sources import (
     TIMESTAMP_FORMAT,
-    events_as_purchases,
     read_stream,
     with_ingest_columns,
     with_lateness,
-    with_missing_values,
     with_validity_flags,
 )
+from .purchases import events_as_purchases, with_missing_values
 from .registry import FIVE_AGES_OPEN, avg, on_gappy, on_purchases, pct, query, share, tot
 
 AMOUNT = "purchase_amount"
@@ -232,14 +231,19 @@ def snapshot_category(spark, sf_dir):
     return snapshots.recent_categories(_hourly_categories(spark, sf_dir))
 
 
+_IS_PURCHASE = "payment_method = 'purchase'"
+_IS_VIEW = "payment_method = 'view'"
+_SUBSCRIBED = "subscription_status = 'Yes'"
+
+
 @query(
     "stream_kpis",
     on_purchases(
         f"SELECT {_HOUR} AS window_start, {_HOUR} + INTERVAL 1 HOUR AS window_end, COUNT(*) AS total_transactions, "
         f"{tot(AMOUNT)} AS total_revenue, {avg(AMOUNT)} AS avg_order_value, {avg('review_rating')} AS avg_rating, "
-        f"{share('payment_method = ' + chr(39) + 'purchase' + chr(39), 1)} AS purchase_pct, "
-        f"{share('payment_method = ' + chr(39) + 'view' + chr(39), 1)} AS view_pct, "
-        f"{share('subscription_status = ' + chr(39) + 'Yes' + chr(39), 1)} AS subscriber_rate, "
+        f"{share(_IS_PURCHASE, 1)} AS purchase_pct, "
+        f"{share(_IS_VIEW, 1)} AS view_pct, "
+        f"{share(_SUBSCRIBED, 1)} AS subscriber_rate, "
         f"{share('purchase_amount >= 60', 1)} AS premium_rate FROM purchases GROUP BY 1, 2"
     ),
 )

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import ratio, round_half_up
 from ..operators.ordering import global_running_sum
-from ..sources.shared import materialize
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -81,7 +80,7 @@ def auc_roc(df: DataFrame, score: str, positive: str, digits: int = 6) -> DataFr
 
     Rows are counted per score first; equal scores count half.
     """
-    counted = materialize(
+    counted = (
         df.where(F.col(score).isNotNull() & F.col(positive).isNotNull())
         .groupBy(F.col(score).alias("score"))
         .agg(F.count_if(F.col(positive)).alias("pos"), F.count_if(~F.col(positive)).alias("neg"))
@@ -93,11 +92,15 @@ def auc_roc(df: DataFrame, score: str, positive: str, digits: int = 6) -> DataFr
     )
 
 
-def rmse(df: DataFrame, actual: str, predicted: str, digits: int = 6) -> DataFrame:
-    """Root mean squared error; rows without a prediction are left out."""
+def rmse(df: DataFrame, actual: str, predicted: str, digits: int = 6, rows: str | None = None) -> DataFrame:
+    """Root mean squared error; rows without a prediction are left out.
+
+    A row may stand for several: ``rows`` names the column with their number.
+    """
+    n = F.lit(1) if rows is None else F.col(rows)
     error = F.col(actual).cast("double") - F.col(predicted).cast("double")
     scored = df.where(~F.isnan(error) & error.isNotNull())
-    return scored.agg(round_half_up(F.sqrt(F.avg(error * error)), digits).alias("rmse"))
+    return scored.agg(round_half_up(F.sqrt(ratio(F.sum(error * error * n), F.sum(n))), digits).alias("rmse"))
 
 
 def evaluator_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> dict[str, float]:

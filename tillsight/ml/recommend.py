@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numeric import exact_mean
 from ..operators.joins import lookup, minus_history
+from ..operators.ordering import global_row_number
 from ..operators.ranking import top_k_per_group
 from ..sources.shared import materialize
 from .features import fit_index
@@ -19,9 +20,8 @@ def item_index(df: DataFrame, item: str) -> StringIndexerModel:
 
 
 def label_table(model: StringIndexerModel, df: DataFrame, item: str) -> DataFrame:
-    """Item id and name; as long as the label list that the index model holds."""
-    rows = [(i, name) for i, name in enumerate(model.labels)]
-    return df.sparkSession.createDataFrame(rows, f"item_id INT, {item} STRING")
+    """Item id and name of every item in ``df``."""
+    return model.transform(df.select(item).distinct()).select(F.col("item_index").cast("int").alias("item_id"), item)
 
 
 def interactions(df: DataFrame, model: StringIndexerModel, user: str, item: str, rating: str) -> DataFrame:
@@ -111,11 +111,8 @@ def popular_unseen(history: DataFrame, item: str, k: int = 3) -> DataFrame:
     of the bought items, and only the first ``k`` numbers of a gap can matter, so the work
     is proportional to the history and no user is paired with the whole catalogue.
     """
-    catalogue = (
-        history.groupBy(item)
-        .agg(F.count(F.lit(1)).alias("buyers"))
-        .withColumn("place", F.row_number().over(Window.orderBy(F.desc("buyers"), item)))
-    )
+    buyers = history.groupBy(item).agg(F.count(F.lit(1)).alias("buyers"))
+    catalogue = materialize(global_row_number(buyers, "place", F.desc("buyers"), F.col(item)))
     size = catalogue.agg(F.count(F.lit(1))).scalar()
     w = Window.partitionBy("user_id").orderBy("place")
     bought = history.join(catalogue, item).select("user_id", "place").withColumn("size", size)
@@ -123,12 +120,12 @@ def popular_unseen(history: DataFrame, item: str, k: int = 3) -> DataFrame:
     gaps = bought.withColumns({"before": before, "is_last": F.lead("place").over(w).isNull()})
 
     def places(start, end):
-        return F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<int>"))
+        return F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<bigint>"))
 
     inner = places(F.col("before") + 1, F.least(F.col("place") - 1, F.col("before") + k))
     tail = F.when(
-        F.col("is_last"), places(F.col("place") + 1, F.least(F.col("size").cast("int"), F.col("place") + k))
-    ).otherwise(F.array().cast("array<int>"))
+        F.col("is_last"), places(F.col("place") + 1, F.least(F.col("size"), F.col("place") + k))
+    ).otherwise(F.array().cast("array<bigint>"))
     missing = gaps.select("user_id", F.explode(F.concat(inner, tail)).alias("place"))
     return (
         top_k_per_group(missing, ["user_id"], ["place"], k, out="rank")

@@ -149,33 +149,58 @@ def global_ntiles(
     return tiled
 
 
+def _stored_ranges(df: DataFrame, ranges: int | None, *order: Column) -> DataFrame:
+    """A stored table, dealt to contiguous ranges of a unique order, which ``_range`` numbers in that order.
+
+    There are as many ranges as the session has shuffle partitions, unless told otherwise.
+    """
+    dealt = df.repartitionByRange(*order) if ranges is None else df.repartitionByRange(ranges, *order)
+    return materialize(dealt.withColumn("_range", F.spark_partition_id()))
+
+
+def _earlier_ranges():
+    return Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def global_row_number(df: DataFrame, out: str, *order: Column, ranges: int | None = None) -> DataFrame:
+    """Number all rows from 1 in a unique order; a range's rows are counted, and sorted in a task of their own."""
+    ranged = _stored_ranges(df, ranges, *order)
+    offsets = (
+        ranged.groupBy("_range")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_range", F.coalesce(F.sum("_n").over(_earlier_ranges()), F.lit(0)).alias("_offset"))
+    )
+    inside = Window.partitionBy("_range").orderBy(*order)
+    return (
+        ranged.join(offsets, "_range")
+        .withColumn(out, F.col("_offset") + F.row_number().over(inside))
+        .drop("_range", "_offset")
+    )
+
+
 def global_running_sum(
-    df: DataFrame, order_col: str, measures: Sequence[str], suffix: str = "_before", slices: int = 128
+    df: DataFrame, order_col: str, measures: Sequence[str], suffix: str = "_before", ranges: int | None = None
 ) -> DataFrame:
     """For each row the sum of every measure over all rows with a smaller order value.
 
     ``order_col`` must be unique and not NULL, as it is after grouping by it.
     """
-    cuts = _cut_points(df, slices, key=F.col(order_col), id=F.col(order_col))
-    sliced = _with_slices(df, F.col(order_col), order_col, cuts)
+    ranged = _stored_ranges(df, ranges, F.col(order_col))
     offsets = (
-        sliced.groupBy("_slice", "_sub")
+        ranged.groupBy("_range")
         .agg(*[F.sum(m).alias(f"_s_{m}") for m in measures])
         .select(
-            "_slice",
-            "_sub",
-            *[F.coalesce(F.sum(f"_s_{m}").over(_earlier_slices()), F.lit(0)).alias(f"_o_{m}") for m in measures],
+            "_range",
+            *[F.coalesce(F.sum(f"_s_{m}").over(_earlier_ranges()), F.lit(0)).alias(f"_o_{m}") for m in measures],
         )
     )
-    inside = (
-        Window.partitionBy("_slice", "_sub").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    inside = Window.partitionBy("_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        sliced.join(offsets, ["_slice", "_sub"])
+        ranged.join(offsets, "_range")
         .withColumns(
             {m + suffix: F.col(f"_o_{m}") + F.coalesce(F.sum(m).over(inside), F.lit(0)) for m in measures}
         )
-        .drop("_slice", "_sub", "_key", *[f"_o_{m}" for m in measures])
+        .drop("_range", *[f"_o_{m}" for m in measures])
     )
 
 

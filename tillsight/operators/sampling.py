@@ -27,10 +27,15 @@ def sample_with_replacement(df: DataFrame, n: int, seed: int) -> DataFrame:
     """``n`` rows drawn with replacement.
 
     A Poisson sample somewhat larger than ``n`` is drawn where the rows are, and a random
-    ``n`` of it are kept by a distributed top-n.
+    ``n`` of it are kept by a distributed top-n.  A sample that turns out too small, which is
+    rare, is drawn again with twice the margin.
     """
     rows = df.count()
     if rows == 0:
         return df.limit(0)
-    fraction = (n + 6 * sqrt(n) + 10) / rows
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed).orderBy(F.rand(seed)).limit(n)
+    margin = 6 * sqrt(n) + 10
+    while True:
+        drawn = df.sample(withReplacement=True, fraction=(n + margin) / rows, seed=seed)
+        if drawn.count() >= n:
+            return drawn.orderBy(F.rand(seed)).limit(n)
+        margin *= 2
