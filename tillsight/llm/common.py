@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from ..sources.shared import materialize
 
 #: Words of a text: runs of anything but the six ASCII space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,6 +29,38 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def sampled(rows: DataFrame, group: str, id_col: str, most: int, seed: int) -> DataFrame:
+    """The ``most`` ids of every group with the smallest hashes, or all ids of a smaller group, each once.
+
+    Ids are counted first, and only those with a hash small enough for about half as many again are ranked: what
+    meets in a group's task depends on ``most`` alone, not on the rows or on the number of tasks before it.
+    """
+    draw = F.xxhash64(F.lit(seed), F.col(id_col))
+    sizes = materialize(rows.groupBy(F.col(group).alias("_of")).agg(F.approx_count_distinct(id_col).alias("_n")))
+    share = F.lit(1.5 * most + 50.0) / F.col("_n")
+    low = rows.join(sizes, F.col(group) == F.col("_of")).where(draw.cast("double") / F.lit(2.0**64) + 0.5 <= share)
+    order = Window.partitionBy(group).orderBy(draw, id_col)
+    return (
+        low.select(group, id_col)
+        .distinct()
+        .withColumn("_row", F.row_number().over(order))
+        .where(F.col("_row") <= most)
+        .drop("_row")
+    )
+
+
+def portions(batch: pa.RecordBatch, text: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts take about so many bytes; a longer text stands alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    first = 0
+    while first < len(ends):
+        before = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The runs of equal keys in a partition that is sorted by them, one table each."""
     held: list[pa.RecordBatch] = []

@@ -13,9 +13,9 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import in_fold, table
+from .common import in_fold, sampled, table
 
 #: Labelled documents of a language that the bits are fitted on, at most; they are chosen by a hash of the id.
 PER_LANGUAGE = 400
@@ -109,15 +109,9 @@ class Model:
 
 def fit(docs: DataFrame, lang: str = "lang") -> Model:
     """Fit on the given labelled rows; at most ``PER_LANGUAGE`` documents of a language reach the driver, as features."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id")
     labelled = docs.where(f"{lang} is not null and text is not null and doc_id is not null")
-    chosen = (
-        labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(lang).cast("string").alias("lang"))
-        .withColumn("_row", F.row_number().over(order))
-        .where(F.col("_row") <= PER_LANGUAGE)
-        .select("doc_id")
-        .distinct()
-    )
+    ids = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(lang).cast("string").alias("lang"))
+    chosen = sampled(ids, "lang", "doc_id", PER_LANGUAGE, SEED).select("doc_id").distinct()
     # at most PER_LANGUAGE ids of each language, so the ids may be broadcast
     texts = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(lang).cast("string").alias("lang"))
     rows = (

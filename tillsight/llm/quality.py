@@ -10,9 +10,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import in_fold, table
+from .common import in_fold, sampled, table
 
 #: Labelled documents of each class that the network is fitted on, at most; chosen by a hash of the id.
 PER_CLASS = 1_200
@@ -151,16 +151,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
 
     Labels of the evaluation fold are not looked at.  A document with two labels counts as the lower one.
     """
-    order = Window.partitionBy("quality").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id")
-    chosen = (
+    labelled = (
         labels.where("doc_id is not null and quality in (0, 1)")
         .where(~in_fold("doc_id", 3, 1))
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min(F.col("quality").cast("int")).alias("quality"))
-        .withColumn("_row", F.row_number().over(order))
-        .where(F.col("_row") <= PER_CLASS)
-        .drop("_row")
     )
+    chosen = sampled(labelled, "quality", "doc_id", PER_CLASS, SEED)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # two classes of at most PER_CLASS rows: a proven bound
     rows = (
