@@ -227,12 +227,18 @@ def digests(formatted: DataFrame) -> DataFrame:
 
     Turns are sorted by Spark, which spills, and pass one by one through the digest, so a task holds
     one turn at a time however long the conversation.  A digest of a conversation is sequential by
-    nature: its turns meet in one task.  Rows of equal turn go by role, then by marked text.
+    nature: its turns meet in one task.  Rows of equal turn go by role, then by text; NULL turns come last.
     """
+    body = F.regexp_extract("marked", r"(?s)^<turn>[^\n]*\n(.*)</turn>\n$", 1)
     return (
         formatted.select("conv_id", "turn", "role", "marked", "loss")
         .repartition("conv_id")
-        .sortWithinPartitions("conv_id", "turn", "role", "marked")
+        .sortWithinPartitions(
+            "conv_id",
+            F.col("turn").asc_nulls_last(),
+            F.coalesce("role", F.lit("")),
+            F.regexp_replace(body, r"(?s)\\(.)", "$1"),
+        )
         .select("conv_id", "marked", "loss")
         .mapInArrow(
             _digest_batches,
