@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from .common import table
+from .common import portions, table
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -28,6 +28,8 @@ WINDOW, BITS = 16, 9
 LEAST = 64
 #: What a worker keeps: pieces in each of two generations, and chunks of up to so many characters.
 PIECES, CHUNKS, CHUNK_CHARS = 150_000, 4_000, 8_192
+#: A longer piece is forgotten as soon as its text is done.
+PIECE_CHARS = 256
 
 #: A character that is one token when it is a word.
 _MARK = "\x01"
@@ -189,6 +191,9 @@ class Encoder:
         for row, last in rows:
             parts = [between.get(id(x), x[1]) if type(x) is tuple else ids[x] for x in row]
             out.append(b"".join([*parts, ids[last]]))
+        for piece in needed:
+            if len(piece) > PIECE_CHARS:
+                del ids[piece]
         return out
 
     def encode(self, text: str | None) -> bytes:
@@ -210,30 +215,19 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-#: Characters that are encoded together; a longer text goes alone.
+#: Bytes of texts that are encoded together; a longer text goes alone.
 _TOGETHER = 1_000_000
 
 
-def _together(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about so many characters."""
-    first = held = 0
-    for i, text in enumerate(texts):
-        held += len(text or "")
-        if held >= _TOGETHER or i == len(texts) - 1:
-            yield first, i + 1
-            first, held = i + 1, 0
-
-
 def _encode_batches(path: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(path)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in _together(texts):
-                codes = made.encode_many(texts[a:b])
+            for part in portions(batch, most=_TOGETHER):
+                codes = made.encode_many(part.column("text").to_pylist())
                 decoded = [hashlib.sha256(made.decode(c).encode()).hexdigest() for c in codes]
                 columns = {
-                    "doc_id": batch.column("doc_id").slice(a, b - a),
+                    "doc_id": part.column("doc_id"),
                     "n_tokens": pa.array([len(c) // 4 for c in codes], pa.int64()),
                     "ids_sha256": pa.array([hashlib.sha256(c).hexdigest() for c in codes]),
                     "decoded_sha256": pa.array(decoded),

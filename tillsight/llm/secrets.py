@@ -15,7 +15,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import table
+from .common import portions, table
 
 #: Kinds in the order in which spans with equal starts are listed; the first three are the base.
 KINDS = ("assign", "access", "hex", "github", "npm")
@@ -130,16 +130,17 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def _redact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     automaton = _automaton()
-    for batch in batches:
-        columns = {n: batch.column(n) for n in batch.schema.names}
-        old = columns["text"].to_pylist()
-        new = [redact(t, find(t, automaton)) for t in old]
-        columns["text"] = pa.array(new, batch.schema.field("text").type)
-        if "n_chars" in columns:
-            kept = columns["n_chars"].to_pylist()
-            n_chars = [n if a == b else len(b) for n, a, b in zip(kept, old, new)]
-            columns["n_chars"] = pa.array(n_chars, batch.schema.field("n_chars").type)
-        yield pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema)
+    for whole in batches:
+        for batch in portions(whole):
+            columns = {n: batch.column(n) for n in batch.schema.names}
+            old = columns["text"].to_pylist()
+            new = [redact(t, find(t, automaton)) for t in old]
+            columns["text"] = pa.array(new, batch.schema.field("text").type)
+            if "n_chars" in columns:
+                kept = columns["n_chars"].to_pylist()
+                n_chars = [n if a == b else len(b) for n, a, b in zip(kept, old, new)]
+                columns["n_chars"] = pa.array(n_chars, batch.schema.field("n_chars").type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), schema=batch.schema)
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
