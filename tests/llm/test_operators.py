@@ -3,8 +3,10 @@
 import hashlib
 import re
 
+import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tillsight.llm import bpe, chat, embedding_dedup, hnsw, langid, mixing, quality, secrets, simhash, urls
+from tillsight.llm.common import portions, sampled
 from tillsight.llm.components import components
 from tillsight.llm.queries import ORACLE, QUERIES
 from tools.check_results import compare, duckdb_on
@@ -257,6 +260,34 @@ def test_chat_typed_parts(spark):
     assert chat.digests(chat.format_turns(rows.limit(0).withColumn("parts", chat.text_parts("text")))).count() == 0
 
 
+def test_chat_ties_match_sql(spark, tmp_path):
+    """Turns that are equal, NULL or texts that begin alike go in the order that the SQL states."""
+    rows = [(1, t, role, text) for t in (2, None) for role in ("user", None, "assistant") for text in ("a", "a b", "<a", "A", "\\\\", "", None)]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3).write.parquet(
+        f"{tmp_path}/conversations.parquet"
+    )
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    name = "op6_chat_formatting"
+    assert compare(spark, con, name, QUERIES[name], ORACLE[name], str(tmp_path)) is None
+
+
+def test_samples_are_the_smallest_hashes(spark):
+    rows = spark.range(3_000).selectExpr("if(id < 2900, 'a', 'b') g", "id").union(spark.range(500).selectExpr("'a'", "7L"))
+    found = sampled(rows, "g", "id", 200, 5).collect()
+    ranked = rows.distinct().withColumn("h", F.xxhash64(F.lit(5), "id")).where("g = 'a'").orderBy("h").limit(200)
+    assert {r.id for r in found if r.g == "a"} == {r.id for r in ranked.collect()}
+    assert len(found) == 300 and {r.id for r in found if r.g == "b"} == set(range(2_900, 3_000))
+
+
+def test_portions_hold_every_row_once():
+    texts = ["a" * 50, None, "b" * 500, "", "c" * 30, "d" * 30]
+    whole = pa.RecordBatch.from_pydict({"text": texts})
+    parts = [p.column("text").to_pylist() for p in portions(whole, most=100)]
+    assert sum(parts, []) == texts and [len(p) for p in parts] == [2, 1, 3]
+    assert list(portions(whole.slice(0, 0))) == []
+
+
 def test_neighbours_recall(spark):
     found = QUERIES["op7_nearest_neighbours"](spark, SF).collect()
     rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
