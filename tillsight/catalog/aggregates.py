@@ -136,6 +136,16 @@ def agg_approx_distinct(spark, sf_dir):
     return retail(spark, sf_dir).groupBy("season").agg(F.approx_count_distinct("customer_id").alias("customers"))
 
 
+@query("agg_approx_distinct_rules", on_retail("SELECT season, TRUE AS near FROM retail GROUP BY 1"))
+def agg_approx_distinct_rules(spark, sf_dir):
+    """Whether the approximate count is within three of its standard errors of the exact one."""
+    exact = retail(spark, sf_dir).groupBy("season").agg(F.count_distinct("customer_id").alias("exact"))
+    gap = F.abs(F.col("customers") - F.col("exact"))
+    return agg_approx_distinct(spark, sf_dir).join(exact, "season").select(
+        "season", (gap <= F.col("exact") * 0.15).alias("near")
+    )
+
+
 @query(
     "agg_max_string",
     on_retail("SELECT customer_id, MAX(discount_applied) AS any_discount, MAX(season) AS last_season FROM retail GROUP BY 1"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..ml.classifiers import PROMO, save_model, train
@@ -152,3 +153,21 @@ def model_roundtrip(spark, sf_dir):
     save_model(train(training, PROMO), path)
     scored = PipelineModel.load(path).transform(held_out)
     return scored.groupBy("promo_code_used", "predicted_label").agg(F.count("*").alias("n"))
+
+
+@query(
+    "model_roundtrip_rules",
+    on_retail("SELECT promo_code_used, COUNT(*) AS n, CAST(0 AS BIGINT) AS changed FROM retail GROUP BY 1"),
+)
+def model_roundtrip_rules(spark, sf_dir):
+    """Rows scored by a model before and after it was saved, and how many probabilities changed."""
+    from pyspark.ml import PipelineModel
+
+    purchases = retail(spark, sf_dir)
+    path = shared_folder(spark)
+    model = train(deterministic_split(purchases, ["order_id"])[0], PROMO)
+    save_model(model, path)
+    before = model.transform(purchases).withColumnRenamed("probability", "earlier")
+    both = PipelineModel.load(path).transform(before.select("promo_code_used", *PROMO.inputs, "earlier"))
+    changed = vector_to_array("probability") != vector_to_array("earlier")
+    return both.groupBy("promo_code_used").agg(F.count("*").alias("n"), F.count_if(changed).alias("changed"))

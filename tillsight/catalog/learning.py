@@ -40,14 +40,37 @@ def one_hot(spark, sf_dir):
 
 @query("assemble_features")
 def assemble_features(spark, sf_dir):
-    """Encoded promo inputs of every customer as an array."""
+    """Encoded promo inputs of every purchase as an array."""
     from pyspark.ml import Pipeline
 
     spec = classifiers.PROMO
-    profiles = _profiles(retail(spark, sf_dir))
+    purchases = materialize(retail(spark, sf_dir).select("customer_id", "order_id", *spec.inputs))
     stages = [*features.encoder_stages(spec.categorical), features.assembler(spec.categorical, spec.numeric)]
-    vectors = Pipeline(stages=stages).fit(profiles).transform(profiles)
-    return vectors.select("customer_id", vector_to_array("features").alias("features"))
+    vectors = Pipeline(stages=stages).fit(purchases).transform(purchases)
+    return vectors.select("customer_id", "order_id", vector_to_array("features").alias("features"))
+
+
+_HOT = " UNION ALL ".join(f"SELECT {i} AS c, {name} AS v FROM retail" for i, name in enumerate(classifiers.PROMO.categorical))
+_NUMBERS = " UNION ALL ".join(
+    f"SELECT (SELECT COUNT(*) FROM placed) + {i}, COUNT(CASE WHEN {name} <> 0 THEN 1 END), {rnd(f'CAST(SUM({name}) AS DOUBLE)')} FROM retail"
+    for i, name in enumerate(classifiers.PROMO.numeric)
+)
+
+
+@query(
+    "assemble_features_rules",
+    on_retail(
+        f"SELECT CAST(position AS INT) AS position, filled, total FROM (SELECT * FROM placed UNION ALL {_NUMBERS})",
+        placed="SELECT ROW_NUMBER() OVER (ORDER BY c, n DESC, v) - 1 AS position, n AS filled, CAST(n AS DOUBLE) AS total "
+        f"FROM (SELECT c, v, COUNT(*) AS n FROM ({_HOT}) GROUP BY 1, 2)",
+    ),
+)
+def assemble_features_rules(spark, sf_dir):
+    """Of every position of the encoded purchases: rows that are not zero, and the sum."""
+    entries = assemble_features(spark, sf_dir).select(F.posexplode("features").alias("position", "value"))
+    return entries.groupBy("position").agg(
+        F.count_if(F.col("value") != 0).alias("filled"), round_half_up(F.sum("value"), 2).alias("total")
+    )
 
 
 def _profiles(r):
@@ -168,6 +191,24 @@ def score_promo_batch(spark, sf_dir):
     return classifiers.score_class(model, _profiles(r), ["customer_id"])
 
 
+@query(
+    "score_promo_rules",
+    on_retail(
+        "SELECT COUNT(DISTINCT customer_id) AS n, COUNT(DISTINCT customer_id) AS customers, CAST(0 AS BIGINT) AS outside, "
+        "CAST(0 AS BIGINT) AS against FROM retail"
+    ),
+)
+def score_promo_rules(spark, sf_dir):
+    """Scored rows and customers, probabilities that are none, and decisions against the probability."""
+    p, yes = F.col("probability"), F.col("decision") == "Yes"
+    return score_promo_batch(spark, sf_dir).agg(
+        F.count("*").alias("n"),
+        F.count_distinct("customer_id").alias("customers"),
+        F.count_if(~F.coalesce(p.between(0, 1), F.lit(False))).alias("outside"),
+        F.count_if((yes & (p < 0.5)) | (~yes & (p > 0.5))).alias("against"),
+    )
+
+
 @query("score_season_topk")
 def score_season_topk(spark, sf_dir):
     """The three likeliest items of every customer in each of the four seasons."""
@@ -225,6 +266,22 @@ def recommend_all(spark, sf_dir):
     return recommend.recommend_all(model, 25)
 
 
+@query(
+    "recommend_all_rules",
+    on_retail(
+        "SELECT customer_id AS user_id, LEAST(25, (SELECT COUNT(DISTINCT item_purchased) FROM retail)) AS n, TRUE AS distinct_items "
+        "FROM retail GROUP BY 1"
+    ),
+)
+def recommend_all_rules(spark, sf_dir):
+    """How many items each user is given, and whether they differ."""
+    return (
+        recommend_all(spark, sf_dir)
+        .groupBy(F.col("user_id").cast("bigint").alias("user_id"))
+        .agg(F.count("*").alias("n"), (F.count("*") == F.count_distinct("item_id")).alias("distinct_items"))
+    )
+
+
 @query("novel_recs_als")
 def novel_recs_als(spark, sf_dir):
     return _novel(spark, sf_dir)[0]

@@ -172,3 +172,14 @@ def split(spark, sf_dir):
 @query("sample_replacement")
 def sample_replacement(spark, sf_dir):
     return sample_with_replacement(table(spark, sf_dir, "orders"), 50, seed=42)
+
+
+@query(
+    "sample_replacement_rules",
+    "SELECT CAST(CASE WHEN COUNT(*) > 0 THEN 50 ELSE 0 END AS BIGINT) AS n, CAST(0 AS BIGINT) AS strangers FROM orders",
+)
+def sample_replacement_rules(spark, sf_dir):
+    """How many rows are drawn, and how many of them are no rows of the table."""
+    known = table(spark, sf_dir, "orders").select("o_orderkey", F.lit(1).alias("known"))
+    drawn = sample_replacement(spark, sf_dir).join(known, "o_orderkey", "left")
+    return drawn.agg(F.count("*").alias("n"), F.count_if(F.col("known").isNull()).alias("strangers"))
