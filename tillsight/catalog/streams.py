@@ -1,8 +1,8 @@
 """Stream queries, run over what is available and read back as tables.
 
-The events of the test tables lie in one file or many in no fixed order.  A query without
-late data therefore takes all of them in one micro-batch, so that the watermark cannot drop
-any; queries about several batches stage the events in arrival order first.
+The events of the test tables lie in one file or many in no fixed order.  Windowed queries
+stage them in arrival order first, so that windows are continued from the state of earlier
+batches and closed by the watermark; other queries take all events in one micro-batch.
 """
 
 from __future__ import annotations
@@ -45,11 +45,18 @@ def _wall_clock(df):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times}) if times else df
 
 
-def _current(spark, result, keys):
-    """Run an update-mode result to the end and return its current rows."""
-    folder = shared_folder(spark)
-    sinks.finish(sinks.to_versions(result, f"{folder}/rows", f"{folder}/checkpoint"))
-    versions = sinks.read_versions(spark, f"{folder}/rows", result)
+#: Arrivals of the windowed queries.
+TIMES = 3
+
+
+def _current(spark, sf_dir, result_of, keys):
+    """Run an update-mode result over the events as they come in time, and return its current rows."""
+    events = table(spark, sf_dir, "events")
+    cuts = events.agg(F.percentile_approx("ts", [k / TIMES for k in range(1, TIMES)])).first()[0] or []
+    arrival = F.lit(0)
+    for cut in cuts:
+        arrival = arrival + F.coalesce(F.col("ts") > F.lit(cut), F.lit(False)).cast("int")
+    versions = _run_arrivals(spark, events, arrival, TIMES, result_of, sinks.to_versions)
     return _wall_clock(sinks.latest_version(versions, keys))
 
 
@@ -109,7 +116,8 @@ def stream_event_time(spark, sf_dir):
 SPLITS = 4
 
 
-def _split_number(last_id: int):
+def _split_number(events):
+    last_id = events.agg(F.max("event_id")).first()[0]
     on_time = F.floor(F.col("event_id") * 3 / F.lit(last_id + 1)).cast("int")
     return on_time + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
 
@@ -120,13 +128,11 @@ _ARRIVALS = (
 )
 
 
-def _run_arrivals(spark, sf_dir, result_of, start):
+def _run_arrivals(spark, events, arrival, arrivals, result_of, start):
     """Stage one arrival after the other; each is a run of the same query that stops when done."""
-    events = table(spark, sf_dir, "events")
-    last_id = events.agg(F.max("event_id")).first()[0]
     folder = shared_folder(spark)
-    for k in range(SPLITS):
-        events.where(_split_number(last_id) == k).write.parquet(f"{folder}/arrivals/{k}")
+    for k in range(arrivals):
+        events.where(arrival == k).write.parquet(f"{folder}/arrivals/{k}")
         stream = read_stream(
             spark, f"{folder}/arrivals/*", events.schema, fmt="parquet", files_per_trigger=None
         )
@@ -169,7 +175,8 @@ def _daily(purchases):
 )
 def stream_sink_durable(spark, sf_dir):
     """Four arrivals in four runs on one checkpoint; the newest version of each row counts."""
-    versions = _run_arrivals(spark, sf_dir, _daily, sinks.to_versions)
+    events = table(spark, sf_dir, "events")
+    versions = _run_arrivals(spark, events, _split_number(events), SPLITS, _daily, sinks.to_versions)
     return _wall_clock(sinks.latest_version(versions, ["window_start", "category"]))
 
 
@@ -196,14 +203,16 @@ def _late(purchases):
 )
 def stream_watermark_late(spark, sf_dir):
     """Late rows are dropped once the watermark of the earlier arrivals has passed their window."""
-    versions = _run_arrivals(spark, sf_dir, _late, sinks.to_versions)
+    events = table(spark, sf_dir, "events")
+    versions = _run_arrivals(spark, events, _split_number(events), SPLITS, _late, sinks.to_versions)
     return _wall_clock(sinks.latest_version(versions, ["window_start"]))
 
 
 def _hourly_categories(spark, sf_dir):
-    stream = with_lateness(_purchases(spark, sf_dir))
-    result = jobs.category_performance(stream, "1 hour", approximate_customers=False)
-    return _current(spark, result, ["window_start", "window_end", "category"])
+    def result_of(purchases):
+        return jobs.category_performance(with_lateness(purchases), "1 hour", approximate_customers=False)
+
+    return _current(spark, sf_dir, result_of, ["window_start", "window_end", "category"])
 
 
 _HOUR = "DATE_TRUNC('hour', event_time)"
@@ -248,18 +257,22 @@ _SUBSCRIBED = "subscription_status = 'Yes'"
     ),
 )
 def stream_kpis(spark, sf_dir):
-    result = jobs.live_kpis(
-        with_lateness(_purchases(spark, sf_dir)),
-        "1 hour",
-        payment_shares={"purchase_pct": "purchase", "view_pct": "view"},
-        approximate_customers=False,
-    )
-    return _current(spark, result, ["window_start", "window_end"])
+    def result_of(purchases):
+        return jobs.live_kpis(
+            with_lateness(purchases),
+            "1 hour",
+            payment_shares={"purchase_pct": "purchase", "view_pct": "view"},
+            approximate_customers=False,
+        )
+
+    return _current(spark, sf_dir, result_of, ["window_start", "window_end"])
 
 
 def _daily_behavior(spark, sf_dir):
-    result = jobs.customer_behavior(with_lateness(_purchases(spark, sf_dir)), "1 day")
-    return _current(spark, result, ["window_start", "window_end", "age_group", "gender"])
+    def result_of(purchases):
+        return jobs.customer_behavior(with_lateness(purchases), "1 day")
+
+    return _current(spark, sf_dir, result_of, ["window_start", "window_end", "age_group", "gender"])
 
 
 _DAY = "CAST(DATE_TRUNC('day', event_time) AS TIMESTAMP)"
@@ -306,9 +319,11 @@ def stream_anomalies(spark, sf_dir):
 
 
 def _hourly_quality(spark, sf_dir):
-    gappy = with_validity_flags(with_missing_values(_purchases(spark, sf_dir)))
-    result = jobs.data_quality(with_lateness(gappy, column="processing_time"), "1 hour")
-    return _current(spark, result, ["window_start", "window_end"])
+    def result_of(purchases):
+        gappy = with_validity_flags(with_missing_values(purchases))
+        return jobs.data_quality(with_lateness(gappy, column="processing_time"), "1 hour")
+
+    return _current(spark, sf_dir, result_of, ["window_start", "window_end"])
 
 
 _PROCESSED = "DATE_TRUNC('hour', processing_time)"
