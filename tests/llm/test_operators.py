@@ -392,6 +392,51 @@ def test_url_models_match_a_plain_model(spark):
         assert abs(ratios[gram] - exact * 1e6) <= 1
 
 
+def test_url_models_grow_and_keep_characters(spark):
+    """Contexts of up to ORDER characters as they stand, against a plain model."""
+    ruled = [("http://good.org/casino-Ä", "allow"), ("http://good.org/free-日😀", "allow"), ("http://good.org/aab", "allow")]
+    ruled += [("http://bad.com/casino-ü", "block"), ("http://bad.com/FREE-日😁", "block"), ("http://bad.com/q", "block")]
+    asked = [(u, None) for u in ("http://x.net/casino-Ä", "http://x.net/casino-ü", "http://x.net/free-", "http://x.net/FREE-", "日", "é")]
+    df = spark.createDataFrame(list(enumerate(ruled + asked)), "_id bigint, _u struct<_url: string, _side: string>").select("_id", "_u.*")
+    grams = urls.grams_at(df).persist()
+    ratios = urls.context_ratios(grams).persist()
+    found = {r._id: r._score for r in urls._scores(grams, ratios).collect()}
+    seen = {"allow": {}, "block": {}}
+
+    def places(url):
+        at = [None] * urls.ORDER + list(url)
+        return [(tuple(at[i - urls.ORDER : i]), at[i]) for i in range(urls.ORDER, len(at))]
+
+    for url, side in ruled:
+        for context, c in places(url):
+            for n in range(urls.ORDER + 1):
+                seen[side].setdefault(context[n:], []).append(c)
+    letters = len({c for url, _ in ruled for c in url})
+
+    def chance(side, context, c):
+        lower = chance(side, context[1:], c) if context else 1 / (letters + 1)
+        after = seen[side].get(context, [])
+        t = len(set(after))
+        return (after.count(c) + t * lower) / (len(after) + t) if after else lower
+
+    for i, (url, _) in enumerate(ruled + asked):
+        exact = [np.log(chance("allow", *p)) - np.log(chance("block", *p)) for p in places(url)]
+        assert abs(found[i] - np.mean(exact)) <= 1e-6
+    assert ratios.count() == len({p for url, _ in ruled + asked for p in places(url)})
+
+
+def test_url_scores_follow_long_contexts_and_case(spark):
+    """URLs that differ in a character outside ASCII, in case, or far back only get scores of their own."""
+    rows = [f"http://h{i}.org/{x}" for i in range(60) for x in ("é", "a-xxzz1", "b-xxzz2", "K")]
+    rows += [f"http://h{i}.com/de/{x}" for i in range(60) for x in ("ü", "b-xxzz1", "a-xxzz2", "k")]
+    pairs = [("é", "ü"), ("K", "k"), ("a-xxzz1", "b-xxzz1"), ("b-xxzz2", "a-xxzz2")]
+    rows += [f"http://o.net/{x}" for pair in pairs for x in pair]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id bigint, url string")
+    found = {r.url: r._score for r in urls.judge(df).collect()}
+    for good, bad in pairs:
+        assert found[f"http://o.net/{good}"] > found[f"http://o.net/{bad}"] + 0.05
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     at, sizes = docs, []

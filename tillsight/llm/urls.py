@@ -1,6 +1,7 @@
 """URL filter by character language models, with DataFrame functions only.
 
-Two variable-order Markov models are counted over URLs that the rules accept and reject.  Where
+Two variable-order Markov models are counted over URLs that the rules accept and reject.  Their contexts
+are the characters as they stand, up to ``ORDER`` of them, in a table that grows with the URLs.  Where
 the rules are silent, the difference of the length-normalised log-likelihoods is held against a
 threshold that was calibrated on rule-decided URLs that the models did not see.
 """
@@ -22,7 +23,11 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-#: Characters with a class of their own; all others share class 0, and class 63 stands before the start.
+#: Most characters of context that a character is predicted from.
+ORDER = 8
+#: A gram that makes up this part of all positions is hot; there are at most so many of them.
+HOT = 5_000
+#: Of the model of fixed size: characters with a class of their own; all others share class 0, and class 63 stands before the start.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789/.-_:?=&%#+~,;@!$'()*[]"
 _BASE = 64
 _START = 63
@@ -76,7 +81,7 @@ def _grams(urls: DataFrame) -> DataFrame:
 def log_ratios(grams: DataFrame) -> DataFrame:
     """``(_gram, _ratio)`` for every gram of two characters of context: log of accepted over rejected.
 
-    A character is predicted from two characters before it, which is interpolated with one, none
+    This is the model of fixed size; URLs are judged by ``context_ratios``.  A character is predicted from two characters before it, which is interpolated with one, none
     and the uniform distribution in turn.  A context of n occurrences with t different successors
     gives n / (n + t) of the weight to its own counts (the rule of Witten and Bell), and one that
     never occurred gives all weight to the shorter one: so the order varies with the context.  There are
@@ -116,16 +121,94 @@ def log_ratios(grams: DataFrame) -> DataFrame:
     )
 
 
+def grams_at(urls: DataFrame, order: int = ORDER) -> DataFrame:
+    """``_id, _side, _gram`` of every character of each URL: the character after as many as ``order`` before it.
+
+    Characters are code points as they stand.  A gram of fewer than ``order + 1`` characters begins where the URL
+    does: so its length tells how many places of its context lie before the start.
+    """
+    chars = F.split("_url", "")
+    size = F.size("_chars")
+    gram = F.transform(
+        F.sequence(F.lit(1), size),
+        lambda i: F.array_join(
+            F.slice("_chars", F.greatest(i - F.lit(order), F.lit(1)), F.least(i, F.lit(order + 1))), ""
+        ),
+    )
+    return urls.withColumn("_chars", chars).select("_id", "_side", F.explode(F.when(size > 0, gram)).alias("_gram"))
+
+
+def context_ratios(grams: DataFrame, order: int = ORDER) -> DataFrame:
+    """``(_gram, _all, _ratio)`` of every gram: its occurrences, and the log of accepted over rejected.
+
+    A character is predicted from ``order`` characters before it, which are interpolated with one less, and so on
+    down to none and the uniform distribution over the characters of both models and one for all others.  Weights
+    follow the rule of Witten and Bell, as in ``log_ratios``.  The table has a row for every gram that occurs, so it
+    grows with the URLs; each join meets a row of the shorter context with one row a character at most.
+    """
+    counted = materialize(
+        grams.groupBy("_gram").agg(
+            F.count(F.lit(1)).alias("_all"),
+            F.count_if(F.col("_side") == "allow").alias("_allow"),
+            F.count_if(F.col("_side") == "block").alias("_block"),
+        )
+    )
+    levels = F.explode(F.sequence(F.lit(1), F.lit(order + 1))).alias("_level")
+    ends = (
+        counted.select("*", levels)
+        .groupBy("_level", F.right("_gram", F.col("_level")).alias("_end"))
+        .agg(F.sum("_allow").alias("_allow"), F.sum("_block").alias("_block"))
+        .withColumn("_context", F.left("_end", F.char_length("_end") - 1))
+    )
+    # a context has one row for each character at most
+    context = Window.partitionBy("_level", "_context")
+
+    def weights(side: str) -> list[Column]:
+        """What the own counts add, and the weight of the shorter context."""
+        n = F.col(side)
+        s, t = F.sum(n).over(context).cast("double"), F.count_if(n > 0).over(context).cast("double")
+        return [
+            F.when(s > 0, n / (s + t)).otherwise(0.0).alias(f"{side}_own"),
+            F.when(s > 0, t / (s + t)).otherwise(1.0).alias(f"{side}_rest"),
+        ]
+
+    weighed = materialize(ends.select("_level", "_end", *weights("_allow"), *weights("_block"), (F.col("_allow") + F.col("_block") > 0).alias("_known")))
+    letters = weighed.where("_level = 1 and _known").count()
+    sides = ("_allow", "_block")
+    at = weighed.where("_level = 1").select(
+        "_end", *[(F.col(f"{x}_own") + F.col(f"{x}_rest") * F.lit(1.0 / (letters + 1))).alias(x) for x in sides]
+    )
+    for k in range(2, order + 2):
+        below = at.toDF("_below", "_allow", "_block")
+        at = (
+            weighed.where(F.col("_level") == k)
+            .join(below, F.right("_end", F.lit(k - 1)) == F.col("_below"))
+            .select("_end", *[(F.col(f"{x}_own") + F.col(f"{x}_rest") * F.col(x)).alias(x) for x in sides])
+        )
+    ratio = F.round((F.log("_allow") - F.log("_block")) * _UNIT).cast("long")
+    return counted.select("_gram", "_all").join(at, F.col("_gram") == F.col("_end")).select("_gram", "_all", ratio.alias("_ratio"))
+
+
 def _scores(grams: DataFrame, ratios: DataFrame) -> DataFrame:
-    """Log-likelihood difference per character of each URL.
+    """``_id, _score``: log-likelihood difference per character of each URL.
 
-    The table of ratios has 64 cubed rows at any input, so it may be broadcast.  The grams of a URL are
-    made and summed where the URL already is: no shuffle.
+    The table of ratios grows with the URLs and is joined by shuffle.  Grams that many URLs share, as those of
+    their first characters, would make large tasks: those that take ``1 / HOT`` of all positions or more are
+    joined by broadcast instead, of which there are at most ``HOT``.
     """
+    total = ratios.agg(F.sum("_all")).first()[0] or 0
+    hot = F.broadcast(ratios.where(F.col("_all") * HOT >= total).select("_gram", "_ratio"))
+    many = grams.select("_id", "_gram").join(hot, "_gram").select("_id", "_ratio")
+    few = (
+        grams.select("_id", "_gram")
+        .join(hot.select("_gram"), "_gram", "left_anti")
+        .join(ratios.where(F.col("_all") * HOT < total).select("_gram", "_ratio"), "_gram")
+        .select("_id", "_ratio")
+    )
     return (
-        grams.join(F.broadcast(ratios), "_gram")
-        .groupBy("_url")
-        .agg((F.sum("_ratio") / (F.max("_length") * F.lit(float(_UNIT)))).alias("_score"))
+        many.union(few)
+        .groupBy("_id")
+        .agg((F.sum("_ratio") / (F.count(F.lit(1)) * F.lit(float(_UNIT)))).alias("_score"))
     )
 
 
@@ -162,15 +245,18 @@ def judge(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, str, st
     """
     ruled = with_rules(pages, url, rules)
     distinct = materialize(
-        ruled.where(F.col(url) != "").select(F.col(url).alias("_url"), "_ruled").distinct()
+        ruled.where(F.col(url) != "")
+        .select(F.col(url).alias("_url"), "_ruled")
+        .distinct()
+        .withColumn("_id", F.monotonically_increasing_id())
     )
     fold = F.pmod(F.crc32(F.col("_url").cast("binary")), F.lit(_PARTS)) == 0
-    train = distinct.where(F.col("_ruled").isNotNull() & ~fold)
-    ratios = materialize(log_ratios(_grams(train).withColumnRenamed("_ruled", "_side")))
-    scored = materialize(_scores(_grams(distinct.select("_url").distinct()), ratios))
-    kept = distinct.where(F.col("_ruled").isNotNull() & fold)
-    limit = F.coalesce(F.lit(_threshold(kept.join(scored, "_url")).first()[0]), F.lit(0.0))
-    verdicts = scored.withColumnRenamed("_url", "_of")
+    grams = materialize(grams_at(distinct.withColumn("_side", F.when(~fold, F.col("_ruled")))))
+    ratios = materialize(context_ratios(grams))
+    scored = materialize(distinct.join(_scores(grams, ratios), "_id").select("_url", "_ruled", "_score"))
+    kept = scored.where(F.col("_ruled").isNotNull() & fold)
+    limit = F.coalesce(F.lit(_threshold(kept).first()[0]), F.lit(0.0))
+    verdicts = scored.select(F.col("_url").alias("_of"), "_score")
     open_pages = ruled.join(verdicts, F.col(url) == F.col("_of"), "left")
     by_model = F.when(F.coalesce(F.col("_score"), F.lit(0.0)) >= limit, "allow").otherwise("block")
     return open_pages.withColumn("_verdict", F.coalesce("_ruled", by_model)).drop("_of", "_ruled")
