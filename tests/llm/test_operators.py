@@ -437,6 +437,17 @@ def test_url_scores_follow_long_contexts_and_case(spark):
         assert found[f"http://o.net/{good}"] > found[f"http://o.net/{bad}"] + 0.05
 
 
+def test_simhash_repeated_ids_lose_no_text(spark):
+    """Rows of one doc_id with different texts are documents of their own, and link no others."""
+    texts = ["alpha beta gamma delta epsilon", "one two three four five six", "red green blue black white", "north south east west up"]
+    rows = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (3, texts[2]), (3, texts[3]), (3, texts[3]), (4, texts[2]), (5, texts[3]), (6, None), (6, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in simhash.keep_one(df).collect()), key=repr)
+    assert kept == sorted([(1, texts[0]), (2, texts[1]), (3, texts[2]), (3, texts[3]), (6, None)], key=repr)
+    groups = {r.fp: r.group for r in simhash.grouped(df).collect()}
+    assert len(set(groups.values())) == 5
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     at, sizes = docs, []

@@ -14,7 +14,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.shared import materialize
 from .common import Forest, groups_of, table, tiled
@@ -163,41 +163,73 @@ def links(classes: DataFrame) -> DataFrame:
     ).mapInArrow(_link_batches, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp, component`` of every row: the smallest doc_id that links lead to, its own included.
+def grouped(docs: DataFrame) -> DataFrame:
+    """``doc_id, fp, group, component`` of every row; the group is the smallest fingerprint that links lead to.
 
-    Documents with one fingerprint are one class, which enters the search once however large it is; classes
-    and components are joined back by equi joins.  A NULL doc_id gets a fingerprint and the component of its
-    class, and names no component unless all its class is NULL.  NULL and empty texts have fingerprint 0.
+    Documents with one fingerprint are one class, which enters the search once however large it is; classes and
+    groups are joined back by equi joins.  Classes are named by their fingerprints, so those of one doc_id with
+    several texts stay apart.  ``component`` is the smallest doc_id of the group.  A NULL doc_id gets the group of its
+    class, and its class links no others if all of it is NULL.  NULL and empty texts have fingerprint 0.
     """
     made = materialize(fingerprints(docs))
     classes = materialize(made.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    grouped = materialize(components(links(classes.where("rep is not null"))))
-    named = classes.join(grouped, F.col("rep") == F.col("node"), "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("component", "rep").alias("component")
+    linked = materialize(components(links(classes.where("rep is not null").select(F.col("fp").alias("rep"), "fp"))))
+    named = materialize(
+        classes.join(linked, F.col("fp") == F.col("node"), "left").select(
+            F.col("fp").alias("_fp"), F.coalesce("component", "fp").alias("group"), "rep"
+        )
     )
-    return made.join(named, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component")
+    least = named.groupBy(F.col("group").alias("_group")).agg(F.min("rep").alias("component"))
+    known = named.join(least, F.col("group") == F.col("_group")).select("_fp", "group", "component")
+    return made.join(known, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "group", "component")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, fp, component`` of every row: the smallest doc_id that links lead to, its own included."""
+    return grouped(docs).select("doc_id", "fp", "component")
+
+
+def _with_fingerprint(text: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = np.array([fingerprint(t.as_py()) for t in batch.column(text)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.int64())], [*batch.schema.names, "fp"])
+
+    return run
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without near copies: of each component the row of its smallest doc_id.
+    """The documents without near copies: of each group the row that is first by doc_id and text.
 
-    Rows with a NULL doc_id cannot be named by a component: they are kept.  Rows that repeat one doc_id share
-    its component; one of them is kept, the first by text.
+    Rows with a NULL doc_id are kept.  A doc_id that stands on one row names it; only rows of other doc_ids get
+    their fingerprint again, which tells to which group each belongs.
     """
-    found = near_duplicates(docs)
-    kept = found.where(F.col("doc_id") == F.col("component")).select(F.col("doc_id").alias("_kept")).distinct()
+    found = materialize(grouped(docs).where("doc_id is not null"))
+    is_first = F.col("doc_id") == F.col("component")
+    firsts = (
+        found.groupBy(F.col("doc_id").alias("_kept"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.max(is_first).alias("_first"))
+        .where("_first")
+    )
+    repeated = materialize(firsts.where("_n > 1").select("_kept"))  # of a size that Spark knows: mostly empty
     names = docs.columns
     aside = docs.toDF(*[f"d{i}" for i in range(len(names))])  # a column of any name passes through
     doc_id, text = (F.col(f"d{names.index(n)}") for n in ("doc_id", "text"))
-    first = Window.partitionBy("_kept").orderBy(text)
-    chosen = (
-        aside.join(kept, doc_id.cast("long") == F.col("_kept"))
-        .withColumn("_row", F.row_number().over(first))
-        .where("_row = 1")
+    single = aside.join(firsts.where("_n = 1"), doc_id.cast("long") == F.col("_kept")).select(*aside.columns)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in aside.schema)
+    again = (
+        aside.join(repeated, doc_id.cast("long") == F.col("_kept"))
         .select(*aside.columns)
+        .mapInArrow(_with_fingerprint(f"d{names.index('text')}"), f"{kinds}, fp bigint")
+    )
+    wanted = found.where(is_first).select(F.col("doc_id").alias("_kept"), F.col("fp").alias("_fp"), "group").distinct()
+    several = (
+        again.join(wanted, (doc_id.cast("long") == F.col("_kept")) & (F.col("fp") == F.col("_fp")))
+        .groupBy("group")
+        .agg(F.min_by(F.struct(*aside.columns), F.struct(text)).alias("_row"))
+        .select("_row.*")
     )
-    return chosen.unionByName(aside.where(doc_id.isNull())).toDF(*names)
+    return single.unionByName(several).unionByName(aside.where(doc_id.isNull())).toDF(*names)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
