@@ -448,6 +448,20 @@ def test_simhash_repeated_ids_lose_no_text(spark):
     assert len(set(groups.values())) == 5
 
 
+def test_training_samples_hold_a_row_an_id(spark, monkeypatch):
+    """An id that stands on many rows counts as one document."""
+    seen = {}
+    monkeypatch.setattr(quality, "train", lambda raw, good: seen.setdefault("quality", raw))
+    rows = [(i, f"text of {i}", "en" if i % 2 else "fr") for i in range(1, 20)] + [(1, f"again {k}", "en") for k in range(500)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 20)], "doc_id bigint, quality int")
+    quality.fit(df, labels)
+    assert len(seen["quality"]) == labels.where(~quality.in_fold("doc_id", 3, 1)).count()
+    monkeypatch.setattr(langid, "scaled", lambda x: seen.setdefault("langid", x))
+    langid.fit(df)
+    assert len(seen["langid"]) == 19 * (1 + langid.SPANS)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     at, sizes = docs, []

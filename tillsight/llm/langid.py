@@ -108,14 +108,20 @@ class Model:
 
 
 def fit(docs: DataFrame, lang: str = "lang") -> Model:
-    """Fit on the given labelled rows; at most ``PER_LANGUAGE`` documents of a language reach the driver, as features."""
+    """Fit on the given labelled rows; at most ``PER_LANGUAGE`` documents of a language reach the driver, as features.
+
+    Of the rows that repeat an id in a language, the one with the smallest hash of the text counts.
+    """
     labelled = docs.where(f"{lang} is not null and text is not null and doc_id is not null")
     ids = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(lang).cast("string").alias("lang"))
-    chosen = sampled(ids, "lang", "doc_id", PER_LANGUAGE, SEED).select("doc_id").distinct()
+    chosen = sampled(ids, "lang", "doc_id", PER_LANGUAGE, SEED)
     # at most PER_LANGUAGE ids of each language, so the ids may be broadcast
     texts = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(lang).cast("string").alias("lang"))
     rows = (
-        texts.join(F.broadcast(chosen), "doc_id")
+        texts.join(F.broadcast(chosen), ["doc_id", "lang"])
+        .groupBy("doc_id", "lang")
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+        .select("doc_id", "text", "lang")
         .mapInArrow(_sample_batches, "lang string, at array<int>, n array<int>")
         .toArrow()
     )

@@ -149,7 +149,8 @@ def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
     """Fit on at most ``PER_CLASS`` documents of each class; None if a class has none.
 
-    Labels of the evaluation fold are not looked at.  A document with two labels counts as the lower one.
+    Labels of the evaluation fold are not looked at.  A document with two labels counts as the lower one, and of the
+    rows that repeat an id the one with the smallest hash of the text.
     """
     labelled = (
         labels.where("doc_id is not null and quality in (0, 1)")
@@ -162,6 +163,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
     # two classes of at most PER_CLASS rows: a proven bound
     rows = (
         texts.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "quality")
+        .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+        .select("doc_id", "text", "quality")
         .mapInArrow(_sample_batches, "doc_id bigint, raw binary, quality int")
         .toArrow()
         .to_pylist()
