@@ -157,3 +157,15 @@ def test_approximate_customers(spark):
         F.lit(4.0).cast("decimal(2,1)").alias("review_rating"),
     )
     assert jobs.category_performance(df).first()["unique_customers"] == pytest.approx(5_000, rel=0.1)
+
+
+def test_memory_query_keeps_state_in_the_shared_folder(spark, monkeypatch):
+    from tillsight.catalog import QUERIES
+    from tillsight.sources.shared import session_folder
+    from tillsight.streaming import sinks
+
+    seen, start = [], sinks.to_memory
+    monkeypatch.setattr(sinks, "to_memory", lambda df, name, checkpoint, **how: seen.append(checkpoint) or start(df, name, checkpoint, **how))
+    assert QUERIES["stream_memory_latest"](spark, "/root/testdata/sf0.001").count() > 0
+    assert seen[0].startswith(session_folder(spark))
+    assert spark.read.format("statestore").load(seen[0]).count() > 0

@@ -153,7 +153,7 @@ def stream_memory_latest(spark, sf_dir):
         .agg(F.count("*").alias("n"), F.sum(AMOUNT).cast("double").alias("revenue"))
     )
     name = "latest_" + uuid.uuid4().hex
-    sinks.finish(sinks.to_memory(totals, name, None, mode="complete"))
+    sinks.finish(sinks.to_memory(totals, name, shared_folder(spark), mode="complete"))
     return spark.table(name)
 
 
