@@ -100,6 +100,25 @@ def tiled(rows: DataFrame, keys: list[str], id_col: str, size: int) -> DataFrame
     )
 
 
+class Memory:
+    """Values by key in two generations: what is used again outlives the older one, which is dropped."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.young, self.old = most, {}, {}
+
+    def get(self, key):
+        """The value, or None if it is not known."""
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class Forest:
     """Union-find over hashable ids, which tells whether a link joins two trees."""
 
