@@ -12,12 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.shared import materialize
 from .common import Forest, groups_of, table, tiled
 from .components import components
-from .vectors import valid
+from .vectors import usable
 
 COSINE = 0.98
 #: Blocks of the rotated vector, and coordinates of a block that make the grid.
@@ -172,20 +172,31 @@ def _tile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), schema)], schema=schema)
 
 
+def _takes_part() -> Column:
+    return usable("embedding") & F.col("label").isNotNull()
+
+
 def near_duplicates(rows: DataFrame) -> DataFrame:
-    """``vec_id, n_links, component`` of every vector that takes part.
+    """``vec_id, n_links, component`` of every row of ``vec_id, embedding, label`` that takes part.
 
     Vectors that are equal and have the same label are one class, which is compared once; its members link with
     each other and with all members of linked classes.  A class that holds a third of all rows is one row of the
     join.  A cell with very many classes is cut into tiles.  Links are counted where they are found: no pair
     leaves its task, and of the links between classes only a spanning forest does.
-    A vec_id that stands on several rows of one class counts once.
+    Classes have numbers of their own, so a vec_id may stand in several; ``component`` is the smallest vec_id of
+    the linked classes.  Rows of a class that share a vec_id, or have none, are one vector, and each has a result row.
     """
     members = materialize(
-        valid(rows, F.col("label").cast("long").alias("label")).where("label is not null")
+        rows.select(
+            F.col("vec_id").cast("long").alias("vec_id"),
+            F.col("embedding").cast("array<float>").alias("embedding"),
+            F.col("label").cast("long").alias("label"),
+        ).where(_takes_part())
     )
     classes = materialize(
-        members.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
+        members.groupBy("label", "embedding")
+        .agg(F.min("vec_id").alias("least"), F.count_distinct(F.struct("vec_id")).alias("n"))
+        .withColumn("rep", F.monotonically_increasing_id())
     )
     cells = classes.mapInArrow(
         _cell_batches,
@@ -199,46 +210,58 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
     )
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("_others"))
     grouped = materialize(components(found.where("b is not null").select("a", "b")))
-    named = (
+    named = materialize(
         classes.join(counts, F.col("rep") == F.col("a"), "left")
         .join(grouped, F.col("rep") == F.col("node"), "left")
         .select(
             F.col("label").alias("_label"),
             F.col("embedding").alias("_embedding"),
+            "least",
             (F.coalesce("_others", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-            F.coalesce("component", "rep").alias("component"),
+            F.coalesce("component", "rep").alias("_group"),
         )
     )
+    smallest = named.groupBy(F.col("_group").alias("_of")).agg(F.min("least").alias("component"))
+    known = named.join(smallest, F.col("_group") == F.col("_of"))
     same = (F.col("label") == F.col("_label")) & (F.col("embedding") == F.col("_embedding"))
-    return members.join(named, same).select("vec_id", "n_links", "component")
+    return members.join(known, same).select("vec_id", "n_links", "component")
 
 
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`near_duplicates` of ``embeddings``; a row that takes no part has no links and is its own component."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
-    found = near_duplicates(rows).groupBy(F.col("vec_id").alias("_of")).agg(
-        F.max("n_links").alias("_links"), F.min("component").alias("_component")
+    apart = rows.where(~_takes_part()).select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias("component")
     )
-    component = F.coalesce("_component", F.col("vec_id").cast("long"))
-    return rows.join(found, F.col("vec_id") == F.col("_of"), "left").select(
-        F.col("vec_id").cast("long").alias("vec_id"),
-        F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"),
-        component.alias("component_id"),
-        (F.col("vec_id") == component).alias("kept"),
+    return (
+        near_duplicates(rows)
+        .unionByName(apart)
+        .select(
+            "vec_id",
+            F.col("n_links").cast("long").alias("n_links"),
+            F.col("component").alias("component_id"),
+            F.col("vec_id").eqNullSafe(F.col("component")).alias("kept"),
+        )
     )
 
 
 OP8_SQL = """
-WITH RECURSIVE v AS (
-  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE label IS NOT NULL AND embedding IS NOT NULL AND LEN([x FOR x IN embedding IF x IS NULL OR NOT ISFINITE(x)]) = 0
-    AND LEN([x FOR x IN embedding IF x <> 0]) > 0),
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e,
+    COALESCE(label IS NOT NULL AND LEN([x FOR x IN embedding IF x IS NULL OR NOT ISFINITE(x)]) = 0
+      AND LEN([x FOR x IN embedding IF x <> 0]) > 0, FALSE) AS takes_part FROM embeddings),
+v AS (SELECT *, ROW_NUMBER() OVER () AS r FROM (SELECT DISTINCT vec_id, label, e FROM e WHERE takes_part)),
 links AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.label = b.label AND a.r <> b.r
   WHERE LIST_COSINE_SIMILARITY(a.e, b.e) >= 98e-2),
 reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
 n AS (SELECT a, COUNT(*) AS n FROM links GROUP BY a),
-c AS (SELECT a, MIN(b) AS c FROM reach GROUP BY a)
-SELECT vec_id, COALESCE(n, 0) AS n_links, LEAST(vec_id, COALESCE(c, vec_id)) AS component_id,
-  vec_id = LEAST(vec_id, COALESCE(c, vec_id)) AS kept
-FROM embeddings LEFT JOIN n ON vec_id = n.a LEFT JOIN c ON vec_id = c.a
+c AS (SELECT a, MIN(vec_id) AS c FROM reach JOIN v ON b = r GROUP BY a),
+named AS (
+  SELECT vec_id, label, e, COALESCE(n, 0) AS n, LEAST(vec_id, c) AS c FROM v LEFT JOIN n ON r = n.a LEFT JOIN c ON r = c.a),
+rows_ AS (
+  SELECT e.vec_id, COALESCE(n, 0) AS n_links, CASE WHEN takes_part THEN c ELSE e.vec_id END AS component_id
+  FROM e LEFT JOIN named ON takes_part AND e.label = named.label AND e.e = named.e
+    AND e.vec_id IS NOT DISTINCT FROM named.vec_id)
+SELECT vec_id, n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM rows_
 """

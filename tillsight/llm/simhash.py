@@ -168,12 +168,12 @@ def grouped(docs: DataFrame) -> DataFrame:
 
     Documents with one fingerprint are one class, which enters the search once however large it is; classes and
     groups are joined back by equi joins.  Classes are named by their fingerprints, so those of one doc_id with
-    several texts stay apart.  ``component`` is the smallest doc_id of the group.  A NULL doc_id gets the group of its
-    class, and its class links no others if all of it is NULL.  NULL and empty texts have fingerprint 0.
+    several texts stay apart, and a row with a NULL doc_id links others like any row.  ``component`` is the
+    smallest doc_id of the group, NULL if it has none.  NULL and empty texts have fingerprint 0.
     """
     made = materialize(fingerprints(docs))
     classes = materialize(made.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    linked = materialize(components(links(classes.where("rep is not null").select(F.col("fp").alias("rep"), "fp"))))
+    linked = materialize(components(links(classes.select(F.col("fp").alias("rep"), "fp"))))
     named = materialize(
         classes.join(linked, F.col("fp") == F.col("node"), "left").select(
             F.col("fp").alias("_fp"), F.coalesce("component", "fp").alias("group"), "rep"
@@ -199,12 +199,12 @@ def _with_fingerprint(text: str):
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without near copies: of each group the row that is first by doc_id and text.
+    """The documents without near copies: of each group the row that is first by doc_id and text, NULL ids last.
 
-    Rows with a NULL doc_id are kept.  A doc_id that stands on one row names it; only rows of other doc_ids get
+    A doc_id that stands on one row names it; only rows of other doc_ids and of none get
     their fingerprint again, which tells to which group each belongs.
     """
-    found = materialize(grouped(docs).where("doc_id is not null"))
+    found = materialize(grouped(docs))
     is_first = F.col("doc_id") == F.col("component")
     firsts = (
         found.groupBy(F.col("doc_id").alias("_kept"))
@@ -220,19 +220,21 @@ def keep_one(docs: DataFrame) -> DataFrame:
     again = (
         aside.join(repeated, doc_id.cast("long") == F.col("_kept"))
         .select(*aside.columns)
+        .unionByName(aside.where(doc_id.isNull()))
         .mapInArrow(_with_fingerprint(f"d{names.index('text')}"), f"{kinds}, fp bigint")
     )
-    wanted = found.where(is_first).select(F.col("doc_id").alias("_kept"), F.col("fp").alias("_fp"), "group").distinct()
+    wanted = found.where(is_first | F.col("component").isNull()).select(F.col("doc_id").alias("_kept"), F.col("fp").alias("_fp"), "group").distinct()
     several = (
-        again.join(wanted, (doc_id.cast("long") == F.col("_kept")) & (F.col("fp") == F.col("_fp")))
+        again.join(wanted, doc_id.cast("long").eqNullSafe(F.col("_kept")) & (F.col("fp") == F.col("_fp")))
         .groupBy("group")
         .agg(F.min_by(F.struct(*aside.columns), F.struct(text)).alias("_row"))
         .select("_row.*")
     )
-    return single.unionByName(several).unionByName(aside.where(doc_id.isNull())).toDF(*names)
+    return single.unionByName(several).toDF(*names)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every row of ``documents``, see :func:`grouped`."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id")
