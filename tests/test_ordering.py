@@ -42,7 +42,7 @@ def _tiles(order, tiles):
 @pytest.mark.parametrize("tiles", [4, 17])
 def test_tiles_over_everything(spark, shape, descending, tiles):
     values = SHAPES[shape]
-    got = global_ntiles(_frame(spark, values), "id", {"t": "v"}, tiles, descending, slices=8)
+    got = global_ntiles(_frame(spark, values), "id", {"t": "v"}, tiles, descending, bound=10)
     assert {r["id"]: r["t"] for r in got.collect()} == _tiles(_expected_order(values, descending), tiles)
 
 
@@ -52,7 +52,7 @@ def test_empty_input(spark):
 
 @pytest.mark.parametrize("n", [1, 3, 4, 5, 10])
 def test_tile_sizes(spark, n):
-    got = global_ntiles(_frame(spark, [float(i % 3) for i in range(n)]), "id", {"t": "v"}, tiles=4, slices=4)
+    got = global_ntiles(_frame(spark, [float(i % 3) for i in range(n)]), "id", {"t": "v"}, tiles=4, bound=10)
     sizes = [got.where(F.col("t") == t).count() for t in (1, 2, 3, 4)]
     assert sizes == [n // 4 + (1 if t < n % 4 else 0) for t in range(4)]
 
@@ -62,14 +62,14 @@ def test_large_decimals_that_share_a_double(spark):
     base = 10**20
     rows = [(i, f"{base + (i * 7) % 40}") for i in range(40)]
     df = spark.createDataFrame(rows, "id BIGINT, s STRING").select("id", F.col("s").cast("decimal(22,0)").alias("v"))
-    got = {r["id"]: r["t"] for r in global_ntiles(df, "id", {"t": "v"}, tiles=40, slices=8).collect()}
+    got = {r["id"]: r["t"] for r in global_ntiles(df, "id", {"t": "v"}, tiles=40, bound=10).collect()}
     assert got == {i: n for n, i in enumerate(sorted(range(40), key=lambda i: (i * 7) % 40), start=1)}
 
 
 def test_several_orders_at_once(spark):
     rows = [(i, (i * 31) % 97, i % 5) for i in range(90)]
     df = spark.createDataFrame(rows, "id BIGINT, a INT, b INT")
-    got = global_ntiles(df, "id", {"ta": "a", "tb": "b"}, slices=8).collect()
+    got = global_ntiles(df, "id", {"ta": "a", "tb": "b"}, bound=10).collect()
     for out, c in (("ta", 1), ("tb", 2)):
         order = {r[0]: n for n, r in enumerate(sorted(rows, key=lambda r: (r[c], r[0])), start=1)}
         assert {r["id"]: r[out] for r in got} == _tiles(order, 4)
@@ -104,7 +104,7 @@ def test_quantiles_of_skewed_groups(spark):
         None: [1.0, 2.0, 4.0],
     }
     df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("small", None)], "g STRING, v DOUBLE")
-    got = exact_quantiles(df, ["g"], "v", {"q1": 0.25, "median": 0.5, "top": 1.0}, slices=8)
+    got = exact_quantiles(df, ["g"], "v", {"q1": 0.25, "median": 0.5, "top": 1.0}, bound=10)
 
     def quantile(vs, p):
         vs, at = sorted(vs), p * (len(vs) - 1)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillsight.streaming import jobs, sinks
+from tillsight.streaming.current import KEPT, OPEN, CurrentTable, to_current
 from tillsight.catalog.purchases import events_as_purchases
 from tillsight.streaming.sources import (
     STREAM_FILE_SCHEMA,
@@ -169,3 +170,121 @@ def test_memory_query_keeps_state_in_the_shared_folder(spark, monkeypatch):
     assert QUERIES["stream_memory_latest"](spark, "/root/testdata/sf0.001").count() > 0
     assert seen[0].startswith(session_folder(spark))
     assert spark.read.format("statestore").load(seen[0]).count() > 0
+
+
+def _hours(spark, *rows):
+    return spark.createDataFrame([(datetime(2024, 1, d, h), k, n) for d, h, k, n in rows], "window_start TIMESTAMP, k STRING, n BIGINT")
+
+
+def _table(spark, path):
+    return CurrentTable(spark, f"{path}/t", "window_start TIMESTAMP, k STRING, n BIGINT", ["window_start", "k"])
+
+
+def _files(df):
+    return sorted(df.inputFiles())
+
+
+def test_current_table_replaces_rows_and_rewrites_only_what_changed(spark, tmp_path, rows):
+    t = _table(spark, tmp_path)
+    assert t.read().count() == 0 and t.manifest()["batch"] == -1
+    t.merge(_hours(spark, (1, 0, "a", 1), (1, 1, "a", 2), (2, 0, None, 3), (3, 0, "a", 4), (4, 0, "a", 5)), 0)
+    first = t.manifest()["periods"]
+    t.merge(_hours(spark, (4, 0, "a", 6), (4, 0, "b", 7), (2, 0, None, 8)), 1)
+    second = t.manifest()["periods"]
+    assert rows(t.read().select(F.dayofmonth("window_start"), "k", "n")) == sorted(
+        [(1, "a", 1), (1, "a", 2), (2, None, 8), (3, "a", 4), (4, "a", 6), (4, "b", 7)], key=repr
+    )
+    assert {p for p in first if first[p] != second[p]} == {"2024-01-02", "2024-01-04"}
+
+
+def test_current_table_reads_only_the_newest_periods(spark, tmp_path):
+    t = _table(spark, tmp_path)
+    t.merge(_hours(spark, *[(d, h, "a", h) for d in range(1, 21) for h in range(24)]), 0)
+    assert t.read().count() == 480
+    newest = t.read(at_least=30)
+    assert newest.count() == 48 and all("2024-01-20" in f or "2024-01-19" in f for f in _files(newest))
+    closed = [p for p, (_, _, c) in t.manifest()["periods"].items() if c]
+    assert len(closed) == 20 - OPEN
+    assert sum("2024-01-03" in f for f in _files(t.read())) == 1  # a closed period is one file
+
+
+def test_a_batch_that_dies_leaves_the_old_state(spark, tmp_path):
+    t = _table(spark, tmp_path)
+    t.merge(_hours(spark, (1, 0, "a", 1)), 0)
+
+    def die(batch):
+        raise RuntimeError(batch)
+
+    t.before_commit = die
+    with pytest.raises(RuntimeError):
+        t.merge(_hours(spark, (1, 0, "a", 2)), 1)
+    assert [r.n for r in _table(spark, tmp_path).read().collect()] == [1]
+    t.before_commit = None
+    t.merge(_hours(spark, (1, 0, "a", 2)), 1)
+    t.merge(_hours(spark, (1, 0, "a", 9)), 1)  # a batch that is part of the state already
+    assert [r.n for r in _table(spark, tmp_path).read().collect()] == [2]
+
+
+def test_old_manifests_and_folders_go(spark, tmp_path):
+    t = _table(spark, tmp_path)
+    for b in range(6):
+        t.merge(_hours(spark, (1, 0, "a", b)), b)
+    assert len(t._manifests()) == KEPT and len(os.listdir(tmp_path / "t" / "rows")) >= KEPT
+    assert len([d for d in (tmp_path / "t" / "rows").iterdir() if any(d.iterdir()) and any(x.is_dir() for x in d.iterdir())]) <= KEPT
+    assert [r.n for r in t.read().collect()] == [5]
+
+
+def test_current_table_of_a_stream_with_all_its_rows_again(spark, stage, tmp_path):
+    stage.add(("a", "00:00:10"), ("b", "00:05:30"))
+    stage.add(("a", "00:05:40"))
+    result = with_lateness(stage.stream()).groupBy(F.window("event_time", "1 minute"), "k").agg(F.count("*").alias("n"))
+    result = result.select(F.col("window.start").alias("window_start"), "k", "n")
+    t = CurrentTable(spark, f"{tmp_path}/t", result.schema, ["window_start", "k"], period="yyyy-MM-dd-HH-mm")
+    sinks.finish(to_current(result, t, f"{tmp_path}/c"))
+    assert sorted(r.n for r in t.read().collect()) == [1, 1, 1] and len(t.manifest()["periods"]) == 2
+
+
+def test_no_events(spark, tmp_path):
+    """Stream queries over an empty table have no rows and no error."""
+    from tillsight.catalog import QUERIES
+
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(0).write.parquet(f"{tmp_path}/events.parquet")
+    for name in ("stream_sink_durable", "stream_watermark_late", "stream_restart", "stream_category_window", "snapshot_quality"):
+        assert QUERIES[name](spark, str(tmp_path)).count() == 0, name
+    five = QUERIES["stream_five_queries"](spark, str(tmp_path)).collect()
+    assert len(five) == 5 and all(r.n == 0 and r.rows_read == 0 for r in five)
+
+
+def test_a_wrong_header_of_a_stream_file_is_an_error(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/in")
+    with open(f"{tmp_path}/in/0.csv", "w") as f:
+        f.write("b,a\n1,2\n")
+    stream = read_stream(spark, f"{tmp_path}/in", "a INT, b INT")
+    with pytest.raises(Exception, match="(?i)header"):
+        sinks.finish(sinks.to_parquet(stream, f"{tmp_path}/out", f"{tmp_path}/c"))
+
+
+def test_sketches_merge_over_time_and_keys(spark):
+    from tillsight.sources.retail import table
+
+    purchases = events_as_purchases(table(spark, "/root/testdata/sf0.001", "events"))
+    hours = jobs.category_performance(purchases, "1 hour", keep_sketch=True)
+    merged = {(r.window_start, r.category): r.unique_customers for r in jobs.customers_over(hours, "1 day", "category").collect()}
+    direct = {(r.window_start, r.category): r.unique_customers for r in jobs.category_performance(purchases, "1 day").collect()}
+    assert merged == direct and len(direct) > 10
+
+
+def test_an_error_of_one_query_stops_the_others(spark, tmp_path):
+    events = _purchases(spark)
+    events.write.parquet(f"{tmp_path}/in")
+    good = read_stream(spark, f"{tmp_path}/in", events.schema, fmt="parquet")
+    bad = good.select(F.raise_error(F.lit("no")).alias("x"), "event_id")
+    with pytest.raises(Exception, match="no"):
+        sinks.run_together(
+            spark,
+            {
+                "bad": lambda: sinks.to_parquet(bad, f"{tmp_path}/b", f"{tmp_path}/cb", name="bad"),
+                "good": lambda: sinks.to_parquet(good, f"{tmp_path}/g", f"{tmp_path}/cg", name="good"),
+            },
+        )
+    assert not [q for q in spark.streams.active]

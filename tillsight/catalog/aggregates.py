@@ -8,6 +8,7 @@ from ..functions.bands import AGE_DECADES, bucketize
 from ..functions.numeric import count_where, exact_mean, mean, round_half_up, sample_stddev, total
 from ..operators.ordering import exact_quantiles
 from ..sources.retail import retail, table
+from ..sources.shared import materialize
 from .registry import DECADES, avg, big, on_retail, quantile, query, rnd, sd, tot
 
 AMOUNT = "purchase_amount"
@@ -82,7 +83,8 @@ def agg_stddev(spark, sf_dir):
     ),
 )
 def agg_median(spark, sf_dir):
-    medians = exact_quantiles(retail(spark, sf_dir), ["category"], AMOUNT, {"median": 0.5})
+    amounts = materialize(retail(spark, sf_dir).select("category", AMOUNT))
+    medians = exact_quantiles(amounts, ["category"], AMOUNT, {"median": 0.5})
     return medians.select("category", round_half_up("median").alias("median_amount"))
 
 

@@ -58,12 +58,15 @@ def project_alias(spark, sf_dir):
     )
 
 
-@query("normalize_columns", on_retail("SELECT order_id, customer_id, age, purchase_amount, size, frequency_of_purchases FROM retail"))
+@query(
+    "normalize_columns",
+    on_retail(
+        "SELECT * REPLACE (CAST(purchase_amount AS DOUBLE) AS purchase_amount, CAST(review_rating AS DOUBLE) AS review_rating) FROM retail"
+    ),
+)
 def normalize(spark, sf_dir):
-    named = to_display_names(retail(spark, sf_dir))
-    return normalize_columns(named, FILE_COLUMN_RENAMES).select(
-        "order_id", "customer_id", "age", "purchase_amount", "size", "frequency_of_purchases"
-    )
+    named = normalize_columns(to_display_names(retail(spark, sf_dir)), FILE_COLUMN_RENAMES)
+    return named.withColumns({c: F.col(c).cast("double") for c in ("purchase_amount", "review_rating")})
 
 
 def _banded(spark, sf_dir, column: str, bands: Bands, out: str):
@@ -274,13 +277,15 @@ def order_by_case(spark, sf_dir):
 @query(
     "drop_null_rows",
     on_gappy(
-        "SELECT event_id, age, CAST(purchase_amount AS DOUBLE) AS purchase_amount FROM purchases "
-        "WHERE age IS NOT NULL AND purchase_amount IS NOT NULL"
+        "SELECT * REPLACE (CAST(purchase_amount AS DOUBLE) AS purchase_amount, CAST(review_rating AS DOUBLE) AS review_rating) "
+        "FROM purchases WHERE age IS NOT NULL AND purchase_amount IS NOT NULL"
     ),
 )
 def drop_null_rows(spark, sf_dir):
     purchases = with_missing_values(events_as_purchases(table(spark, sf_dir, "events")))
-    return purchases.select("event_id", "age", F.col("purchase_amount").cast("double").alias("purchase_amount")).na.drop()
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("event_time", "processing_time")}
+    numbers = {c: F.col(c).cast("double") for c in ("purchase_amount", "review_rating")}
+    return purchases.na.drop().withColumns(times | numbers)
 
 
 @query(

@@ -6,12 +6,16 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_up
 from ..operators import profile
+from ..sources.shared import materialize
 from ..sources.retail import retail, table
 from .purchases import events_as_purchases, with_missing_values
 from .registry import big, on_gappy, on_retail, pct, quantile, query, rnd, sd
 
-_NUMBERS = ["age", "purchase_amount", "review_rating", "previous_purchases"]
-_TEXTS = ["category", "location", "season", "payment_method"]
+_NUMBERS = ["customer_id", "age", "purchase_amount", "review_rating", "previous_purchases", "order_id"]
+_TEXTS = [
+    "gender", "item_purchased", "category", "location", "size", "color", "season", "subscription_status", "shipping_type",
+    "discount_applied", "promo_code_used", "payment_method", "frequency_of_purchases",
+]
 
 
 def _describe_sql() -> str:
@@ -31,12 +35,13 @@ def _describe_sql() -> str:
 
 @query("describe_table", _describe_sql())
 def describe_table(spark, sf_dir):
-    return profile.describe_table(retail(spark, sf_dir).select(*_NUMBERS, *_TEXTS))
+    return profile.describe_table(retail(spark, sf_dir))
 
 
 _GAPPY_COLUMNS = [
     "event_id", "event_time", "customer_id", "gender", "item_purchased", "category", "review_rating",
-    "purchase_amount", "age", "processing_time",
+    "purchase_amount", "age", "processing_time", "subscription_status", "discount_applied", "previous_purchases",
+    "payment_method",
 ]
 
 
@@ -51,7 +56,7 @@ _GAPPY_COLUMNS = [
 )
 def null_counts(spark, sf_dir):
     purchases = with_missing_values(events_as_purchases(table(spark, sf_dir, "events")))
-    return profile.null_counts(purchases.select(*_GAPPY_COLUMNS))
+    return profile.null_counts(purchases)
 
 
 @query(
@@ -158,5 +163,6 @@ _INSIDE = "v BETWEEN q1 - (q3 - q1) * 15e-1 AND q3 + (q3 - q1) * 15e-1"
     ),
 )
 def boxplot_stats(spark, sf_dir):
-    stats = profile.boxplot_stats(retail(spark, sf_dir), "gender", "purchase_amount")
+    amounts = materialize(retail(spark, sf_dir).select("gender", "purchase_amount"))
+    stats = profile.boxplot_stats(amounts, "gender", "purchase_amount")
     return stats.withColumns({c: round_half_up(c) for c in ("q1", "median", "q3")})

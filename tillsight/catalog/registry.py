@@ -70,7 +70,8 @@ GAPPY_STREAM_SQL = f"""
 SELECT event_id, event_time, customer_id, gender, item_purchased, category, review_rating,
   CASE WHEN event_id % 17 <> 0 THEN purchase_amount END AS purchase_amount,
   CASE WHEN event_id % 23 <> 0 THEN age END AS age,
-  event_time + CAST(event_id % 7 AS INT) * INTERVAL 1 SECOND AS processing_time
+  event_time + CAST(event_id % 7 AS INT) * INTERVAL 1 SECOND AS processing_time,
+  subscription_status, discount_applied, previous_purchases, payment_method
 FROM ({PURCHASE_STREAM_SQL})
 """
 

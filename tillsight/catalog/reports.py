@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from ..plans import explore, reports
-from ..sources.retail import retail
+from ..sources.files import read_csv, save
+from ..sources.retail import from_flat_file, retail, to_display_names
+from ..sources.shared import shared_folder
 from .registry import (
     DECADES,
     FIVE_AGES,
     FIVE_AGES_OPEN,
     LOYALTY,
+    ORACLE,
     SIX_AGES,
     avg,
     on_retail,
@@ -49,6 +52,17 @@ _report(
     ),
 )
 
+
+
+@query("report_from_flat_file", ORACLE["report_top_categories"])
+def report_from_flat_file(spark, sf_dir):
+    """From the flat file to the report: CSV with its header, read back with its schema, own names, top categories."""
+    flat = to_display_names(retail(spark, sf_dir).drop("order_id"))
+    path = shared_folder(spark)
+    save(flat, path, "csv")
+    return reports.top_categories(from_flat_file(read_csv(spark, path, flat.schema)))
+
+
 _report(
     "report_subscription_frequency",
     reports.subscription_frequency,

@@ -8,14 +8,17 @@ batches and closed by the watermark; other queries take all events in one micro-
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.rules import AnomalyLimits
 from ..sources.files import save
 from ..sources.retail import table
 from ..sources.shared import shared_folder
 from ..streaming import jobs, sinks, snapshots
+from ..streaming.current import CurrentTable, to_current
 from ..streaming.sources import (
     TIMESTAMP_FORMAT,
     read_stream,
@@ -49,15 +52,14 @@ def _wall_clock(df):
 TIMES = 3
 
 
-def _current(spark, sf_dir, result_of, keys):
+def _current(spark, sf_dir, result_of, keys, at_least=None):
     """Run an update-mode result over the events as they come in time, and return its current rows."""
     events = table(spark, sf_dir, "events")
     cuts = events.agg(F.percentile_approx("ts", [k / TIMES for k in range(1, TIMES)])).first()[0] or []
     arrival = F.lit(0)
     for cut in cuts:
         arrival = arrival + F.coalesce(F.col("ts") > F.lit(cut), F.lit(False)).cast("int")
-    versions = _run_arrivals(spark, events, arrival, TIMES, result_of, sinks.to_versions)
-    return _wall_clock(sinks.latest_version(versions, keys))
+    return _wall_clock(_run_arrivals(spark, events, arrival, TIMES, result_of, keys).read(at_least))
 
 
 def _appended(spark, result):
@@ -117,7 +119,7 @@ SPLITS = 4
 
 
 def _split_number(events):
-    last_id = events.agg(F.max("event_id")).first()[0]
+    last_id = events.agg(F.coalesce(F.max("event_id"), F.lit(0))).first()[0]
     on_time = F.floor(F.col("event_id") * 3 / F.lit(last_id + 1)).cast("int")
     return on_time + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
 
@@ -128,17 +130,19 @@ _ARRIVALS = (
 )
 
 
-def _run_arrivals(spark, events, arrival, arrivals, result_of, start):
+def _run_arrivals(spark, events, arrival, arrivals, result_of, keys, each=None, folder=None):
     """Stage one arrival after the other; each is a run of the same query that stops when done."""
-    folder = shared_folder(spark)
+    folder = folder or shared_folder(spark)
     for k in range(arrivals):
         events.where(arrival == k).write.parquet(f"{folder}/arrivals/{k}")
         stream = read_stream(
             spark, f"{folder}/arrivals/*", events.schema, fmt="parquet", files_per_trigger=None
         )
         result = result_of(events_as_purchases(stream))
-        sinks.finish(start(result, f"{folder}/rows", f"{folder}/checkpoint"))
-    return sinks.read_versions(spark, f"{folder}/rows", result)
+        current = CurrentTable(spark, f"{folder}/current", result.schema, keys)
+        run = each or (lambda _, __, begin: sinks.finish(begin()))
+        run(k, current, lambda: to_current(result, current, f"{folder}/checkpoint"))
+    return current
 
 
 @query(
@@ -174,10 +178,10 @@ def _daily(purchases):
     ),
 )
 def stream_sink_durable(spark, sf_dir):
-    """Four arrivals in four runs on one checkpoint; the newest version of each row counts."""
+    """Four arrivals in four runs on one checkpoint; the table holds the newest version of each row."""
     events = table(spark, sf_dir, "events")
-    versions = _run_arrivals(spark, events, _split_number(events), SPLITS, _daily, sinks.to_versions)
-    return _wall_clock(sinks.latest_version(versions, ["window_start", "category"]))
+    current = _run_arrivals(spark, events, _split_number(events), SPLITS, _daily, ["window_start", "category"])
+    return _wall_clock(current.read())
 
 
 def _late(purchases):
@@ -189,37 +193,97 @@ def _late(purchases):
     )
 
 
+_LATE = {
+    "arrivals": _ARRIVALS,
+    "newest": "SELECT split, MAX(event_time) AS t FROM arrivals GROUP BY split",
+    "limits": "SELECT s.split, DATE_TRUNC('millisecond', MAX(e.t)) - INTERVAL 5 DAY AS mark FROM newest s "
+    "LEFT JOIN newest e ON e.split < s.split GROUP BY s.split",
+    "counted": "SELECT DATE_TRUNC('hour', event_time) AS window_start, COUNT(*) AS n, "
+    f"{tot(AMOUNT)} AS revenue FROM arrivals a JOIN limits l ON a.split = l.split "
+    "WHERE l.mark IS NULL OR DATE_TRUNC('hour', event_time) + INTERVAL 1 HOUR > l.mark GROUP BY 1",
+    "closing": "SELECT DATE_TRUNC('millisecond', MAX(event_time)) - INTERVAL 5 DAY AS mark FROM purchases",
+}
+
+
+def _kept_state(spark, checkpoint):
+    """Windows and row counts that the query still holds in its state."""
+    rows = spark.read.format("statestore").load(checkpoint)
+    window = rows.schema["key"].dataType.fieldNames()[0]
+    count = rows.schema["value"].dataType.fieldNames()
+    counts = next(c for c in count if c.startswith("count"))
+    return rows.select(F.col(f"key.{window}.start").alias("window_start"), F.col(f"value.{counts}").alias("in_state"))
+
+
 @query(
     "stream_watermark_late",
     on_purchases(
-        "SELECT DATE_TRUNC('hour', event_time) AS window_start, COUNT(*) AS n, "
-        f"{tot(AMOUNT)} AS revenue FROM arrivals a JOIN limits l ON a.split = l.split "
-        "WHERE l.mark IS NULL OR DATE_TRUNC('hour', event_time) + INTERVAL 1 HOUR > l.mark GROUP BY 1",
-        arrivals=_ARRIVALS,
-        newest="SELECT split, MAX(event_time) AS t FROM arrivals GROUP BY split",
-        limits="SELECT s.split, DATE_TRUNC('millisecond', MAX(e.t)) - INTERVAL 5 DAY AS mark FROM newest s "
-        "LEFT JOIN newest e ON e.split < s.split GROUP BY s.split",
+        "SELECT window_start, n, revenue, CASE WHEN window_start + INTERVAL 1 HOUR > mark THEN n END AS in_state FROM counted, closing",
+        **_LATE,
     ),
 )
 def stream_watermark_late(spark, sf_dir):
-    """Late rows are dropped once the watermark of the earlier arrivals has passed their window."""
-    events = table(spark, sf_dir, "events")
-    versions = _run_arrivals(spark, events, _split_number(events), SPLITS, _late, sinks.to_versions)
-    return _wall_clock(sinks.latest_version(versions, ["window_start"]))
+    """Late rows are dropped once the watermark of the earlier arrivals has passed their window, and its state is let go."""
+    events, folder = table(spark, sf_dir, "events"), shared_folder(spark)
+    with sinks.state_provider(spark):
+        current = _run_arrivals(spark, events, _split_number(events), SPLITS, _late, ["window_start"], folder=folder)
+    state = _kept_state(spark, f"{folder}/checkpoint")
+    return _wall_clock(current.read().join(state, "window_start", "left"))
+
 
+class _Interrupted(Exception):
+    """What the killed batch of ``stream_restart`` dies of."""
 
-def _hourly_categories(spark, sf_dir):
+
+@query(
+    "stream_restart",
+    on_purchases(
+        "SELECT window_start, n, revenue, CASE WHEN window_start + INTERVAL 1 HOUR > mark THEN n END AS in_state, "
+        "'stateStoreSave' AS operator FROM counted, closing",
+        **_LATE,
+    ),
+)
+def stream_restart(spark, sf_dir):
+    """The third arrival's batch dies after its rows were written and before they are part of the table.
+
+    The old state is still read then; a restart on the same checkpoint runs the batch again, and nothing is
+    lost or counted twice, in the table as in the state, which is kept in RocksDB.
+    """
+    events, folder = table(spark, sf_dir, "events"), shared_folder(spark)
+
+    def die(batch):
+        raise _Interrupted(batch)
+
+    def each(k, current, begin):
+        if k == 2:
+            before, current.before_commit = current.manifest(), die
+            try:
+                sinks.finish(begin())
+            except StreamingQueryException:
+                if current.manifest() != before:
+                    raise
+            current.before_commit = None
+        sinks.finish(begin())
+
+    with sinks.state_provider(spark):
+        current = _run_arrivals(spark, events, _split_number(events), SPLITS, _late, ["window_start"], each, folder)
+    state = _kept_state(spark, f"{folder}/checkpoint")
+    operators = spark.read.format("state-metadata").load(f"{folder}/checkpoint").agg(F.max("operatorName").alias("operator"))
+    found = _wall_clock(current.read().join(state, "window_start", "left"))
+    return found.withColumn("operator", operators.scalar())
+
+
+def _hourly_categories(spark, sf_dir, at_least=None, keep_sketch=False):
     def result_of(purchases):
-        return jobs.category_performance(with_lateness(purchases), "1 hour", approximate_customers=False)
+        return jobs.category_performance(with_lateness(purchases), "1 hour", keep_sketch)
 
-    return _current(spark, sf_dir, result_of, ["window_start", "window_end", "category"])
+    return _current(spark, sf_dir, result_of, ["window_start", "window_end", "category"], at_least)
 
 
 _HOUR = "DATE_TRUNC('hour', event_time)"
 _CATEGORY_SQL = (
     f"SELECT {_HOUR} AS window_start, {_HOUR} + INTERVAL 1 HOUR AS window_end, category, COUNT(*) AS transaction_count, "
-    f"{tot(AMOUNT)} AS total_revenue, {avg(AMOUNT)} AS avg_purchase, {avg('age', 1)} AS avg_age, {avg('review_rating')} AS avg_rating "
-    "FROM purchases GROUP BY 1, 2, 3"
+    f"{tot(AMOUNT)} AS total_revenue, {avg(AMOUNT)} AS avg_purchase, {avg('age', 1)} AS avg_age, {avg('review_rating')} AS avg_rating, "
+    "COUNT(DISTINCT customer_id) AS unique_customers FROM purchases GROUP BY 1, 2, 3"
 )
 
 
@@ -237,7 +301,31 @@ def stream_category_window(spark, sf_dir):
     ),
 )
 def snapshot_category(spark, sf_dir):
-    return snapshots.recent_categories(_hourly_categories(spark, sf_dir))
+    return snapshots.recent_categories(_hourly_categories(spark, sf_dir, snapshots.CATEGORIES), snapshots.CATEGORIES)
+
+
+@query(
+    "stream_customers_rules",
+    on_purchases(
+        "SELECT DISTINCT CAST(DATE_TRUNC('day', event_time) AS TIMESTAMP) AS window_start, category, TRUE AS as_if_direct, "
+        "TRUE AS near_exact FROM purchases"
+    ),
+)
+def stream_customers_rules(spark, sf_dir):
+    """Days from merged hours have the sketch of the days themselves, within 5 % of the exact number of customers."""
+    merged = jobs.customers_over(_hourly_categories(spark, sf_dir, keep_sketch=True), "1 day", "category")
+    purchases = events_as_purchases(table(spark, sf_dir, "events"))
+    day = F.window("event_time", "1 day").start.cast("timestamp_ntz")
+    exact = purchases.groupBy(day.alias("day"), F.col("category").alias("of")).agg(
+        F.count_distinct("customer_id").alias("exact"), F.hll_sketch_estimate(F.hll_sketch_agg("customer_id", F.lit(jobs.SKETCH))).alias("direct")
+    )
+    both = merged.join(exact, (F.col("window_start") == F.col("day")) & F.col("category").eqNullSafe(F.col("of")))
+    return both.select(
+        "window_start",
+        "category",
+        (F.abs(F.col("unique_customers") - F.col("direct")) <= F.col("direct") * F.lit(0.01)).alias("as_if_direct"),
+        (F.abs(F.col("unique_customers") - F.col("exact")) <= F.col("exact") * F.lit(0.05)).alias("near_exact"),
+    )
 
 
 _IS_PURCHASE = "payment_method = 'purchase'"
@@ -253,26 +341,24 @@ _SUBSCRIBED = "subscription_status = 'Yes'"
         f"{share(_IS_PURCHASE, 1)} AS purchase_pct, "
         f"{share(_IS_VIEW, 1)} AS view_pct, "
         f"{share(_SUBSCRIBED, 1)} AS subscriber_rate, "
-        f"{share('purchase_amount >= 60', 1)} AS premium_rate FROM purchases GROUP BY 1, 2"
+        f"{share('purchase_amount >= 60', 1)} AS premium_rate, COUNT(DISTINCT customer_id) AS unique_customers "
+        "FROM purchases GROUP BY 1, 2"
     ),
 )
 def stream_kpis(spark, sf_dir):
     def result_of(purchases):
         return jobs.live_kpis(
-            with_lateness(purchases),
-            "1 hour",
-            payment_shares={"purchase_pct": "purchase", "view_pct": "view"},
-            approximate_customers=False,
+            with_lateness(purchases), "1 hour", payment_shares={"purchase_pct": "purchase", "view_pct": "view"}
         )
 
     return _current(spark, sf_dir, result_of, ["window_start", "window_end"])
 
 
-def _daily_behavior(spark, sf_dir):
+def _daily_behavior(spark, sf_dir, at_least=None):
     def result_of(purchases):
         return jobs.customer_behavior(with_lateness(purchases), "1 day")
 
-    return _current(spark, sf_dir, result_of, ["window_start", "window_end", "age_group", "gender"])
+    return _current(spark, sf_dir, result_of, ["window_start", "window_end", "age_group", "gender"], at_least)
 
 
 _DAY = "CAST(DATE_TRUNC('day', event_time) AS TIMESTAMP)"
@@ -297,7 +383,7 @@ def stream_behavior(spark, sf_dir):
     ),
 )
 def snapshot_behavior(spark, sf_dir):
-    return snapshots.recent_behavior(_daily_behavior(spark, sf_dir))
+    return snapshots.recent_behavior(_daily_behavior(spark, sf_dir, snapshots.BEHAVIOR), snapshots.BEHAVIOR)
 
 
 _ALERT = (
@@ -318,12 +404,12 @@ def stream_anomalies(spark, sf_dir):
     return _appended(spark, alerts.withColumn(AMOUNT, F.col(AMOUNT).cast("double")))
 
 
-def _hourly_quality(spark, sf_dir):
+def _hourly_quality(spark, sf_dir, at_least=None):
     def result_of(purchases):
         gappy = with_validity_flags(with_missing_values(purchases))
         return jobs.data_quality(with_lateness(gappy, column="processing_time"), "1 hour")
 
-    return _current(spark, sf_dir, result_of, ["window_start", "window_end"])
+    return _current(spark, sf_dir, result_of, ["window_start", "window_end"], at_least)
 
 
 _PROCESSED = "DATE_TRUNC('hour', processing_time)"
@@ -350,24 +436,21 @@ def stream_quality(spark, sf_dir):
     ),
 )
 def snapshot_quality(spark, sf_dir):
-    return snapshots.recent_quality(_hourly_quality(spark, sf_dir))
+    return snapshots.recent_quality(_hourly_quality(spark, sf_dir, snapshots.QUALITY), snapshots.QUALITY)
 
 
 @query(
     "stream_fanout",
     on_purchases(
         f"SELECT 'alerts' AS output, COUNT(*) AS n FROM purchases WHERE {_ALERT} <> 'NORMAL' UNION ALL "
-        "SELECT 'flags', COUNT(*) FROM purchases UNION ALL "
-        "SELECT 'hours', COUNT(*) FROM (SELECT DISTINCT DATE_TRUNC('hour', event_time), category FROM purchases)"
+        "SELECT 'flags', COUNT(*) FROM purchases"
     ),
 )
 def stream_fanout(spark, sf_dir):
-    """Two stateless outputs from one read, and a stateful query of its own beside them."""
+    """Two stateless outputs from one read."""
     folder = shared_folder(spark)
-    purchases = _purchases(spark, sf_dir)
-    hourly = jobs.category_performance(with_lateness(purchases), "1 hour")
     both = sinks.fan_out(
-        purchases,
+        _purchases(spark, sf_dir),
         {
             "alerts": lambda b: jobs.anomaly_alerts(b, EVENT_LIMITS),
             "flags": lambda b: with_validity_flags(b).select("event_id", "age_valid", "amount_valid"),
@@ -375,17 +458,65 @@ def stream_fanout(spark, sf_dir):
         folder,
         f"{folder}/checkpoint-fan-out",
     )
-    stateful = sinks.to_versions(hourly, f"{folder}/hours", f"{folder}/checkpoint-hours")
-    sinks.finish(both, stateful)
-    hours = sinks.latest_version(
-        sinks.read_versions(spark, f"{folder}/hours", hourly), ["window_start", "window_end", "category"]
-    )
+    sinks.finish(both)
 
-    def rows(name, df):
-        return df.agg(F.count("*").alias("n")).select(F.lit(name).alias("output"), "n")
+    def rows(name):
+        return spark.read.parquet(f"{folder}/{name}").agg(F.count("*").alias("n")).select(F.lit(name).alias("output"), "n")
 
-    return (
-        rows("alerts", spark.read.parquet(f"{folder}/alerts"))
-        .union(rows("flags", spark.read.parquet(f"{folder}/flags")))
-        .union(rows("hours", hours))
+    return rows("alerts").union(rows("flags"))
+
+
+_FIVE = {
+    "category_performance": "SELECT COUNT(*) AS n, SUM(transaction_count) AS total FROM categories",
+    "business_kpis": "SELECT COUNT(*), SUM(total_transactions) FROM kpis",
+    "customer_behavior": "SELECT COUNT(*), SUM(customer_count) FROM behavior",
+    "anomaly_alerts": f"SELECT COUNT(*), COUNT(*) FROM purchases WHERE {_ALERT} <> 'NORMAL'",
+    "data_quality": "SELECT COUNT(*), SUM(total_records) FROM quality",
+}
+
+
+@query(
+    "stream_five_queries",
+    on_gappy(
+        "SELECT output, n, CAST(COALESCE(total, 0) AS BIGINT) AS total, (SELECT COUNT(*) FROM purchases) AS rows_read FROM ("
+        + " UNION ALL ".join(f"SELECT '{name}' AS output, * FROM ({sql})" for name, sql in _FIVE.items())
+        + ")",
+        categories=f"SELECT {_HOUR}, category, COUNT(*) AS transaction_count FROM purchases GROUP BY 1, 2",
+        kpis=f"SELECT {_HOUR}, COUNT(*) AS total_transactions FROM purchases GROUP BY 1",
+        behavior=f"SELECT {_DAY}, {FIVE_AGES_OPEN}, gender, COUNT(*) AS customer_count FROM purchases GROUP BY 1, 2, 3",
+        quality=f"SELECT {_PROCESSED}, COUNT(*) AS total_records FROM purchases GROUP BY 1",
+    ),
+)
+def stream_five_queries(spark, sf_dir):
+    """All five stream queries at once, each in a scheduler pool of its own: rows per output and rows read by each."""
+    folder = shared_folder(spark)
+    rows = with_validity_flags(with_missing_values(_purchases(spark, sf_dir)))
+    late = with_lateness(rows)
+    windowed = {
+        "category_performance": (jobs.category_performance(late, "1 hour"), ["window_start", "window_end", "category"], "transaction_count"),
+        "business_kpis": (jobs.live_kpis(late, "1 hour"), ["window_start", "window_end"], "total_transactions"),
+        "customer_behavior": (
+            jobs.customer_behavior(late, "1 day"), ["window_start", "window_end", "age_group", "gender"], "customer_count"
+        ),
+        "data_quality": (
+            jobs.data_quality(with_lateness(rows, column="processing_time"), "1 hour"), ["window_start", "window_end"], "total_records"
+        ),
+    }
+    tables = {n: CurrentTable(spark, f"{folder}/{n}", df.schema, keys) for n, (df, keys, _) in windowed.items()}
+    alerts = jobs.anomaly_alerts(rows, EVENT_LIMITS)
+    starts = {
+        n: lambda n=n, df=df: to_current(df, tables[n], f"{folder}/checkpoint-{n}", name=n) for n, (df, _, _) in windowed.items()
+    }
+    starts["anomaly_alerts"] = lambda: sinks.to_parquet(
+        alerts, f"{folder}/anomaly_alerts", f"{folder}/checkpoint-anomaly_alerts", name="anomaly_alerts"
     )
+    progress = sinks.run_together(spark, starts)
+    counted = [
+        tables[n].read().agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(total), F.lit(0)).alias("total")).withColumn("output", F.lit(n))
+        for n, (_, _, total) in windowed.items()
+    ]
+    found = spark.read.schema(alerts.schema).parquet(f"{folder}/anomaly_alerts")
+    counted.append(found.agg(F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("total")).withColumn("output", F.lit("anomaly_alerts")))
+    read = spark.createDataFrame([(n, progress.rows.get(n, 0)) for n in starts], "name STRING, rows_read BIGINT")
+    outputs = reduce(DataFrame.unionByName, counted)
+    return outputs.join(read, F.col("output") == F.col("name")).select("output", "n", "total", "rows_read")

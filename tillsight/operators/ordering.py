@@ -1,120 +1,55 @@
 """Exact ordering functions over a whole table, without moving it into one task.
 
-The ordered range is cut at approximate percentiles.  A value that equals a cut point has
-a slice of its own, so every heavy value sits alone in its slice and can be cut again by
-id range.  Row counts per slice are few; their running sums give each slice its offset,
-and ordering inside a slice is an ordinary partitioned window.  Where the cut points fall
-affects the balance only, never the result.
-
-The input is read in several passes: hand in a table scan or a materialized frame.
+Tiles and quantiles look for the few rows that stand at given places, see :mod:`.selection`.  Row numbers and
+running sums deal the table to contiguous ranges of its order, each sorted in a task of its own and moved
+by what comes before it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DecimalType
 
 from ..sources.shared import materialize
-
-_ACCURACY = 10_000
-_EXACT_IN_DOUBLE = 2.0**53
-
-
-def _cut_points(df: DataFrame, slices: int, **columns: Column) -> dict[str, list[float]]:
-    """Percentiles of numeric columns: at most ``slices`` numbers each reach the driver."""
-    probs = [i / slices for i in range(1, slices)]
-    row = df.agg(
-        *[F.percentile_approx(c.cast("double"), probs, _ACCURACY).alias(n) for n, c in columns.items()]
-    ).first()
-    return {n: sorted({x for x in (row[n] or []) if x == x}) for n in columns}
-
-
-def _with_slice_number(df: DataFrame, x: Column, cuts: list[float], out: str) -> DataFrame:
-    """Number of cut points up to ``x``, by binary search; NULL gets NULL."""
-    splits = [float("-inf"), *[c for c in cuts if abs(c) != float("inf")], float("inf")]
-    if len(splits) == 2:
-        return df.withColumn(out, F.when(x.isNotNull(), 0))
-    search = Bucketizer(splits=splits, inputCol="_x", outputCol="_bucket", handleInvalid="keep")
-    filled = df.withColumn("_x", F.coalesce(x.cast("double"), F.lit(float("nan"))))
-    return (
-        search.transform(filled)
-        .withColumn(out, F.when(x.isNotNull(), F.col("_bucket").cast("int")))
-        .drop("_x", "_bucket")
-    )
+from .selection import BOUND, Pick, rows_at
 
 
-def _with_slices(df: DataFrame, key: Column, id_col: str, cuts: dict[str, list[float]]) -> DataFrame:
-    """Add ``_key`` and the slice number pair ``(_slice, _sub)``; NULL keys come first.
+def _tile_ends(keyed: DataFrame, orders: Sequence[str], id_col: str, tiles: int, bound: int) -> dict[str, list[tuple]]:
+    """Key and id of the last row of every tile but the last one, for each order; NULL keys come first.
 
-    Slices of a cut point alone have odd numbers.  They are cut again by id unless different
-    keys could share one DOUBLE.
+    Keys are sought for all orders at once.  Where an end falls among the rows of one key that are too many to
+    gather, or that have no key, its id is sought among them, again for all ends at once.
     """
-    keyed = df.withColumn("_key", key)
-    kind = keyed.schema["_key"].dataType
-    scale = kind.scale if isinstance(kind, DecimalType) else 0
-    x = F.col("_key").cast("double")
-    numbered = _with_slice_number(keyed, F.col("_key"), cuts["key"], "_upto")
-    numbered = _with_slice_number(numbered, F.col(id_col), cuts["id"], "_id_upto")
-    points = F.array(*[F.lit(c) for c in cuts["key"]]) if cuts["key"] else F.array().cast("array<double>")
-    on_cut = F.coalesce(F.get(points, F.col("_upto") - 1) == x, F.lit(False))
-    alone = F.col("_key").isNull() | (on_cut & (F.abs(x) < _EXACT_IN_DOUBLE / 10**scale))
-    return numbered.withColumns(
-        {
-            "_slice": F.coalesce(F.col("_upto") * 2 - on_cut.cast("int"), F.lit(-2)),
-            "_sub": F.when(alone, F.col("_id_upto")).otherwise(0),
-        }
-    ).drop("_upto", "_id_upto")
-
-
-def _earlier_slices():
-    return Window.orderBy("_slice", "_sub").rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _ranked(
-    source: DataFrame, key: Column, id_col: str, cuts: dict[str, list[float]], wanted: Column
-) -> DataFrame:
-    """The rows whose rank is in the array ``wanted``, which may use ``_rows``.
-
-    Only the slices that hold a wanted rank are sorted.  Their offsets are at most
-    ``slices`` squared small rows, so they can be broadcast.
-    """
-    sliced = _with_slices(source, key, id_col, cuts)
-    offsets = (
-        sliced.groupBy("_slice", "_sub")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "_slice",
-            "_sub",
-            "_n",
-            F.coalesce(F.sum("_n").over(_earlier_slices()), F.lit(0)).alias("_offset"),
-            F.sum("_n").over(Window.partitionBy()).alias("_rows"),
-        )
-        .withColumn("_wanted", wanted)
-        .where(F.exists("_wanted", lambda r: (r > F.col("_offset")) & (r <= F.col("_offset") + F.col("_n"))))
-    )
-    inside = Window.partitionBy("_slice", "_sub").orderBy("_key", id_col)
-    return (
-        sliced.join(F.broadcast(offsets), ["_slice", "_sub"])
-        .withColumn("_rank", F.col("_offset") + F.row_number().over(inside))
-        .where(F.array_contains("_wanted", F.col("_rank")))
-    )
-
-
-def _tile_ends(
-    source: DataFrame, key: Column, id_col: str, cuts: dict[str, list[float]], tiles: int
-) -> list[tuple]:
-    """Key and id of the last row of every tile but the last one."""
-    rows, ends = F.col("_rows"), []
-    for t in range(1, tiles):
-        ends.append(F.floor(rows / tiles) * t + F.least(F.lit(t), rows % tiles))
-    found = _ranked(source, key, id_col, cuts, F.array(*ends)).select("_rank", "_rows", "_key", F.col(id_col)).collect()
-    if not found:
-        return []
-    by_rank, n = {r[0]: (r[2], r[3]) for r in found}, found[0][1]
-    return [by_rank[n // tiles * t + min(t, n % tiles)] for t in range(1, tiles)]
+    rows = keyed.count()
+    if not rows:
+        return {}
+    ends = [rows // tiles * t + min(t, rows % tiles) - 1 for t in range(1, tiles)]  # places from 0
+
+    def place(end: int):
+        return lambda n: F.lit(end - rows) + n  # NULL keys stand before all others
+
+    picks = [Pick(f"{o}_{t}", o, place(end), (end + 1) / rows) for o in orders for t, end in enumerate(ends)]
+    found = {}
+    for kind in {str(keyed.schema[o].dataType) in ("DoubleType()", "FloatType()") for o in orders}:
+        alike = [p for p in picks if (str(keyed.schema[p.column].dataType) in ("DoubleType()", "FloatType()")) == kind]
+        found |= rows_at(keyed, [], alike, id_col, bound).first().asDict()
+    known, again, columns = {}, {}, {}
+    for p in picks:
+        at = found[p.name]
+        end = ends[int(p.name.rsplit("_", 1)[1])]
+        if at is not None and at["among"] is None:
+            known[p.name] = (at["value"], at["id"])
+        else:  # one heavy key, or no key
+            value, among = (None, end) if at is None else (at["value"], at["among"])
+            again[p.name] = (value, among)
+            columns[p.name] = F.when(F.col(p.column).eqNullSafe(F.lit(value)), F.col(id_col))
+    if again:
+        ids = keyed.select(*[c.alias(name) for name, c in columns.items()])
+        picks_again = [Pick(name, name, lambda n, a=among: F.lit(a)) for name, (_, among) in again.items()]
+        by_id = rows_at(ids, [], picks_again, None, bound).first()
+        known |= {name: (value, by_id[name]["value"]) for name, (value, _) in again.items()}
+    return {o: [known[f"{o}_{t}"] for t in range(len(ends))] for o in orders}
 
 
 def _after(key: Column, id_col: str, end: tuple) -> Column:
@@ -127,28 +62,50 @@ def _after(key: Column, id_col: str, end: tuple) -> Column:
 
 
 def global_ntiles(
-    df: DataFrame, id_col: str, orders: dict[str, str], tiles: int = 4, descending: bool = False, slices: int = 128
+    df: DataFrame, id_col: str, orders: dict[str, str], tiles: int = 4, descending: bool = False, bound: int = BOUND
 ) -> DataFrame:
     """``ntile(tiles)`` over the whole table, once for each ``output: order column``.
 
     Ties go by a unique numeric id and NULLs come first.  The first ``rows % tiles`` tiles
-    hold one row more.  A tile is told by its last row, and the few last rows are found by
-    sorting only the slices they lie in.  The table itself gets its tiles by comparison with
-    them: it is neither sorted nor shuffled.
+    hold one row more.  A tile is told by its last row, and the few last rows are found by narrowing, for
+    all orders in the same passes; no task sorts more than ``bound`` rows.  The table itself gets its
+    tiles by comparison with them: it is neither sorted nor shuffled.
     """
     keys = {out: -F.col(c) if descending else F.col(c) for out, c in orders.items()}
-    cuts = _cut_points(df, slices, id=F.col(id_col), **keys)
+    names = {out: f"k{i}" for i, out in enumerate(keys)}
+    keyed = df.select(F.col(id_col).alias("_id"), *[keys[out].alias(n) for out, n in names.items()])
+    ends = _tile_ends(keyed, list(names.values()), "_id", tiles, bound)
     tiled = df
     for out, key in keys.items():
-        narrow = df.select(orders[out], id_col)
-        ends = _tile_ends(narrow, key, id_col, {"key": cuts[out], "id": cuts["id"]}, tiles)
         tile = F.lit(1)
-        for end in ends:
+        for end in ends.get(names[out], []):
             tile = tile + _after(key, id_col, end).cast("int")
         tiled = tiled.withColumn(out, tile)
     return tiled
 
 
+def exact_quantiles(
+    df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float], bound: int = BOUND
+) -> DataFrame:
+    """Exact interpolated quantiles per group, one DOUBLE column per entry of ``probs``.
+
+    Groups without a value are left out.  Nothing of the table's length is shuffled or written, and a group that
+    holds a large part of all rows is never gathered in one task.
+    """
+
+    def place(p: float, upper: bool):
+        return lambda n: (F.ceil if upper else F.floor)((n.cast("double") - 1.0) * F.lit(float(p)))
+
+    picks = [Pick(f"_{i}_{side}", value, place(p, side), p) for i, p in enumerate(probs.values()) for side in (0, 1)]
+    found = rows_at(df.where(F.col(value).isNotNull()), groups, picks, None, bound)
+    out = []
+    for i, (name, p) in enumerate(probs.items()):
+        low, high = F.col(f"_{i}_0.value").cast("double"), F.col(f"_{i}_1.value").cast("double")
+        at = (F.col(f"_{i}_0.rows").cast("double") - 1.0) * F.lit(float(p))
+        out.append((low + (high - low) * (at - F.floor(at).cast("double"))).alias(name))
+    return found.select(*groups, *out)
+
+
 def _stored_ranges(df: DataFrame, ranges: int | None, *order: Column) -> DataFrame:
     """A stored table, dealt to contiguous ranges of a unique order, which ``_range`` numbers in that order.
 
@@ -202,91 +159,3 @@ def global_running_sum(
         )
         .drop("_range", *[f"_o_{m}" for m in measures])
     )
-
-
-def value_counts(df: DataFrame, groups: Sequence[str], value: str, **measures: Column) -> DataFrame:
-    """A stored table with one row per group and distinct value: its rows ``_n`` and further aggregates."""
-    return materialize(
-        df.where(F.col(value).isNotNull())
-        .groupBy(*groups, value)
-        .agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in measures.items()])
-    )
-
-
-def exact_quantiles(
-    df: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float], slices: int = 128
-) -> DataFrame:
-    """Exact interpolated quantiles per group, one DOUBLE column per entry of ``probs``.
-
-    Equal values are counted first, so a group that holds a large part of all rows is never
-    gathered in one task.
-    """
-    return quantiles_of_counts(value_counts(df, groups, value), groups, value, probs, slices)
-
-
-def quantiles_of_counts(
-    counted: DataFrame, groups: Sequence[str], value: str, probs: dict[str, float], slices: int = 128
-) -> DataFrame:
-    """Quantiles from :func:`value_counts`.
-
-    The counts per value range tell in which range each wanted position lies, and only
-    those ranges are sorted.
-    """
-    groups = list(groups)
-    counted = counted.select(*groups, F.col(value).alias("_v"), "_n")
-    sliced = _with_slice_number(
-        counted, F.col("_v"), _cut_points(counted, slices, v=F.col("_v"))["v"], "_slice"
-    )
-    in_group = Window.partitionBy(*groups)
-    earlier = in_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    position = {name: (F.col("_rows").cast("double") - 1.0) * F.lit(float(p)) for name, p in probs.items()}
-
-    def holds(start: Column, n: Column, at: Column) -> Column:
-        return (start <= at) & (at < start + n)
-
-    ranges = (
-        sliced.groupBy(*groups, "_slice")
-        .agg(F.sum("_n").alias("_n_slice"))
-        .withColumns(
-            {
-                "_start": F.coalesce(F.sum("_n_slice").over(earlier), F.lit(0)),
-                "_rows": F.sum("_n_slice").over(in_group),
-            }
-        )
-    )
-    wanted = F.lit(False)
-    for at in position.values():
-        for edge in (F.floor(at), F.ceil(at)):
-            wanted = wanted | holds(F.col("_start"), F.col("_n_slice"), edge)
-    ranges = ranges.where(wanted).select(
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
-        F.col("_slice").alias("_wanted_slice"),
-        "_start",
-        "_rows",
-    )
-    same = F.col("_slice") == F.col("_wanted_slice")
-    for i, g in enumerate(groups):
-        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    in_slice = (
-        Window.partitionBy(*groups, "_slice").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = sliced.join(ranges, same).withColumn(
-        "_at", F.col("_start") + F.coalesce(F.sum("_n").over(in_slice), F.lit(0))
-    )
-    picks = [F.max("_rows").alias("_rows")]
-    for name, at in position.items():
-        for side, edge in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            picks.append(
-                F.max(F.when(holds(F.col("_at"), F.col("_n"), edge), F.col("_v").cast("double"))).alias(f"_{name}_{side}")
-            )
-    found = placed.groupBy(*groups).agg(*picks)
-    return found.select(
-        *groups,
-        *[
-            (
-                F.col(f"_{name}_lo")
-                + (F.col(f"_{name}_hi") - F.col(f"_{name}_lo")) * (at - F.floor(at).cast("double"))
-            ).alias(name)
-            for name, at in position.items()
-        ],
-    )

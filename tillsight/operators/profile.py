@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from ..functions.numeric import percent, round_half_up
-from .ordering import quantiles_of_counts, value_counts
+from .ordering import exact_quantiles
 
 
 def _quoted(name: str):
@@ -204,23 +204,24 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
 def boxplot_stats(df: DataFrame, group: str, value: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends and outlier count per group.
 
-    Whiskers end at the last values within ``reach`` interquartile ranges of the box.
+    Whiskers end at the last values within ``reach`` interquartile ranges of the box.  The input is read once a
+    pass: hand in a table scan or a materialized frame.
     """
-    counted = value_counts(df, [group], value)
-    q = quantiles_of_counts(counted, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    rows = df.where(F.col(value).isNotNull()).select(group, value)
+    q = exact_quantiles(rows, [group], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     spread = (F.col("q3") - F.col("q1")) * F.lit(reach)
     x = F.col(value).cast("double")
     inside = (x >= F.col("q1") - spread) & (x <= F.col("q3") + spread)
     return (
-        counted.join(q.withColumnRenamed(group, "_group"), F.col(group).eqNullSafe(F.col("_group")))
+        rows.join(q.withColumnRenamed(group, "_group"), F.col(group).eqNullSafe(F.col("_group")))
         .groupBy(group)
         .agg(
-            F.sum("_n").alias("n"),
+            F.count(F.lit(1)).alias("n"),
             F.first("q1").alias("q1"),
             F.first("median").alias("median"),
             F.first("q3").alias("q3"),
             F.min(F.when(inside, x)).alias("whisker_low"),
             F.max(F.when(inside, x)).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
     )

@@ -147,8 +147,11 @@ def payment_performance(retail: DataFrame, approximate_median: bool = False) ->
     """Payment methods by spending and popularity, with the exact median by default.
 
     All purchases count, also those without an amount or a payment method; only the median is
-    sought apart, and is NULL where a method has no amounts.
+    sought apart, and is NULL where a method has no amounts.  For it several passes read the narrow columns, which
+    are stored once.
     """
+    if not approximate_median:
+        retail = materialize(retail.select("payment_method", AMOUNT, RATING, AGE, "subscription_status"))
     stats = retail.groupBy("payment_method").agg(
         _rows().alias("transaction_count"),
         mean(AMOUNT).alias("avg_purchase"),

@@ -19,10 +19,13 @@ def read_stream(
     fmt: str = "csv",
     files_per_trigger: int | None = 1,
 ) -> DataFrame:
-    """A folder or glob of files as an unbounded table; ``None`` takes all new files at once."""
+    """A folder or glob of files as an unbounded table; ``None`` takes all new files at once.
+
+    A CSV header that does not match the schema is an error, not a silent shift of columns.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.load(path)
