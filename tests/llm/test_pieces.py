@@ -82,7 +82,7 @@ def test_long_digest_is_that_of_all_ids():
     import numpy as np
 
     ids = np.arange(pieces._RUN * 2 + 5, dtype="<i4")
-    assert pieces.decimal_digest(ids) == hashlib.sha256(" ".join(map(str, ids.tolist())).encode()).hexdigest()
+    assert pieces.decimal_digest(ids, list(map(str, range(len(ids))))) == hashlib.sha256(" ".join(map(str, ids.tolist())).encode()).hexdigest()
 
 
 def test_odd_rows(spark, library):

@@ -25,13 +25,16 @@ MODEL = "piece_bpe_32k.model"
 #: The character that stands for a space.
 SPACE = "▁"
 #: Words and token pairs that a worker remembers, in each of two generations; longer words are forgotten at once.
-WORDS, PAIRS, WORD_CHARS = 150_000, 300_000, 256
+WORDS, PAIRS, WORD_CHARS = 250_000, 500_000, 256
 #: Bytes of texts that are encoded together; a longer text goes alone.
 _TOGETHER = 1_000_000
 #: Digits of ids that are joined at once.
 _RUN = 1 << 16
 
 
+_NEVER = float("-inf")
+
+
 class Pieces:
     """Encodes and decodes as the model does.
 
@@ -70,6 +73,8 @@ class Pieces:
         self.base = self.start + 1
         self.words = Memory(WORDS)
         self.pairs = Memory(PAIRS)
+        self.made: dict[int, tuple[str, str, list] | None] = {}
+        self.decimals = [str(i) for i in range(self.size)]
         self.word = re.compile(self._word_pattern(names, normal))
         self.pairs_tested = self.words_encoded = 0
 
@@ -82,29 +87,59 @@ class Pieces:
         alone = re.escape("".join(chr(c) for c in range(128) if chr(c) not in joined))
         return f"[{alone}]|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if alone else f"{SPACE}*[^{SPACE}]+|{SPACE}+"
 
-    def _merged(self, tokens: list[str]) -> list[str]:
-        """Plain merging of a few tokens' characters: the best score first, then the leftmost."""
-        parts = list("".join(tokens))
+    def _merges(self, token: int) -> tuple[str, str, list[tuple[float, str, str]]] | None:
+        """How a token comes about: its first and last characters and, after each merge, the score and the outer parts.
+
+        None if its characters, merged by the best score first and then the leftmost, end in other tokens.
+        """
+        if token not in self.made:
+            parts = list(self.text_of[token])
+            first, last, steps = parts[0], parts[-1], []
+            while len(parts) > 1:
+                scores = [self.score.get(a + b, _NEVER) for a, b in zip(parts, parts[1:])]
+                best = max(scores)
+                if best == _NEVER:
+                    break
+                k = scores.index(best)
+                parts[k : k + 2] = [parts[k] + parts[k + 1]]
+                steps.append((best, parts[0], parts[-1]))
+            self.made[token] = (first, last, steps) if len(parts) == 1 else None
+        return self.made[token]
+
+    def _stay(self, left: int, right: int) -> bool:
+        """Run the merges of two tokens side by side: no merge across their border may ever come first.
+
+        Of equal scores the leftmost goes first: the left token's, that across, the right token's.
+        """
+        b = self._merges(right) if right < self.size else (chr(right - self.size), "", [])
+        if left == self.start or b is None:
+            return b is not None
+        a = self._merges(left) if left < self.size else ("", chr(left - self.size), [])
+        if a is None:
+            return False
+        (_, end, before), (begin, _, after) = a, b
+        i = j = 0
         while True:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                score = self.score.get(parts[k] + parts[k + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, k
-            if best is None:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-
-    def _text(self, token: int) -> str:
-        return self.text_of[token] if token < self.size else chr(token - self.size)
+            across = self.score.get(end + begin, _NEVER)
+            of_left = before[i][0] if i < len(before) else _NEVER
+            of_right = after[j][0] if j < len(after) else _NEVER
+            if across > of_left and across >= of_right:
+                return False
+            if of_left >= of_right and i < len(before):
+                end = before[i][2]
+                i += 1
+            elif j < len(after):
+                begin = after[j][1]
+                j += 1
+            else:
+                return True
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether two tokens side by side stay as they are; ``left`` may be the start of the text."""
         key = left * self.base + right
         known = self.pairs.get(key)
         if known is None:
-            tokens = [self._text(t) for t in (left, right) if t != self.start]
-            known = self._merged(tokens) == tokens
+            known = self._stay(left, right)
             self.pairs.put(key, known)
             self.pairs_tested += 1
         return known
@@ -207,11 +242,12 @@ def pieces(path: str) -> Pieces:
     return _loaded[path]
 
 
-def decimal_digest(ids: np.ndarray) -> str:
+def decimal_digest(ids: np.ndarray, decimals: list[str]) -> str:
     """Digest of the ids in decimals, joined by spaces."""
     digest = hashlib.sha256()
     for first in range(0, len(ids), _RUN):
-        digest.update((" " * (first > 0) + " ".join(map(str, ids[first : first + _RUN].tolist()))).encode())
+        run = " ".join([decimals[i] for i in ids[first : first + _RUN].tolist()])
+        digest.update((" " + run if first else run).encode())
     return digest.hexdigest()
 
 
@@ -224,7 +260,7 @@ def _encode_batches(path: str, with_ids: bool):
                 columns = {
                     "doc_id": part.column("doc_id"),
                     "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
-                    "ids_sha256": pa.array([decimal_digest(i) for i in ids], pa.string()),
+                    "ids_sha256": pa.array([decimal_digest(i, made.decimals) for i in ids], pa.string()),
                     "decoded_sha256": pa.array([hashlib.sha256(made.decode(i).encode()).hexdigest() for i in ids], pa.string()),
                 }
                 if with_ids:
