@@ -16,10 +16,9 @@ from .common import in_fold, sampled, table
 
 #: Labelled documents of each class that the network is fitted on, at most; chosen by a hash of the id.
 PER_CLASS = 1_200
-#: Of those documents, so many chunks of a step are looked at in an epoch, drawn anew each time.
-CHUNKS = 4
-EPOCHS = 16
-#: Part of the looks at a document that show a few words of it as if they were all, for the sake of short texts.
+#: Passes over those documents, and documents of a step; each is looked at with all of its chunks.
+EPOCHS, STEP = 16, 64
+#: Part of the looks that show the beginning of a chunk as if it were a whole text, for the sake of short texts.
 SHORT = 0.3
 FILTERS, WIDTH = 16, 5
 #: A chunk is four cells of bytes; the next one begins three cells on, so that chunks overlap.
@@ -70,13 +69,75 @@ class Network:
         return float(1 / (1 + np.exp(-np.clip(self.features(text) @ self.out, -30, 30))))
 
 
-def train(texts: list[bytes], good: np.ndarray, random: np.random.Generator | None = None) -> Network:
-    """Fit by Adam on chunks drawn from each document; both classes weigh alike.
-
-    The gradient of a maximum goes to the place that had it, so a step touches few bytes.
+def _tops(p: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Highest response of each filter in each cell of ``x``, and the byte where it starts, in blocks of bounded size."""
+    tail = np.concatenate([x, np.zeros(WIDTH - 1, np.uint8)])
+    top, place = np.empty((len(x) // CELL, FILTERS), np.float32), np.empty((len(x) // CELL, FILTERS), np.int64)
+    for start in range(0, len(x), _HELD):
+        m = min(_HELD, len(x) - start)
+        response = p["taps"][0][tail[start : start + m]]
+        for j in range(1, WIDTH):
+            response += p["taps"][j][tail[start + j : start + j + m]]
+        response = response.reshape(-1, CELL, FILTERS)
+        at = response.argmax(axis=1)
+        cells = slice(start // CELL, (start + m) // CELL)
+        top[cells] = np.take_along_axis(response, at[:, None], 1)[:, 0]
+        place[cells] = at + np.arange(start, start + m, CELL)[:, None]
+    return top + p["bias"], place
+
+
+def slopes(
+    p: dict[str, np.ndarray], docs: list[np.ndarray], good: np.ndarray, weight: np.ndarray
+) -> tuple[float, dict[str, np.ndarray]]:
+    """Weighted log loss of padded documents, all their chunks seen as in scoring, and its gradient.
+
+    The gradient of a maximum goes to the place that had it, so few bytes of a chunk have a part in it.
     """
-    random = random or np.random.default_rng(SEED)
+    rest = np.zeros(CELL, np.uint8)  # what follows a document is empty, as in scoring
+    x = np.concatenate([part for d in docs for part in (d, rest)])
+    top, place = _tops(p, x)
+    first, starts, ends = 0, [], []
+    for d in docs:
+        starts.append(first + np.arange(0, len(d) // CELL - CELLS + 1, STRIDE))
+        ends.append(len(starts[-1]))
+        first += len(d) // CELL + 1
+    of = np.repeat(np.arange(len(docs)), ends)
+    cells = np.concatenate(starts)[:, None] + np.arange(CELLS)  # of each chunk
+    best = top[cells].argmax(axis=1)
+    cell = np.take_along_axis(cells, best, 1)
+    columns = np.arange(FILTERS)[None]
+    chunk = np.maximum(top[cell, columns], 0)
+    number = np.array(ends, np.float32)[:, None]
+    begin = np.concatenate([[0], np.cumsum(ends)[:-1]])
+    mean, highest = np.add.reduceat(chunk, begin) / number, np.maximum.reduceat(chunk, begin)
+    which = np.stack([chunk[b : b + n].argmax(axis=0) + b for b, n in zip(begin, ends)])
+    seen = np.concatenate([mean, highest, np.ones((len(docs), 1), np.float32)], axis=1)
+    odds = np.clip(seen @ p["out"], -30, 30)
+    loss = float((weight * (np.logaddexp(0, odds) - good * odds)).sum() / len(docs))
+    gap = ((1 / (1 + np.exp(-odds)) - good) * weight / len(docs)).astype(np.float32)
+    back = gap[:, None] * p["out"][None]
+    to_chunk = (back[:, :FILTERS] / number)[of]
+    np.add.at(to_chunk, (which, np.broadcast_to(columns, which.shape)), back[:, FILTERS : 2 * FILTERS])
+    to_chunk *= chunk > 0
+    at = place[cell, columns]
+    out = {"out": seen.T @ gap, "bias": to_chunk.sum(axis=0), "taps": np.zeros_like(p["taps"])}
+    full = np.concatenate([x, np.zeros(WIDTH - 1, np.uint8)])
+    wide = np.broadcast_to(columns, at.shape)
+    for j in range(WIDTH):
+        np.add.at(out["taps"][j], (full[at + j], wide), to_chunk)
+    return loss, out
+
+
+def _beginning(doc: np.ndarray, random: np.random.Generator) -> np.ndarray:
+    """The first bytes of one of a document's chunks, as a text of its own."""
     size = CELL * CELLS
+    start = int(random.integers(0, (len(doc) - size) // (STRIDE * CELL) + 1)) * STRIDE * CELL
+    return np.where(np.arange(size) < random.integers(10, size), doc[start : start + size], 0).astype(np.uint8)
+
+
+def train(texts: list[bytes], good: np.ndarray, random: np.random.Generator | None = None) -> Network:
+    """Fit by Adam, each document seen whole once an epoch or by the beginning of a chunk; both classes weigh alike."""
+    random = random or np.random.default_rng(SEED)
     p = {
         "taps": random.normal(0, 0.3, (WIDTH, 256, FILTERS)).astype(np.float32),
         "bias": np.zeros(FILTERS, np.float32),
@@ -84,43 +145,14 @@ def train(texts: list[bytes], good: np.ndarray, random: np.random.Generator | No
     }
     mean, square, step = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
     docs = [padded(t.decode("utf-8", "replace")) for t in texts]
-    weight = np.where(good, 0.5 / max(1, good.sum()), 0.5 / max(1, (~good).sum())) * len(good)
-    window = np.arange(size)
+    weight = (np.where(good, 0.5 / max(1, good.sum()), 0.5 / max(1, (~good).sum())) * len(good)).astype(np.float32)
     for epoch in range(EPOCHS):
         order = random.permutation(len(docs))
-        for at in range(0, len(order), 64):
-            rows = order[at : at + 64]
-            picks = []
-            for r in rows:
-                last = (len(docs[r]) - size) // (STRIDE * CELL)
-                picks.append(random.integers(0, last + 1, CHUNKS) * STRIDE * CELL)
-            x = np.stack([docs[r][s + window] for r, starts in zip(rows, picks) for s in starts])
-            for k in np.nonzero(random.random(len(rows)) < SHORT)[0] * CHUNKS:  # this row stands for a short text
-                x[k : k + CHUNKS] = np.where(window < random.integers(10, size), x[k], 0)
-            x = np.concatenate([x, np.zeros((len(x), WIDTH - 1), np.uint8)], axis=1)
-            response = p["taps"][0][x[:, :size]]
-            for j in range(1, WIDTH):
-                response += p["taps"][j][x[:, j : j + size]]
-            place = response.argmax(axis=1)
-            top = np.take_along_axis(response, place[:, None], 1)[:, 0] + p["bias"]
-            chunk = np.maximum(top, 0).reshape(len(rows), CHUNKS, FILTERS)
-            highest = chunk.argmax(axis=1)
-            seen = np.concatenate([chunk.mean(axis=1), chunk.max(axis=1), np.ones((len(rows), 1), np.float32)], axis=1)
-            gap = 1 / (1 + np.exp(-np.clip(seen @ p["out"], -30, 30))) - good[rows]
-            gap = (gap * weight[rows] / len(rows)).astype(np.float32)
-            back = gap[:, None] * p["out"][None]
-            to_chunk = np.repeat(back[:, None, :FILTERS] / CHUNKS, CHUNKS, axis=1)
-            np.put_along_axis(
-                to_chunk,
-                highest[:, None],
-                np.take_along_axis(to_chunk, highest[:, None], 1) + back[:, None, FILTERS : 2 * FILTERS],
-                1,
-            )
-            to_top = (to_chunk * (chunk > 0)).reshape(-1, FILTERS)
-            slope = {"out": seen.T @ gap, "bias": to_top.sum(axis=0), "taps": np.zeros_like(p["taps"])}
-            columns = np.broadcast_to(np.arange(FILTERS), place.shape)
-            for j in range(WIDTH):
-                np.add.at(slope["taps"][j], (np.take_along_axis(x, place + j, 1), columns), to_top)
+        for at in range(0, len(order), STEP):
+            rows = order[at : at + STEP]
+            short = random.random(len(rows)) < SHORT
+            looks = [_beginning(docs[r], random) if s else docs[r] for r, s in zip(rows, short)]
+            _, slope = slopes(p, looks, good[rows].astype(np.float32), weight[rows])
             step += 1
             for k, v in p.items():
                 g = slope[k] + (1e-4 * v if k == "out" else 0)
@@ -131,23 +163,8 @@ def train(texts: list[bytes], good: np.ndarray, random: np.random.Generator | No
     return Network(p["taps"], p["bias"], p["out"])
 
 
-def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The parts of each text that training may draw chunks from: all of it, or 64 stretches spread over a long one."""
-    size, most = CELL * CELLS, 64
-    for batch in batches:
-        raw = []
-        for text in batch.column("text").to_pylist():
-            x = (text or "").encode("utf-8", "replace")
-            if len(x) > size * most:
-                x = b"".join(x[i * len(x) // most :][:size] for i in range(most))
-            raw.append(x)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(raw, pa.binary()), batch.column("quality")], ["doc_id", "raw", "quality"]
-        )
-
-
 def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
-    """Fit on at most ``PER_CLASS`` documents of each class; None if a class has none.
+    """Fit on at most ``PER_CLASS`` documents of each class, with their whole texts; None if a class has none.
 
     Labels of the evaluation fold are not looked at.  A document with two labels counts as the lower one, and of the
     rows that repeat an id the one with the smallest hash of the text.
@@ -165,8 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | None:
         texts.join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", "quality")
         .agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
-        .select("doc_id", "text", "quality")
-        .mapInArrow(_sample_batches, "doc_id bigint, raw binary, quality int")
+        .select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("raw"), "quality")
         .toArrow()
         .to_pylist()
     )
@@ -206,6 +222,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every row of ``documents`` by a network fitted on the labels outside the evaluation fold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
     rows = docs.select(F.col("doc_id").cast("long"), in_fold("doc_id", 3, 1).alias("held_out"), F.col("text").cast("string"))
