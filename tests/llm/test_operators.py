@@ -166,7 +166,7 @@ def test_bpe_hard_texts(odd, none):
     for text, code in zip(texts, made.encode_many(texts)):
         assert np.frombuffer(code, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
     again = made.encode_many(["x " * 50 + t for t in texts])
-    assert made.reused_chunks and again == bpe.Encoder(public_tokenizers.path(bpe.VOCABULARY)).encode_many(["x " * 50 + t for t in texts])
+    assert made.reused and made.repaired and not made.widened and again == bpe.Encoder(public_tokenizers.path(bpe.VOCABULARY)).encode_many(["x " * 50 + t for t in texts])
     assert bpe.encode_documents(odd).where("n_tokens = 0").count() == 3
     assert bpe.encode_documents(none).count() == 0
 

@@ -2,15 +2,18 @@
 
 A rolling hash over the last characters cuts a text into chunks where the hash meets a mask, so the
 same passage is cut alike wherever it stands.  A worker encodes a chunk once and keeps its tokens for every
-later document that holds it.  A cut may fall inside a word, so each join of two chunks is encoded again over a
-window that is widened, piece by piece, until both its ends agree with the tokens of the chunks.
+later document that holds it.  A cut may fall inside a word, so each join of two chunks is encoded again over
+a window that reaches one whole piece into either chunk.  If the window's outer tokens are those that the
+chunks have there, what lies between joins their tokens; if not, the window becomes the whole text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
@@ -18,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from .common import portions, table
+from .common import Memory, portions, table
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -26,8 +29,8 @@ VOCABULARY = "word_bpe_49k.json"
 WINDOW, BITS = 16, 9
 #: A chunk has at least this many characters, but for a text's last one.
 LEAST = 64
-#: What a worker keeps: pieces in each of two generations, and chunks of up to so many characters.
-PIECES, CHUNKS, CHUNK_CHARS = 150_000, 4_000, 8_192
+#: What a worker keeps in each of two generations: pieces, and chunks and joins of up to so many characters.
+PIECES, CHUNKS, JOINS, CHUNK_CHARS = 150_000, 20_000, 40_000, 8_192
 #: A longer piece is forgotten as soon as its text is done.
 PIECE_CHARS = 256
 
@@ -76,12 +79,7 @@ def cuts(text: str) -> list[int]:
     return [*out, n]
 
 
-class _Memory:
-    """Tokens by text in two generations: what is used again outlives the older one, which is dropped."""
-
-    def __init__(self, most: int) -> None:
-        self.most, self.young, self.old = most, {}, {}
-
+class _Pieces(Memory):
     def missing(self, texts: set[str]) -> list[str]:
         """Those that are not known; those that are will be among the young ones."""
         if len(self.young) > self.most:
@@ -96,14 +94,54 @@ class _Memory:
         return out
 
 
+@dataclass(frozen=True)
+class _Chunk:
+    """Tokens of the whole pieces of a chunk, and the first and the last of them that have any, with where they end and begin."""
+
+    tokens: bytes
+    first: bytes
+    first_end: int
+    last: bytes
+    last_start: int
+
+
+def _refuse_what_crosses_spaces(path: str) -> None:
+    """Only a tokenizer whose normaliser, word search and vocabulary leave a space or line feed as a border is handled."""
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+
+    def steps(part: dict | None, many: str) -> list[dict]:
+        return [] if part is None else part[many] if part["type"] == "Sequence" else [part]
+
+    normal = {s["type"] for s in steps(made.get("normalizer"), "normalizers")}
+    words = steps(made.get("pre_tokenizer"), "pretokenizers")
+    split = [w for w in words if w["type"] == "Split" and w["behavior"] == "Removed" and w.get("invert")]
+    crossing = [w for w in words if w["type"] != "Split" and (w["type"] != "ByteLevel" or w["add_prefix_space"] or w["use_regex"])]
+    model = made["model"]
+    spaced = [t["content"] for t in made["added_tokens"] if " " in t["content"] or "\n" in t["content"] or t["lstrip"] or t["rstrip"]]
+    if (
+        model["type"] != "BPE"
+        or model.get("dropout")
+        or made.get("decoder")
+        or not normal <= {"NFC", "Replace", "Lowercase"}
+        or len(split) != 1
+        or crossing
+        or spaced
+        or any("\u0120" in t or " " in t for t in model["vocab"] if t != "\u0120" and t != "\u0120</w>")
+    ):
+        raise ValueError("tokens of this tokenizer may reach across a space: chunks cannot be joined")
+
+
 class Encoder:
-    """Encodes texts exactly as the tokenizer does, with a bounded memory of pieces and chunks.
+    """Encodes texts exactly as the tokenizer does, with a bounded memory of pieces, chunks and joins.
 
     A piece is a run without space and line feed.  Neither normalisation nor the search for words or special
     tokens of this tokenizer looks across those two characters, so pieces can be encoded one by one.
+    ``tokens``, ``reused`` and ``repaired`` count tokens: all, from chunks that were known, from windows over joins.
     """
 
     def __init__(self, path: str) -> None:
+        _refuse_what_crosses_spaces(path)
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core: no threads beside it
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -112,9 +150,10 @@ class Encoder:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.words = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         [self.mark] = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
-        self.pieces = _Memory(PIECES)
-        self.chunks: dict[str, tuple[str, bytes, str] | None] = {}
-        self.encoded_chunks = self.reused_chunks = 0
+        self.pieces = _Pieces(PIECES)
+        self.chunks = Memory(CHUNKS)
+        self.joins = Memory(JOINS)
+        self.tokens = self.reused = self.repaired = self.widened = 0
 
     def _learn(self, pieces: set[str]) -> None:
         """Encode new pieces, many in one call: between two of them stands a word of one known token."""
@@ -134,66 +173,109 @@ class Encoder:
         for text, encoded in zip(texts[len(runs) :], made[len(runs) :]):
             known[text] = np.array(encoded.ids, "<u4").tobytes()
 
-    def _layout(self, chunk: str, fresh: dict[str, tuple]) -> tuple | None:
-        """Head piece, what lies between, tail piece; None if the chunk lies inside a single piece.
-
-        The head may begin and the tail may go on in the neighbouring chunks, so their tokens depend on the join.
-        What lies between are tokens if the chunk is known, else pieces to be encoded once.
-        """
-        if chunk in self.chunks:
-            self.reused_chunks += 1
-            return self.chunks[chunk]
-        if chunk in fresh:
-            self.reused_chunks += 1
-            return fresh[chunk]
-        pieces = chunk.replace("\n", " ").split(" ")
-        made = (pieces[0], pieces[1:-1], pieces[-1]) if len(pieces) > 1 else None
-        self.encoded_chunks += 1
-        fresh[chunk] = made
-        return made
-
-    def encode_many(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers; NULL as an empty text."""
-        fresh: dict[str, tuple] = {}
-        needed: set[str] = set()
-        rows = []
+    def _chunks(self, texts: list[str]) -> list[list[tuple[str, _Chunk | None, bool]]]:
+        """The chunks of each text with their tokens, None where a chunk has no whole piece, and whether they were known."""
+        fresh: dict[str, list[str]] = {}
+        found: dict[str, _Chunk | None] = {}
+        laid = []
         for text in texts:
-            row, carried, at = [], [], 0
-            for end in cuts(text or ""):
-                chunk = text[at:end]
-                at = end
-                made = self._layout(chunk, fresh)
-                if made is None:  # no end of a piece in this chunk: the window over the join is widened by all of it
-                    carried.append(chunk)
-                    continue
-                join = "".join([*carried, made[0]])
-                needed.add(join)
-                row += [join, made]
-                carried = [made[2]]
-            last = "".join(carried)
-            needed.add(last)
-            rows.append((row, last))
-        for made in fresh.values():
-            if made is not None:
-                needed.update(made[1])
+            row, at = [], 0
+            for end in cuts(text):
+                chunk, at = text[at:end], end
+                if chunk in found:
+                    row.append((chunk, True))
+                elif (known := self.chunks.get(chunk)) is not None:
+                    found[chunk] = known or None
+                    row.append((chunk, True))
+                else:
+                    found[chunk] = None
+                    fresh[chunk] = chunk.replace("\n", " ").split(" ")
+                    row.append((chunk, False))
+            laid.append(row)
+        needed = {p for pieces in fresh.values() for p in pieces[1:-1]}
         self._learn(needed)
-        ids, between = self.pieces.young, {}
-        for chunk, made in fresh.items():
-            done = made
-            if made is not None:
-                between[id(made)] = b"".join([ids[p] for p in made[1]])
-                done = (made[0], between[id(made)], made[2])
+        for chunk, pieces in fresh.items():
+            found[chunk] = self._encoded(pieces)
             if len(chunk) <= CHUNK_CHARS:
-                if len(self.chunks) >= CHUNKS:
-                    self.chunks.clear()
-                self.chunks[chunk] = done
-        out = []
-        for row, last in rows:
-            parts = [between.get(id(x), x[1]) if type(x) is tuple else ids[x] for x in row]
-            out.append(b"".join([*parts, ids[last]]))
+                self.chunks.put(chunk, found[chunk] or False)
         for piece in needed:
             if len(piece) > PIECE_CHARS:
-                del ids[piece]
+                self.pieces.young.pop(piece, None)
+        return [[(chunk, found[chunk], known) for chunk, known in row] for row in laid]
+
+    def _encoded(self, pieces: list[str]) -> _Chunk | None:
+        """Tokens of a chunk's pieces but the outer two, which may go on in the neighbouring chunks."""
+        ids = self.pieces.young
+        inner = pieces[1:-1]
+        filled = [k for k, p in enumerate(inner) if ids[p]]
+        if not filled:
+            return None
+        first, last = filled[0], filled[-1]
+        starts = np.cumsum([len(pieces[0]) + 1, *[len(p) + 1 for p in inner]]).tolist()
+        return _Chunk(
+            b"".join([ids[p] for p in inner]),
+            ids[inner[first]],
+            starts[first] + len(inner[first]),
+            ids[inner[last]],
+            starts[last],
+        )
+
+    def _windows(self, row: list[tuple[str, _Chunk | None, bool]]) -> list[tuple[str, bytes, bytes]]:
+        """What is encoded again over the joins of a text, with the tokens that must stand at its left and right end."""
+        windows, carried, left = [], [], b""
+        for chunk, made, _ in row:
+            if made is None:  # no whole piece: the window over the join reaches over all of it
+                carried.append(chunk)
+                continue
+            windows.append(("".join([*carried, chunk[: made.first_end]]), left, made.first))
+            carried, left = [chunk[made.last_start :]], made.last
+        windows.append(("".join(carried), left, b""))
+        return windows
+
+    def _repaired(self, windows: set[tuple[str, bytes, bytes]]) -> dict[tuple[str, bytes, bytes], bytes | None]:
+        """The tokens between the outer ones of each window; None if the outer ones are not those of the chunks."""
+        out, new = {}, []
+        for w in windows:
+            known = self.joins.get(w[0])
+            if known is None:
+                new.append(w)
+            else:
+                out[w] = known
+        texts = list({w[0] for w in new})
+        made = dict(zip(texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)))
+        for w in new:
+            ids = np.array(made[w[0]].ids, "<u4").tobytes()
+            out[w] = ids
+            if len(w[0]) <= PIECE_CHARS:
+                self.joins.put(w[0], ids)
+        for w, ids in out.items():
+            _, left, right = w
+            agrees = len(ids) >= len(left) + len(right) and ids.startswith(left) and ids.endswith(right)
+            out[w] = ids[len(left) : len(ids) - len(right)] if agrees else None
+        return out
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; NULL as an empty text."""
+        laid = self._chunks([t or "" for t in texts])
+        asked = [self._windows(row) for row in laid]
+        between = self._repaired({w for windows in asked for w in windows})
+        out = []
+        for text, row, windows in zip(texts, laid, asked):
+            joins = [between[w] for w in windows]
+            if any(j is None for j in joins):
+                self.widened += 1
+                whole = self.tokenizer.encode(text, add_special_tokens=False).ids
+                out.append(np.array(whole, "<u4").tobytes())
+                continue
+            parts, k = [joins[0]], 1
+            for _, made, known in row:
+                if made is not None:
+                    parts += [made.tokens, joins[k]]
+                    k += 1
+                    self.reused += len(made.tokens) // 4 if known else 0
+            self.repaired += sum(map(len, joins)) // 4
+            out.append(b"".join(parts))
+            self.tokens += len(out[-1]) // 4
         return out
 
     def encode(self, text: str | None) -> bytes:
@@ -242,7 +324,8 @@ def _encode_batches(path: str, with_ids: bool):
 def encode_documents(docs: DataFrame, with_ids: bool = True, path: str | None = None) -> DataFrame:
     """Tokens of every whole text with digests of ids and decoded text; one row per row, nothing is shuffled.
 
-    Repeated rows are encoded alike and kept; a NULL text is an empty one.
+    Repeated rows are encoded alike and kept; a NULL text is an empty one.  A tokenizer whose tokens may reach across
+    a space or line feed is refused.
     """
     path = path or public_tokenizers.path(VOCABULARY)
     kinds = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -252,4 +335,5 @@ def encode_documents(docs: DataFrame, with_ids: bool = True, path: str | None =
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`encode_documents` of ``documents``, without the ids themselves."""
     return encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
