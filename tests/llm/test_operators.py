@@ -367,31 +367,6 @@ def test_url_rules(spark):
     assert urls.judge(df.limit(0)).count() == 0
 
 
-def test_url_models_match_a_plain_model(spark):
-    rows = [("http://good.org/a", "allow"), ("http://good.org/bb", "allow"), ("http://bad.com/q", "block")]
-    df = spark.createDataFrame(rows, "_url string, _ruled string")
-    ratios = {r._gram: r._ratio for r in urls.log_ratios(urls._grams(df).withColumnRenamed("_ruled", "_side")).collect()}
-    code = {c: i + 1 for i, c in enumerate(urls.ALPHABET)}
-    seen = {"allow": {}, "block": {}}
-    for url, side in rows:
-        at = [63, 63] + [code.get(c, 0) for c in url]
-        for i in range(2, len(at)):
-            for n in (0, 1, 2):
-                context = tuple(at[i - n : i])
-                seen[side].setdefault(context, []).append(at[i])
-
-    def chance(side, context, c):
-        lower = chance(side, context[1:], c) if context else 1 / 64
-        after = seen[side].get(context, [])
-        t = len(set(after))
-        return (after.count(c) + t * lower) / (len(after) + t) if after else lower
-
-    for gram in [*range(0, 64**3, 4_999), code["o"] * 4096 + code["r"] * 64 + code["g"]]:
-        a, b, c = gram // 4096, gram // 64 % 64, gram % 64
-        exact = np.log(chance("allow", (a, b), c)) - np.log(chance("block", (a, b), c))
-        assert abs(ratios[gram] - exact * 1e6) <= 1
-
-
 def test_url_models_grow_and_keep_characters(spark):
     """Contexts of up to ORDER characters as they stand, against a plain model."""
     ruled = [("http://good.org/casino-Ä", "allow"), ("http://good.org/free-日😀", "allow"), ("http://good.org/aab", "allow")]

@@ -27,10 +27,6 @@ RULES = (
 ORDER = 8
 #: A gram that makes up this part of all positions is hot; there are at most so many of them.
 HOT = 5_000
-#: Of the model of fixed size: characters with a class of their own; all others share class 0, and class 63 stands before the start.
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789/.-_:?=&%#+~,;@!$'()*[]"
-_BASE = 64
-_START = 63
 #: Log ratios are whole numbers of this part of a nat, so that sums do not depend on their order.
 _UNIT = 1_000_000
 #: Calibration compares thresholds in steps of this many nats per character.
@@ -59,68 +55,6 @@ def with_rules(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, st
     return parted.withColumns({"_rule": rule, "_ruled": ruled})
 
 
-def _grams(urls: DataFrame) -> DataFrame:
-    """One row per character of each URL: its class with the classes of the two characters before, as one number."""
-    chars = F.filter(F.split(F.lower("_url"), ""), lambda c: c != "")
-    codes = F.concat(
-        F.array(F.lit(_START), F.lit(_START)),
-        F.transform(chars, lambda c: F.instr(F.lit(ALPHABET), c).cast("int")),
-    )
-    numbered = urls.withColumn("_codes", codes)
-    at = F.sequence(F.lit(0), F.size("_codes") - 3)
-    gram = F.when(
-        F.size("_codes") > 2,
-        F.transform(
-            at,
-            lambda i: F.get("_codes", i) * (_BASE * _BASE) + F.get("_codes", i + 1) * _BASE + F.get("_codes", i + 2),
-        ),
-    )
-    return numbered.withColumn("_length", F.size("_codes") - 2).withColumn("_gram", F.explode(gram)).drop("_codes")
-
-
-def log_ratios(grams: DataFrame) -> DataFrame:
-    """``(_gram, _ratio)`` for every gram of two characters of context: log of accepted over rejected.
-
-    This is the model of fixed size; URLs are judged by ``context_ratios``.  A character is predicted from two characters before it, which is interpolated with one, none
-    and the uniform distribution in turn.  A context of n occurrences with t different successors
-    gives n / (n + t) of the weight to its own counts (the rule of Witten and Bell), and one that
-    never occurred gives all weight to the shorter one: so the order varies with the context.  There are
-    64 cubed grams whatever the input, which is the proven bound of this table.
-    """
-    three = grams.groupBy("_side", "_gram").agg(F.count(F.lit(1)).alias("_n"))
-
-    def counts(order: int, name: str) -> DataFrame:
-        size = _BASE**order
-        ends = three.groupBy("_side", (F.col("_gram") % size).alias(f"g{name}")).agg(F.sum("_n").alias(f"n{name}"))
-        return ends
-
-    def contexts(frame: DataFrame, name: str) -> DataFrame:
-        return frame.groupBy("_side", F.floor(F.col(f"g{name}") / _BASE).cast("int").alias(f"c{name}")).agg(
-            F.sum(f"n{name}").alias(f"s{name}"), F.count(F.lit(1)).alias(f"t{name}")
-        )
-
-    spark = grams.sparkSession
-    every = (
-        spark.range(_BASE**3)
-        .select(F.col("id").cast("int").alias("g3"))
-        .withColumn("_side", F.explode(F.array(F.lit("allow"), F.lit("block"))))
-        .withColumns({f"g{k}": (F.col("g3") % _BASE**k).cast("int") for k in (1, 2)})
-        .withColumns({f"c{k}": F.floor(F.col(f"g{k}") / _BASE).cast("int") for k in (1, 2, 3)})
-    )
-    p = F.lit(1.0 / _BASE)
-    for k in (1, 2, 3):
-        own = counts(k, str(k))
-        every = every.join(own, ["_side", f"g{k}"], "left").join(contexts(own, str(k)), ["_side", f"c{k}"], "left")
-        n, s, t = (F.coalesce(F.col(f"{x}{k}"), F.lit(0)).cast("double") for x in "nst")
-        every = every.withColumn(f"p{k}", F.when(s > 0, (n + t * p) / (s + t)).otherwise(p))
-        p = F.col(f"p{k}")
-    allowed = F.sum(F.when(F.col("_side") == "allow", F.log("p3")))
-    blocked = F.sum(F.when(F.col("_side") == "block", F.log("p3")))
-    return every.groupBy(F.col("g3").alias("_gram")).agg(
-        F.round((allowed - blocked) * _UNIT).cast("long").alias("_ratio")
-    )
-
-
 def grams_at(urls: DataFrame, order: int = ORDER) -> DataFrame:
     """``_id, _side, _gram`` of every character of each URL: the character after as many as ``order`` before it.
 
