@@ -5,7 +5,7 @@ from pyspark.ml.feature import IndexToString
 from pyspark.sql import functions as F
 
 from tillsight.ml import classifiers, metrics, recommend
-from tillsight.ml.features import fit_index
+from tillsight.ml.features import fit_index, label_table, with_index, with_label
 
 SPEC = classifiers.ForestSpec("target", ("colour",), ("x",), trees=4, depth=3)
 
@@ -123,12 +123,11 @@ def test_novel_recommendations_leave_out_history(spark, tmp_path):
     history = _history()
     rows = [(u, i, float(1 + (u * 7 + int(i[1:])) % 5)) for u, i in history] + [(0, "i0", 2.0)] * 2
     df = spark.createDataFrame(rows, "user INT, item STRING, rating DOUBLE").withColumn("rating", F.col("rating").cast("decimal(3,1)"))
-    index = recommend.item_index(df, "item")
-    ratings = recommend.interactions(df, index, "user", "item", "rating").cache()
+    labels = label_table(df, "item")
+    ratings = recommend.interactions(df, labels, "user", "item", "rating").cache()
     assert ratings.count() == len(set(history) | {(0, "i0")})
     model = recommend.load_or_train_als(str(tmp_path / "als"), lambda: recommend.train_als(ratings, iterations=3))
     model = recommend.load_or_train_als(str(tmp_path / "als"), None)
-    labels = recommend.label_table(index, df, "item")
     got = recommend.novel_recommendations(model, ratings.select("user_id", "item_id"), labels, "item").collect()
     seen = set(history) | {(0, "i0")}
     assert not [r for r in got if (r["user_id"], r["item"]) in seen]
@@ -137,3 +136,52 @@ def test_novel_recommendations_leave_out_history(spark, tmp_path):
         per_user[r["user_id"]] = per_user.get(r["user_id"], 0) + 1
     for u in {u for u, _ in seen}:
         assert per_user.get(u, 0) == min(3, 9 - len([1 for v, _ in seen if v == u]))
+
+
+def test_labels_as_a_table(spark, monkeypatch):
+    """Numbers as the string indexer gives them; hot values are joined apart, and the way back needs the index only."""
+    from tillsight.ml import features
+
+    values = ["b"] * 50 + ["a"] * 50 + [f"v{k}" for k in range(40)] + [None] * 3
+    df = spark.createDataFrame(list(enumerate(values)), "id INT, s STRING").repartition(4)
+    labels = label_table(df, "s")
+    expected = {v: i for i, v in enumerate(fit_index(df.where("s is not null"), "s", "i").labels)}
+    assert {r.value: r.idx for r in labels.collect()} == expected
+    for hot in (1_000, 4):
+        monkeypatch.setattr(features, "HOT_LABELS", hot)
+        got = with_label(with_index(df, labels, "s", "i").drop("s"), labels, "i", "s").collect()
+        assert sorted((r.id, r.s) for r in got) == [(i, v) for i, v in enumerate(values) if v is not None]
+    assert label_table(df.limit(0), "s").count() == 0
+
+
+@pytest.mark.parametrize("block, strip", [(65_536, 1_024), (40, 7)])
+def test_best_items_equal_all_pairs(spark, monkeypatch, block, strip):
+    """As if every user were paired with every item, but with fewer strips looked at."""
+    import random
+
+    rng = random.Random(3)
+    rows = [(u, i, float(1 + (u * 7 + i * 3) % 5) * (3 if i < 5 else 0.2)) for u in range(120) for i in range(150) if rng.random() < 0.2]
+    model = recommend.train_als(spark.createDataFrame(rows, "user_id INT, item_id INT, rating DOUBLE"), iterations=4)
+    monkeypatch.setattr(recommend, "BLOCK", block)
+    monkeypatch.setattr(recommend, "STRIP", strip)
+    wanted = spark.createDataFrame([(u, 1 + u % 9) for u in range(118)] + [(118, 150), (119, 400), (9_999, 5)], "user_id INT, k INT")
+    got = recommend.best_items(model, wanted).collect()
+    factors = {r.id: r.features for r in model.userFactors.collect()}
+    items = {r.id: r.features for r in model.itemFactors.collect()}
+    lists = {}
+    for r in got:
+        lists.setdefault(r.user_id, []).append((r.item_id, r.predicted_rating))
+    assert 9_999 not in lists
+    for u, k in [(u, 1 + u % 9) for u in range(118)] + [(118, 150), (119, 400)]:
+        every = sorted((sum(a * b for a, b in zip(factors[u], f)) for f in items.values()), reverse=True)
+        assert len(lists[u]) == min(k, len(items)) == len({i for i, _ in lists[u]})
+        assert [s for _, s in lists[u]] == pytest.approx(every[: len(lists[u])], rel=1e-4, abs=1e-5)
+        assert all(s == pytest.approx(sum(a * b for a, b in zip(factors[u], items[i])), rel=1e-4, abs=1e-5) for i, s in lists[u])
+    if strip == 7:
+        looked = {r.user_id: r.looked for r in got}
+        assert max(looked.values()) <= -(-40 // 7) * 4 and sum(looked[u] for u in range(118)) < 0.7 * 118 * len(items) / 7
+    spark_lists = {r.user_id: [x.rating for x in r.recommendations] for r in model.recommendForAllUsers(4).collect()}
+    mine = {}
+    for r in sorted(recommend.recommend_all(model, 4).collect(), key=lambda r: -r.predicted_rating):
+        mine.setdefault(r.user_id, []).append(r.predicted_rating)
+    assert all(mine[u] == pytest.approx(s, rel=1e-4, abs=1e-5) for u, s in spark_lists.items())

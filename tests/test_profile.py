@@ -89,3 +89,48 @@ def test_joins(spark, rows):
     a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z")], "u INT, i STRING")
     assert rows(minus_history(a, a.where("i = 'z'"), ["u", "i"])) == [(1, "x"), (2, "y")]
     assert rows(with_baseline(a, n=a.agg(F.count("*"))).select("u", "n")) == [(1, 3), (2, 3), (2, 3)]
+
+
+def test_duplicates_with_a_forced_digest_clash(spark):
+    """Different rows with one digest count as different; NULLs, zeros and NaN as in a grouping."""
+    rows = [(1, None, 0.0), (None, "1", 0.0), (1, None, -0.0), (1, "a", float("nan")), (1, "a", float("nan")), (2, "b", None)] + [(9, "x", 1.5)] * 300
+    df = spark.createDataFrame(rows, "a INT, b STRING, c DOUBLE").repartition(5)
+    expected = (len(rows), df.distinct().count(), len(rows) - df.distinct().count())
+    assert expected[1] == 5
+    for digest in (profile.row_digest, lambda d: (F.lit(1).cast("bigint"), F.lit(2).cast("bigint")), lambda d: (F.coalesce(F.length("b"), F.lit(0)).cast("bigint"), F.lit(0).cast("bigint"))):
+        got = profile.duplicate_count(df, digest).first()
+        assert (got.total_rows, got.distinct_rows, got.duplicates) == expected
+    none = profile.duplicate_count(df.limit(0)).first()
+    assert tuple(none) == (0, 0, 0)
+
+
+def test_duplicates_shuffle_digests_only(spark):
+    df = spark.range(1000).selectExpr("id", "repeat(cast(id as string), 50) AS wide")
+    plan = profile.duplicate_count(df)._jdf.queryExecution().optimizedPlan().toString()
+    first = plan[plan.index("Aggregate [_one") :].split("scalar-subquery")[0]
+    assert "wide" not in first.splitlines()[0] and "xxhash64" in first
+
+
+def test_exact_distinct_by_bitmaps(spark):
+    rows = [("a", 5, 10**9), ("a", 5, -3), ("a", 40_000, None), ("b", 1, 0), (None, 7, 7), (None, 7, 7), ("c", None, 1)]
+    df = spark.createDataFrame(rows, "g STRING, x INT, y BIGINT").repartition(3)
+    got = profile.exact_distinct(df, ["g"], {"xs": "x", "ys": "y"})
+    assert {r.g: (r.xs, r.ys) for r in got.collect()} == {"a": (2, 2), "b": (1, 1), None: (1, 1), "c": (0, 1)}
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sample_with_replacement_is_exact_and_repeatable(spark):
+    df = spark.range(0, 1_000, 1, 7).withColumn("x", df_text())
+    for n in (0, 1, 50, 3_000):
+        drawn = sample_with_replacement(df, n, seed=4)
+        rows = sorted(map(tuple, drawn.collect()))
+        assert len(rows) == n and rows == sorted(map(tuple, sample_with_replacement(df, n, seed=4).collect()))
+        assert set(rows) <= {(i, f"row {i}") for i in range(1_000)}
+    many = sample_with_replacement(df, 30_000, seed=9).groupBy("id").count()
+    counts = [r["count"] for r in many.collect()]
+    assert len(counts) > 990 and max(counts) < 70  # about 30 each
+    assert sample_with_replacement(df.limit(0), 5, seed=1).count() == 0
+
+
+def df_text():
+    return F.concat(F.lit("row "), F.col("id").cast("string"))

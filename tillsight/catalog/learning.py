@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions.numeric import ratio, round_half_up
 from ..ml import classifiers, features, metrics, recommend
@@ -22,8 +22,23 @@ from .registry import avg, on_retail, query, rnd
     ),
 )
 def string_index(spark, sf_dir):
-    r = retail(spark, sf_dir).select("item_purchased")
-    return features.label_frame(features.fit_index(r, "item_purchased", "idx"), r, "item_purchased", "idx")
+    return features.label_table(retail(spark, sf_dir), "item_purchased").withColumnRenamed("value", "item_purchased")
+
+
+@query(
+    "index_to_label",
+    on_retail(
+        "SELECT customer_id, order_id, CAST(idx AS INT) AS idx, item_purchased AS label FROM retail JOIN "
+        "(SELECT item_purchased, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, item_purchased) - 1 AS idx FROM retail GROUP BY 1) "
+        "USING (item_purchased)"
+    ),
+)
+def index_to_label(spark, sf_dir):
+    """The item of every purchase as an index, and back again by the index alone."""
+    rows = materialize(retail(spark, sf_dir).select("customer_id", "order_id", "item_purchased"))
+    labels = features.label_table(rows, "item_purchased")
+    indexed = features.with_index(rows, labels, "item_purchased", "idx").drop("item_purchased")
+    return features.with_label(indexed, labels, "idx", "label")
 
 
 @query(
@@ -166,6 +181,53 @@ def _scored(model, df):
     )
 
 
+@query(
+    "train_promo_rules",
+    on_retail(
+        "SELECT COUNT(*) AS held_out, TRUE AS not_below_majority, TRUE AS better_than_chance FROM retail WHERE "
+        "CAST('0x' || SUBSTR(MD5(CAST(order_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296e0 >= 8e-1"
+    ),
+)
+def train_promo_rules(spark, sf_dir):
+    """Rows that were held out, and whether the forest is there as good as always the most frequent class."""
+    training, held_out = _held_out(retail(spark, sf_dir))
+    return _rules(classifiers.train(training, classifiers.PROMO), training, held_out, classifiers.PROMO)
+
+
+@query(
+    "train_seasonal_rules",
+    on_retail(
+        "SELECT COUNT(*) AS held_out, TRUE AS better_than_chance FROM retail WHERE "
+        "CAST('0x' || SUBSTR(MD5(CAST(order_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296e0 >= 8e-1"
+    ),
+)
+def train_seasonal_rules(spark, sf_dir):
+    """Rows that were held out, and whether the forest with its 100 trees is better than guessing.
+
+    The items of the test tables do not depend on the customer, so it is no better than the most frequent item.
+    """
+    training, held_out = _held_out(retail(spark, sf_dir))
+    return _rules(classifiers.train(training, classifiers.SEASONAL), training, held_out, classifiers.SEASONAL).drop("not_below_majority")
+
+
+def _rules(model, training, held_out, spec):
+    """Accuracy against that of the most frequent class and of guessing, each less four standard errors."""
+    common = training.groupBy(spec.target).agg(F.count("*").alias("n")).agg(
+        F.max_by(spec.target, F.struct("n", spec.target)).alias("most"), F.count(F.lit(1)).alias("classes")
+    ).first()
+    scored = materialize(model.transform(held_out).select(spec.target, spec.predicted))
+    if common.most is None:
+        return scored.agg(F.count("*").alias("held_out")).withColumns({"not_below_majority": F.lit(True), "better_than_chance": F.lit(True)})
+    hit = F.avg((F.col(spec.target) == F.col(spec.predicted)).cast("int"))
+    by_most = F.avg((F.col(spec.target) == F.lit(common.most)).cast("int"))
+    spread = 4 * F.sqrt(by_most * (1 - by_most) / F.count("*"))
+    return scored.agg(
+        F.count("*").alias("held_out"),
+        (hit >= by_most - spread).alias("not_below_majority"),
+        (hit >= F.lit(1.0 / common.classes) - spread).alias("better_than_chance"),
+    )
+
+
 @query("train_seasonal")
 def train_seasonal(spark, sf_dir):
     """Seasonal item classifier: figures on the held-out part."""
@@ -220,10 +282,32 @@ def score_season_topk(spark, sf_dir):
     )
 
 
+@query(
+    "score_season_rules",
+    on_retail(
+        "SELECT season, COUNT(DISTINCT customer_id) AS customers, COUNT(DISTINCT customer_id) * least_items AS n, TRUE AS ranks_in_order, "
+        "CAST(0 AS BIGINT) AS outside FROM (SELECT customer_id, s.season, (SELECT LEAST(3, COUNT(DISTINCT item_purchased)) FROM retail) "
+        "AS least_items FROM retail, (VALUES ('Winter'), ('Spring'), ('Summer'), ('Fall')) s(season)) GROUP BY season, least_items"
+    ),
+)
+def score_season_rules(spark, sf_dir):
+    """Of each season: customers, their items, whether ranks go by probability, and probabilities that are none."""
+    order = Window.partitionBy("customer_id", "season").orderBy("rank")
+    p = F.col("probability")
+    stepped = score_season_topk(spark, sf_dir).withColumn("before", F.lag("probability").over(order))
+    return stepped.groupBy("season").agg(
+        F.count_distinct("customer_id").alias("customers"),
+        F.count("*").alias("n"),
+        F.bool_and(F.coalesce(p <= F.col("before"), F.lit(True)) & F.col("rank").between(1, 3)).alias("ranks_in_order"),
+        F.count_if(~F.coalesce(p.between(0, 1), F.lit(False))).alias("outside"),
+    )
+
+
 def _interactions(spark, sf_dir):
-    r = retail(spark, sf_dir).select("customer_id", "item_purchased", "review_rating")
-    index = recommend.item_index(r, "item_purchased")
-    return recommend.interactions(r, index, "customer_id", "item_purchased", "review_rating"), index
+    """Ratings by user and item number, and the items' labels; the purchases are joined once for both."""
+    r = materialize(retail(spark, sf_dir).select("customer_id", "item_purchased", "review_rating"))
+    labels = features.label_table(r, "item_purchased")
+    return recommend.interactions(r, labels, "customer_id", "item_purchased", "review_rating"), labels
 
 
 @query(
@@ -246,9 +330,9 @@ def user_history(spark, sf_dir):
 
 def _als(spark, sf_dir):
     """A factorization of all ratings, so that every user and item can be recommended for."""
-    rows, index = _interactions(spark, sf_dir)
+    rows, labels = _interactions(spark, sf_dir)
     ratings = materialize(rows)
-    return recommend.train_als(ratings), ratings, index
+    return recommend.train_als(ratings), ratings, labels
 
 
 @query("train_als")
@@ -260,6 +344,26 @@ def train_als(spark, sf_dir):
     return metrics.rmse(model.transform(held_out), "rating", "prediction")
 
 
+@query(
+    "train_als_rules",
+    on_retail("SELECT COUNT(*) > 0 AS rated, TRUE AS factors_not_negative, TRUE AS error_in_range, TRUE AS better_than_the_worst FROM retail"),
+)
+def train_als_rules(spark, sf_dir):
+    """Held-out ratings were predicted, factors are not negative, and the error is below the spread of the scale."""
+    rows, _ = _interactions(spark, sf_dir)
+    training, held_out = deterministic_split(materialize(rows), ["user_id", "item_id"])
+    model = recommend.train_als(training)
+    negative = model.itemFactors.union(model.userFactors).select(F.min(F.array_min("features")).alias("least")).scalar()
+    error = metrics.rmse(model.transform(held_out), "rating", "prediction").select("rmse").scalar()
+    spread = held_out.agg(F.max("rating").cast("double") - F.min("rating").cast("double")).scalar()
+    return held_out.agg((F.count("*") > 0).alias("rated")).select(
+        "rated",
+        (negative >= 0).alias("factors_not_negative"),
+        (error >= 0).alias("error_in_range"),
+        (error < spread).alias("better_than_the_worst"),
+    )
+
+
 @query("recommend_all")
 def recommend_all(spark, sf_dir):
     model, _, _ = _als(spark, sf_dir)
@@ -289,10 +393,10 @@ def novel_recs_als(spark, sf_dir):
 
 def _novel(spark, sf_dir):
     """New items of every user, and all ratings."""
-    model, ratings, index = _als(spark, sf_dir)
+    model, ratings, labels = _als(spark, sf_dir)
     history = ratings.select("user_id", "item_id")
-    labels = recommend.label_table(index, retail(spark, sf_dir), "item_purchased")
-    return recommend.novel_recommendations(model, history, labels, "item_purchased"), history.join(labels, "item_id")
+    found = recommend.novel_recommendations(model, history, labels, "item_purchased")
+    return found, features.with_label(history, labels, "item_id", "item_purchased")
 
 
 @query(

@@ -68,6 +68,18 @@ def duplicate_count(spark, sf_dir):
     return profile.duplicate_count(table(spark, sf_dir, "lineitem"))
 
 
+@query(
+    "agg_bitmap_distinct",
+    "SELECT l_returnflag, COUNT(DISTINCT l_orderkey) AS orders, COUNT(DISTINCT l_partkey) AS parts, COUNT(DISTINCT l_suppkey) AS suppliers "
+    "FROM lineitem GROUP BY 1",
+)
+def agg_bitmap_distinct(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    return profile.exact_distinct(
+        lines, ["l_returnflag"], {"orders": "l_orderkey", "parts": "l_partkey", "suppliers": "l_suppkey"}
+    )
+
+
 @query("distinct_count", on_retail("SELECT COUNT(*) AS distinct_values FROM (SELECT DISTINCT item_purchased FROM retail)"))
 def distinct_count(spark, sf_dir):
     return profile.distinct_count(retail(spark, sf_dir), "item_purchased")

@@ -28,8 +28,10 @@ class ForestSpec:
     depth: int = 5
     predicted: str = "predicted_label"
     seed: int = 42
-    #: The draw of the trees goes by partition, so their number is part of the model; give a large table more.
-    partitions: int = 32
+    #: The draw of the trees goes by partition, so their number is part of the model: one for each so many rows, but at
+    #: least ``partitions``.  Every partition hands on the statistics of all nodes, so more of them only cost on a small table.
+    rows_each: int = 1_000_000
+    partitions: int = 8
 
     @property
     def inputs(self) -> list[str]:
@@ -63,12 +65,13 @@ SEASONAL_LIGHT = ForestSpec(
 def training_rows(df: DataFrame, spec: ForestSpec) -> DataFrame:
     """The columns of a model as a stored table, which fitting reads several times.
 
-    The draw of the trees goes by position, so rows are dealt by their values to a set number of
-    partitions and sorted there: the same rows give the same forest on any cluster.
+    The draw of the trees goes by position, so rows are dealt by their values to partitions whose number follows
+    from the rows, and sorted there: the same rows give the same forest on any cluster.
     """
     columns = [spec.target, *spec.inputs]
     stored = materialize(df.select(*columns))
-    return stored.repartition(spec.partitions, *columns).sortWithinPartitions(*columns)
+    parts = max(spec.partitions, -(-stored.count() // spec.rows_each))
+    return stored.repartition(parts, *columns).sortWithinPartitions(*columns)
 
 
 def train(df: DataFrame, spec: ForestSpec) -> PipelineModel:

@@ -8,6 +8,9 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel,
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.ordering import global_row_number
+from ..sources.shared import materialize
+
 
 def fit_index(df: DataFrame, column: str, out: str, unseen: str = "error") -> StringIndexerModel:
     """Number the values of a column by falling frequency, equal ones alphabetically.
@@ -20,13 +23,37 @@ def fit_index(df: DataFrame, column: str, out: str, unseen: str = "error") -> St
     ).fit(df)
 
 
-def label_frame(model: StringIndexerModel, df: DataFrame, column: str, out: str) -> DataFrame:
-    """One row per value with its index and number of rows."""
-    return (
-        model.transform(df)
-        .groupBy(column, F.col(out).cast("int").alias("idx"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+#: A label on this part of the rows or more is joined apart: there are at most as many of them.
+HOT_LABELS = 1_000
+
+
+def label_table(df: DataFrame, column: str) -> DataFrame:
+    """A stored table ``value, idx, n`` of a column's values, numbered from 0 by falling frequency, equal ones alphabetically.
+
+    NULL has no number.  Values are counted and numbered in ranges, so no list of them is on the driver.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    numbered = global_row_number(counts, "idx", F.desc("n"), F.col("value"))
+    return materialize(numbered.select("value", (F.col("idx") - 1).cast("int").alias("idx"), "n"))
+
+
+def with_index(df: DataFrame, labels: DataFrame, column: str, out: str) -> DataFrame:
+    """The rows of ``df`` whose value has a number, with it.
+
+    Values on very many rows are joined by broadcast, of which there are at most ``HOT_LABELS``, the others by
+    an equi join: no value's rows have to meet in one task.
+    """
+    total = labels.agg(F.sum("n")).scalar()
+    hot = labels.withColumn("_hot", F.col("n") * HOT_LABELS >= total)
+    few = F.broadcast(hot.where("_hot").select(F.col("value").alias("_value"), F.col("idx").alias(out)))
+    rest = hot.where("not _hot").select(F.col("value").alias("_value"), F.col("idx").alias(out))
+    same = F.col(column) == F.col("_value")
+    return df.join(few, same).union(df.join(few, same, "left_anti").join(rest, same)).drop("_value")
+
+
+def with_label(df: DataFrame, labels: DataFrame, index: str, out: str) -> DataFrame:
+    """The value behind an index; rows whose index belongs to no value are left out."""
+    return df.join(labels.select(F.col("idx").alias("_idx"), F.col("value").alias(out)), F.col(index) == F.col("_idx")).drop("_idx")
 
 
 def encoder_stages(categorical: Sequence[str]) -> list:
@@ -50,10 +77,9 @@ def one_hot_frame(df: DataFrame, column: str) -> DataFrame:
 
     The last value is the zero vector, as one position less than values is needed.
     """
-    index = fit_index(df, column, "idx")
-    counts = label_frame(index, df, column, "idx").withColumn("idx", F.col("idx").cast("double"))
-    encoder = OneHotEncoder(inputCol="idx", outputCol="hot").fit(index.transform(df).select("idx"))
-    encoded = encoder.transform(counts)
+    labels = label_table(df, column)
+    encoder = OneHotEncoder(inputCol="idx", outputCol="hot").fit(labels.select(F.col("idx").cast("double").alias("idx")))
+    encoded = encoder.transform(labels.select(F.col("value").alias(column), "n", F.col("idx").cast("double").alias("idx")))
     return encoded.select(
         column, "n", F.posexplode(vector_to_array("hot")).alias("position", "value")
     )

@@ -2,36 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import exact_mean
-from ..operators.joins import lookup, minus_history
+from ..operators.joins import minus_history
 from ..operators.ordering import global_row_number
 from ..operators.ranking import top_k_per_group
 from ..sources.shared import materialize
-from .features import fit_index
-
-
-def item_index(df: DataFrame, item: str) -> StringIndexerModel:
-    return fit_index(df, item, "item_index")
-
+from .features import with_index, with_label
 
-def label_table(model: StringIndexerModel, df: DataFrame, item: str) -> DataFrame:
-    """Item id and name of every item in ``df``."""
-    return model.transform(df.select(item).distinct()).select(F.col("item_index").cast("int").alias("item_id"), item)
 
-
-def interactions(df: DataFrame, model: StringIndexerModel, user: str, item: str, rating: str) -> DataFrame:
-    """One row per user and item: the mean of the user's ratings of it."""
-    return (
-        df.groupBy(F.col(user).alias("user_id"), item)
-        .agg(exact_mean(rating).alias("rating"))
-        .transform(model.transform)
-        .select("user_id", F.col("item_index").cast("int").alias("item_id"), "rating")
-    )
+def interactions(df: DataFrame, labels: DataFrame, user: str, item: str, rating: str) -> DataFrame:
+    """One row per user and item: the mean of the user's ratings of it; ``labels`` numbers the items."""
+    means = df.groupBy(F.col(user).alias("user_id"), item).agg(exact_mean(rating).alias("rating"))
+    return with_index(means, labels, item, "item_id").select("user_id", "item_id", "rating")
 
 
 def user_history(df: DataFrame, user: str, item: str) -> DataFrame:
@@ -67,13 +57,127 @@ def load_or_train_als(path: str, fit) -> ALSModel:
     return model
 
 
-def recommend_all(model: ALSModel, n: int) -> DataFrame:
-    """The best ``n`` items of every user as rows."""
-    return _as_rows(model.recommendForAllUsers(n))
+#: Items of a block, which each task holds whole, and items that are compared at once.
+BLOCK, STRIP = 65_536, 1_024
+#: Scores that a task keeps of its users at once.
+_KEPT = 1 << 22
+
+
+def _norm(column: str) -> Column:
+    return F.sqrt(F.aggregate(column, F.lit(0.0).cast("double"), lambda s, x: s + x.cast("double") * x.cast("double")))
+
+
+def _better(scores: np.ndarray, items: np.ndarray, new: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best of kept and new scores of each row, best first, equal ones by item; as many as were kept."""
+    scores = np.concatenate([scores, new], axis=1)
+    items = np.concatenate([items, np.broadcast_to(of, new.shape)], axis=1)
+    order = np.lexsort((items, -scores), axis=1)[:, : scores.shape[1] - new.shape[1]]
+    return np.take_along_axis(scores, order, 1), np.take_along_axis(items, order, 1)
+
+
+def _block_batches(items: np.ndarray, factors: np.ndarray, norms: np.ndarray, next_norm: float):
+    """Look through a block of items by falling norm; a user stops where norm times norm is below the last kept score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            many = np.asarray(batch.column("k"))
+            at = 0
+            while at < len(many):  # users with long lists go in few rows
+                n = max(1, min(len(many) - at, _KEPT // max(int(many[at : at + 1_024].max()), 1), 1_024))
+                yield look(batch.slice(at, n))
+                at += n
+
+    def look(batch: pa.RecordBatch) -> pa.RecordBatch:
+        n, many = batch.num_rows, np.asarray(batch.column("k"))
+        width = int(many.max())
+        user = np.asarray(batch.column("features").flatten(), np.float32).reshape(n, -1)
+        size = np.asarray(batch.column("norm"))
+        scores, found = np.full((n, width), -np.inf, np.float32), np.full((n, width), np.iinfo(np.int32).max, np.int32)
+        for i, (s, f) in enumerate(zip(batch.column("scores").to_pylist(), batch.column("items").to_pylist())):
+            scores[i, : len(s)], found[i, : len(f)] = s, f
+        looked = np.asarray(batch.column("looked")).copy()
+        active = np.arange(n)
+        for first in range(0, len(items), STRIP):
+            last = scores[active, many[active] - 1]
+            active = active[size[active] * norms[first] * (1 + 1e-5) + 1e-30 >= last]
+            if not len(active):
+                break
+            strip = slice(first, first + STRIP)
+            new = np.einsum("ur,ir->ui", user[active], factors[strip])
+            scores[active], found[active] = _better(scores[active], found[active], new, items[strip])
+            looked[active] += 1
+        last = scores[np.arange(n), many - 1]
+        done = (next_norm < 0) | (size * next_norm * (1 + 1e-5) + 1e-30 < last)
+        real = [min(int(k), int((s > -np.inf).sum())) for k, s in zip(many, scores)]
+        columns = {
+            "user_id": batch.column("user_id"),
+            "k": batch.column("k"),
+            "features": batch.column("features"),
+            "norm": batch.column("norm"),
+            "scores": pa.array([s[:r] for s, r in zip(scores, real)], pa.list_(pa.float32())),
+            "items": pa.array([f[:r] for f, r in zip(found, real)], pa.list_(pa.int32())),
+            "looked": pa.array(looked, pa.int64()),
+            "done": pa.array(done),
+        }
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return run
+
+
+_STATE = (
+    "user_id int, k int, features array<float>, norm double, scores array<float>, items array<int>, looked bigint, done boolean"
+)
+
+
+def best_items(model: ALSModel, wanted: DataFrame) -> DataFrame:
+    """``user_id, item_id, predicted_rating, looked``: for ``(user_id, k)`` the k items of highest predicted rating.
+
+    Exact, without pairing all users with all items: no score is above the product of the two norms, so
+    items are looked through by falling norm, in strips, until a user's k-th score is above what is left.  ``looked``
+    counts the strips.  Items come in blocks of bounded size, which tasks hold whole; between blocks, users that
+    are done leave.  Equal scores go by item id.  Users without factors are left out.
+    """
+    rank = model.rank
+    catalogue = materialize(model.itemFactors.select(F.col("id").cast("int").alias("id"), "features", _norm("features").alias("norm")))
+    numbered = materialize(global_row_number(catalogue, "place", F.desc("norm"), F.col("id")))
+    blocks = -(-numbered.count() // BLOCK)
+    tops = {r[0]: r[1] for r in numbered.groupBy(F.floor((F.col("place") - 1) / BLOCK).alias("b")).agg(F.max("norm")).collect()}
+    users = model.userFactors.select(F.col("id").cast("int").alias("id"), "features", _norm("features").alias("norm"))
+    wanted = wanted.select(F.col("user_id").cast("int").alias("user_id"), F.col("k").cast("int").alias("k"))
+    state = (
+        wanted.join(users, F.col("user_id") == F.col("id"))
+        .withColumns(
+            {
+                "scores": F.array().cast("array<float>"),
+                "items": F.array().cast("array<int>"),
+                "looked": F.lit(0).cast("bigint"),
+                "done": F.lit(False),
+            }
+        )
+        .drop("id")
+    )
+    finished = None
+    for b in range(blocks):
+        rows = numbered.where((F.col("place") > b * BLOCK) & (F.col("place") <= (b + 1) * BLOCK)).orderBy("place").toArrow()
+        ids = np.asarray(rows.column("id"), np.int32)
+        factors = np.asarray(rows.column("features").combine_chunks().flatten(), np.float32).reshape(-1, rank)
+        run = _block_batches(ids, factors, np.asarray(rows.column("norm")), tops.get(b + 1, -1.0))
+        state = materialize(state.mapInArrow(run, _STATE))
+        left = state.where("done")
+        finished = left if finished is None else finished.union(left)
+        state = state.where("not done")
+        if b + 1 < blocks and state.isEmpty():
+            break
+    if finished is None:
+        finished = wanted.sparkSession.createDataFrame([], _STATE)
+    pairs = F.arrays_zip(F.col("items").alias("item_id"), F.col("scores").alias("predicted_rating"))
+    return finished.select("user_id", F.inline(pairs), "looked")
 
 
-def _as_rows(lists: DataFrame) -> DataFrame:
-    return lists.select("user_id", F.inline("recommendations")).withColumnRenamed("rating", "predicted_rating")
+def recommend_all(model: ALSModel, n: int) -> DataFrame:
+    """The best ``n`` items of every user as rows."""
+    users = model.userFactors.select(F.col("id").alias("user_id"), F.lit(n).alias("k"))
+    return best_items(model, users).drop("looked")
 
 
 def novel_recommendations(
@@ -81,27 +185,15 @@ def novel_recommendations(
 ) -> DataFrame:
     """The best ``k`` items per user among those the user has not bought.
 
-    ``history`` holds ``user_id`` and ``item_id``.  A user with ``h`` bought items has ``k``
-    new ones among the best ``k + h``.  Users are asked for by classes of history length, so
-    that one user who bought nearly everything does not lengthen the lists of all others.
-    Class ``c`` holds the lengths up to ``4 ** c``.
+    ``history`` holds ``user_id`` and ``item_id``.  A user with ``h`` bought items has ``k`` new ones among the
+    best ``k + h``, and no more are asked for.  Users with long lists are dealt apart from the others.
     """
     bought = materialize(history.distinct())
-    users = materialize(
-        bought.groupBy("user_id").agg(F.count(F.lit(1)).alias("h")).select(
-            "user_id", F.ceil(F.length(F.bin(F.col("h") - 1)) / 2).cast("int").alias("length_class")
-        )
-    )
-    candidates = None
-    for (c,) in users.select("length_class").distinct().collect():
-        subset = users.where(F.col("length_class") == c).select("user_id")
-        best = _as_rows(model.recommendForUserSubset(subset, k + 4**c))
-        candidates = best if candidates is None else candidates.union(best)
-    if candidates is None:
-        candidates = recommend_all(model, k)
+    users = bought.groupBy("user_id").agg((F.count(F.lit(1)) + k).cast("int").alias("k"))
+    candidates = best_items(model, users.repartitionByRange("k", "user_id")).drop("looked")
     fresh = minus_history(candidates, bought, ["user_id", "item_id"])
     best = top_k_per_group(fresh, ["user_id"], [F.desc("predicted_rating"), "item_id"], k, out="rank")
-    return lookup(best, labels, "item_id").select("user_id", item, "predicted_rating", "rank")
+    return with_label(best, labels, "item_id", item).select("user_id", item, "predicted_rating", "rank")
 
 
 def popular_unseen(history: DataFrame, item: str, k: int = 3) -> DataFrame:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from math import sqrt
-
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -24,18 +23,25 @@ def deterministic_split(df: DataFrame, keys: list[str], train: float = 0.8) -> t
 
 
 def sample_with_replacement(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """``n`` rows drawn with replacement.
+    """Exactly ``n`` rows drawn with replacement, the same ones for the same seed.  No rows come from an empty table.
 
-    A Poisson sample somewhat larger than ``n`` is drawn where the rows are, and a random
-    ``n`` of it are kept by a distributed top-n.  A sample that turns out too small, which is
-    rare, is drawn again with twice the margin.
+    The rows of each partition are counted, ``n`` is split over the partitions by one multinomial draw, and every
+    drawn number names a position in its partition.  Drawn numbers, not rows, are made up and counted, and a row drawn
+    twice is repeated.  The input is read twice in the same partitions: hand in a table scan or a materialized frame.
     """
-    rows = df.count()
+    numbered = df.withColumn("_at", F.monotonically_increasing_id())  # partition in the upper bits, position in the lower 33
+    sizes = numbered.groupBy(F.shiftright("_at", 33).alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()
+    rows = sum(r.n for r in sizes)
     if rows == 0:
         return df.limit(0)
-    margin = 6 * sqrt(n) + 10
-    while True:
-        drawn = df.sample(withReplacement=True, fraction=(n + margin) / rows, seed=seed)
-        if drawn.count() >= n:
-            return drawn.orderBy(F.rand(seed)).limit(n)
-        margin *= 2
+    shares = np.random.default_rng(seed).multinomial(n, [r.n / rows for r in sizes])
+    split = [(r.p, r.n, int(k)) for r, k in zip(sizes, shares) if k]
+    drawn = (
+        df.sparkSession.createDataFrame(split, "p BIGINT, size BIGINT, k BIGINT")
+        .select("p", "size", F.explode(F.sequence(F.lit(1).cast("bigint"), "k")).alias("i"))
+        .select((F.shiftleft("p", 33) + F.pmod(F.xxhash64(F.lit(seed), "p", "i"), "size")).alias("_drawn"))
+        .groupBy("_drawn")
+        .agg(F.count(F.lit(1)).cast("int").alias("_times"))
+    )
+    found = numbered.join(drawn, F.col("_at") == F.col("_drawn"))
+    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*df.columns)
