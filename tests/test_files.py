@@ -52,3 +52,37 @@ def test_flat_file_names_and_types(spark, tmp_path, rows):
 def test_schema_frame(spark, rows):
     df = spark.createDataFrame([(1, "x"), (2, None)], "a INT, `b c` STRING")
     assert rows(schema_frame(df)) == [(1, "a", "int", 2), (2, "b c", "string", 1)]
+
+
+def test_intermediate_tables_need_a_shared_folder(spark, monkeypatch):
+    """On a cluster the warehouse on a machine's own disk is refused; a set folder is taken as it is."""
+    from tillsight.sources import shared
+
+    class Elsewhere:
+        def __init__(self, folder):
+            self.conf = self
+            self.folder = folder
+            self.sparkContext = self
+            self.master, self.applicationId = "spark://host:7077", "app-1"
+            self._jvm, self._jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+
+        def get(self, name, default=None):
+            return {"spark.checkpoint.dir": self.folder, "spark.sql.warehouse.dir": "file:/tmp/warehouse"}[name]
+
+        def getCheckpointDir(self):
+            return None
+
+    assert shared.session_folder(Elsewhere("file:/shared/x/")) == "file:/shared/x/tillsight-app-1"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.session_folder(Elsewhere(None))
+
+
+def test_stored_frames_can_be_dropped(spark):
+    import os
+
+    from tillsight.sources.shared import drop_stored, materialize
+
+    stored = materialize(spark.range(5))
+    assert stored.count() == 5 and os.path.exists(stored._stored_in)
+    drop_stored(stored)
+    assert not os.path.exists(stored._stored_in)

@@ -10,18 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 def session_folder(spark: SparkSession) -> str:
     """The one folder that holds the intermediate tables of this session.
 
-    It lies in ``spark.checkpoint.dir``, or in the warehouse folder where that is unset; on a
-    cluster either is shared.  The name holds the application's id, so that sessions do not
-    meet and a later one can find and drop what an earlier one left.
+    It lies in ``spark.checkpoint.dir``, or in the warehouse folder where that is unset.  Unless the session is local,
+    a warehouse on a machine's own disk is refused: executors elsewhere would not see it.  The name holds the
+    application's id, so that sessions do not meet and a later one can find and drop what an earlier one left.
     """
-    root = (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or spark.sparkContext.getCheckpointDir()
-        or spark.conf.get("spark.sql.warehouse.dir")
-    )
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        if _on_this_machine(spark, root) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     return f"{root.rstrip('/')}/tillsight-{spark.sparkContext.applicationId}"
 
 
+def _on_this_machine(spark: SparkSession, path: str) -> bool:
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getUri().getScheme() == "file"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new path in the folder of the session."""
     return f"{session_folder(spark)}/{uuid.uuid4().hex}"
@@ -42,4 +47,13 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_in = path
+    return stored
+
+
+def drop_stored(*frames: DataFrame) -> None:
+    """Delete the files of frames that :func:`materialize` made and that nothing reads any more."""
+    for df in frames:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stored_in)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
