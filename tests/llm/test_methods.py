@@ -5,6 +5,7 @@ import json
 import numpy as np
 import public_tokenizers
 import pytest
+import corpus_pipeline
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -133,3 +134,68 @@ def test_tokenizers_that_reach_across_spaces_are_refused(tmp_path, change):
         bpe.Encoder(str(path))
     with pytest.raises(ValueError, match="across a space"):
         bpe.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def _plain_language(model, text):
+    """Counts, margins and weighted losses of a text, one by one."""
+    counts = langid.counts(text).tolist()
+    size = sum(counts) ** 0.5
+    x = [c**0.5 / size if size else 0.0 for c in counts]
+    some = [i for i, c in enumerate(x) if c]
+    distances = []
+    for k in range(len(model.languages)):
+        total = 0.0
+        for b in range(model.words.shape[1]):
+            margin = sum(x[i] * float(model.weights[i, b]) for i in some) + float(model.weights[-1, b])
+            total += float(model.trust[k, b]) * np.log1p(np.exp(-np.clip(margin * float(model.words[k, b]), -30, 30)))
+        distances.append(total)
+    away = [np.exp(-(d - min(distances)) * model.words.shape[1] / 2) for d in distances]
+    best = int(np.argmax(away))
+    return model.languages[best], away[best] / sum(away)
+
+
+def test_decoding_matches_a_plain_version(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs)
+    rows = docs.where("text is not null").limit(200).withColumn("held_out", F.lit(False))
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    found = [r for r in langid.predict(rows, model).collect() if r.lang_pred != "und"]
+    assert len(found) > 150
+    for r in found:
+        lang, share = _plain_language(model, texts[r.doc_id])
+        assert abs(r.score - share) < 1e-4
+        assert r.lang_pred == lang or abs(share - 0.5) < 1e-3
+
+
+def test_more_languages_than_all_partitions(spark):
+    """Nine languages get random codewords, and are told apart as fewer are."""
+    random = np.random.default_rng(8)
+    letters = ["".join(chr(97 + (7 * k + j * j) % 26) for j in range(9)) for k in range(9)]
+    rows = [(i, " ".join("".join(random.choice(list(letters[i % 9]), 5)) for _ in range(40)), f"l{i % 9}") for i in range(540)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(df.where("doc_id < 360"))
+    assert model.words.shape == (9, 32)
+    held = langid.predict(df.where("doc_id >= 360").withColumn("held_out", F.lit(True)), model).collect()
+    assert sum(r.lang_pred == f"l{r.doc_id % 9}" for r in held) >= 0.95 * len(held)
+
+
+def test_pipeline_without_documents(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_with_repeated_and_missing_ids(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = docs.withColumn("doc_id", F.when(F.col("doc_id") % 7 == 0, None).when(F.col("doc_id") % 5 == 0, 3).otherwise(F.col("doc_id")))
+    odd = odd.union(docs.limit(20).withColumn("text", F.lit(None).cast("string"))).withColumns({"score": F.lit("own"), "_copies": F.lit(1)})
+    odd.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    at = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, at = at, corpus_pipeline.materialize(stage(spark, at, str(tmp_path)))
+        assert at.columns == odd.columns, name
+        if name == "simhash_near_dedup":
+            texts = [r.text for r in at.collect()]
+            assert len(texts) == len(set(texts)) < before.count()
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == at.count() > 0

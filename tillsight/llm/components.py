@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.shared import materialize
+from ..sources.shared import drop_stored, materialize
 
 
 def _towards_smallest(links: DataFrame, large: bool) -> DataFrame:
@@ -29,7 +29,8 @@ def components(links: DataFrame) -> DataFrame:
 
     ``links`` has the long columns ``a`` and ``b``.  Large-star and small-star steps alternate
     until nothing moves: O(log n) rounds in practice, each one aggregation and one equi join, and
-    each written to the shared folder, so a lost executor costs one round at most.  A hub's links
+    each written to the shared folder, where it takes the place of the one before, so a lost executor costs one round
+    at most.  A hub's links
     are combined before the shuffle, and the join on it can be split by adaptive execution.
     Nothing of the graph reaches the driver but a count and a checksum.
     """
@@ -48,4 +49,7 @@ def components(links: DataFrame) -> DataFrame:
                 links.select(F.col("b"), F.col("b")).distinct()
             )
         seen = tuple(mark)
-        links = materialize(_towards_smallest(materialize(_towards_smallest(links, True)), False))
+        halfway = materialize(_towards_smallest(links, True))
+        moved = materialize(_towards_smallest(halfway, False))
+        drop_stored(links, halfway)
+        links = moved

@@ -191,5 +191,6 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every row of ``documents``, learned outside the evaluation fold."""
     docs = table(spark, sf_dir, "documents").withColumn("held_out", in_fold("doc_id", 4, 2))
     return predict(docs, fit(docs.where("not held_out")))
