@@ -13,7 +13,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
-from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -94,9 +94,9 @@ class _Pieces(Memory):
         return out
 
 
-@dataclass(frozen=True)
-class _Chunk:
-    """Tokens of the whole pieces of a chunk, and the first and the last of them that have any, with where they end and begin."""
+class _Chunk(NamedTuple):
+    """Tokens of the whole pieces of a chunk, and the first and the last of them that have any, with where the first ends,
+    from the chunk's start, and the last begins, from its end."""
 
     tokens: bytes
     first: bytes
@@ -207,18 +207,16 @@ class Encoder:
         """Tokens of a chunk's pieces but the outer two, which may go on in the neighbouring chunks."""
         ids = self.pieces.young
         inner = pieces[1:-1]
-        filled = [k for k, p in enumerate(inner) if ids[p]]
-        if not filled:
+        codes = [ids[p] for p in inner]
+        first = next((k for k, code in enumerate(codes) if code), None)
+        if first is None:
             return None
-        first, last = filled[0], filled[-1]
-        starts = np.cumsum([len(pieces[0]) + 1, *[len(p) + 1 for p in inner]]).tolist()
-        return _Chunk(
-            b"".join([ids[p] for p in inner]),
-            ids[inner[first]],
-            starts[first] + len(inner[first]),
-            ids[inner[last]],
-            starts[last],
-        )
+        last = len(codes) - 1
+        while not codes[last]:
+            last -= 1
+        before = sum(len(p) + 1 for p in pieces[: first + 1])
+        behind = sum(len(p) + 1 for p in pieces[last + 2 :])
+        return _Chunk(b"".join(codes), codes[first], before + len(inner[first]), codes[last], -behind - len(inner[last]))
 
     def _windows(self, row: list[tuple[str, _Chunk | None, bool]]) -> list[tuple[str, bytes, bytes]]:
         """What is encoded again over the joins of a text, with the tokens that must stand at its left and right end."""
