@@ -313,6 +313,55 @@ def test_neighbours_odd_rows(spark):
     assert hnsw.nearest(df.limit(0), df).count() == 0
 
 
+def test_neighbours_of_several_shards(spark, monkeypatch):
+    """Shards of 40 vectors of two lengths, each in one task; equal distances in several shards go by vec_id."""
+    monkeypatch.setattr(hnsw, "SHARD", 40)
+    random = np.random.default_rng(8)
+    x = random.standard_normal((300, 16)).astype(np.float32)
+    ring = [[float(np.float32(s * 50)) if d == k else 0.0 for d in range(16)] for k in range(16) for s in (1, -1)]
+    rows = [(i, v) for i, v in enumerate(x.tolist())] + [(1_000 + i, v) for i, v in enumerate(ring)]
+    rows += [(2_000 + i, [float(i), 1.0]) for i in range(90)] + [(3_000, [1e-3] * 16)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    index = hnsw.build_index(hnsw.classes_of(hnsw.valid(df), 4)).select("dims", "shard", "rows").collect()
+    assert sorted({(r.dims, r.shard) for r in index}) == [(2, 0), (2, 1), (2, 2), *[(16, i) for i in range(9)]]
+    assert sum(r.rows for r in index) == len(rows)
+    asked = df.where("vec_id < 300 and vec_id % 10 = 0 or vec_id = 2005")
+    found = {(r.query_id, r.rank): r.vec_id for r in hnsw.nearest(df, asked, 3).collect()}
+    hits = 0
+    for q in range(0, 300, 10):
+        gap = ((x.astype(float) - x[q].astype(float)) ** 2).sum(axis=1)
+        best = [i for i in np.argsort(gap).tolist() if i != q][:3]
+        hits += len({found[q, k] for k in (1, 2, 3)} & {*best, 3_000})
+    assert hits >= 0.98 * 90
+    assert [found[2_005, k] for k in (1, 2, 3)] == [2_004, 2_006, 2_003]
+    far = spark.createDataFrame([(9_999, [0.0] * 15 + [1e-30])], "vec_id bigint, embedding array<float>")
+    only = hnsw.nearest(df.where("vec_id between 1000 and 1031"), far, 32).orderBy("rank").collect()
+    assert [r.vec_id for r in only] == list(range(1_000, 1_032))
+
+
+def test_embedding_links_of_clustered_vectors(spark, monkeypatch):
+    """Vectors near each other in some blocks only, and of three lengths, against all pairs."""
+    monkeypatch.setattr(embedding_dedup, "TILE", 24)
+    random = np.random.default_rng(12)
+    rows, linked, at = [], [], 0
+    for dims in (1, 5, 32):
+        base = random.standard_normal((8, dims))
+        x = np.concatenate([base + 0.3 * random.random() * random.standard_normal((8, dims)) for _ in range(14)])
+        x[40:60, dims // 2 :] = random.standard_normal((20, dims - dims // 2))
+        x = x.astype(np.float32)
+        unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+        near = unit @ unit.T >= 0.98
+        np.fill_diagonal(near, False)
+        rows += [(at + i, v, 1) for i, v in enumerate(x.tolist())]
+        linked += [(at + int(a), at + int(b)) for a, b in zip(*np.nonzero(near))]
+        at += len(x)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    expected = _plain_components(range(at), linked)
+    found = {r.vec_id: (r.n_links, r.component) for r in embedding_dedup.near_duplicates(df).collect()}
+    degree = np.bincount([a for a, _ in linked], minlength=at)
+    assert len(linked) > 200 and found == {i: (degree[i], expected[i]) for i in range(at)}
+
+
 def test_embedding_links_match_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "TILE", 16)
     random = np.random.default_rng(4)

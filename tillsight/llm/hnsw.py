@@ -10,19 +10,18 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..sources.shared import materialize
-from .common import table
+from .common import groups_of, table
 from .vectors import valid
 
 #: Vectors of a shard, about.
-SHARD = 4_096
+SHARD = 16_384
 #: Queries that are looked up together.
 BLOCK = 512
-#: Neighbours of a node in upper layers (twice that in the lowest), and widths of the search.
+#: Neighbours of a node in upper layers (twice that in the lowest, and the next node), and widths of the search.
 DEGREE, BUILD, SEARCH = 12, 48, 128
 SEED = 3
 
@@ -126,26 +125,34 @@ def build(vectors: np.ndarray) -> Graph:
                 graph._connect(node, other, layer)
         if level[node] > high:
             graph.entry = node
+    # every node can be reached: a search as wide as the graph finds all of it
+    after = np.roll(np.arange(n, dtype=np.int32), -1)
+    after[(links[0] == after[:, None]).any(axis=1)] = -1
+    links[0] = np.column_stack([links[0], after])
     return graph
 
 
 _INDEX = "dims int, shard int, rows int, entry int, classes binary, vectors binary, level binary, links binary"
 
 
-def _build_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("rep")
-    graph = build(np.stack(rows["embedding"].to_numpy()).astype(np.float32))
-    made = {
-        "dims": key[0],
-        "shard": key[1],
-        "rows": len(rows),
-        "entry": graph.entry,
-        "classes": rows["rep"].to_numpy(np.int64).tobytes(),
-        "vectors": graph.vectors.tobytes(),
-        "level": graph.level.tobytes(),
-        "links": b"".join(x.tobytes() for x in graph.links),
-    }
-    return pd.DataFrame([made])
+def _build_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of the index for each shard of a partition, whose rows go by shard and ``rep``."""
+    for rows in groups_of(batches, ["dims", "shard"]):
+        dims, shard = rows.column("dims")[0].as_py(), rows.column("shard")[0].as_py()
+        flat = rows.column("embedding").combine_chunks().flatten()
+        graph = build(np.asarray(flat, np.float32).reshape(-1, dims))
+        made = {
+            "dims": dims,
+            "shard": shard,
+            "rows": rows.num_rows,
+            "entry": graph.entry,
+            "classes": np.asarray(rows.column("rep"), np.int64).tobytes(),
+            "vectors": graph.vectors.tobytes(),
+            "level": graph.level.tobytes(),
+            "links": b"".join(x.tobytes() for x in graph.links),
+        }
+        types = [pa.int32()] * 4 + [pa.binary()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(made.values(), types)], names=list(made))
 
 
 def _load(row: dict) -> tuple[Graph, np.ndarray]:
@@ -153,7 +160,7 @@ def _load(row: dict) -> tuple[Graph, np.ndarray]:
     level = np.frombuffer(row["level"], np.int32)
     flat, links, at = np.frombuffer(row["links"], np.int32), [], 0
     for layer in range(int(level.max()) + 1):
-        width = DEGREE * (2 if layer == 0 else 1)
+        width = DEGREE if layer else 2 * DEGREE + 1
         links.append(flat[at : at + n * width].reshape(n, width))
         at += n * width
     vectors = np.frombuffer(row["vectors"], np.float32).reshape(n, row["dims"])
@@ -200,14 +207,16 @@ def classes_of(vectors: DataFrame, most: int) -> DataFrame:
 def build_index(classes: DataFrame) -> DataFrame:
     """The stored index, one row per shard.  Every class is in one shard; shards share one length of vectors."""
     shards = F.ceil(F.col("_n") / F.lit(SHARD)).cast("int")
-    sizes = classes.groupBy("dims").agg(F.count(F.lit(1)).alias("_n"))
-    dealt = classes.join(sizes, "dims").select(
-        "dims", F.pmod(F.xxhash64("rep"), shards).cast("int").alias("shard"), "rep", "embedding"
+    sizes = classes.groupBy("dims").agg(F.count(F.lit(1)).alias("_n"))  # one row a length of vectors
+    before = F.sum(shards).over(Window.orderBy("dims")) - shards
+    numbered = materialize(sizes.select("dims", shards.alias("_shards"), before.cast("int").alias("_first")))
+    dealt = classes.join(numbered, "dims").select(
+        "dims", F.pmod(F.xxhash64("rep"), "_shards").cast("int").alias("shard"), "_first", "rep", "embedding"
     )
-    made = sizes.agg(F.sum(shards)).first()[0] or 1
-    # a task for each shard: shards are small in bytes but dear to build, so they must not be coalesced by size
-    spread = dealt.repartition(int(made), "dims", "shard")
-    return materialize(spread.groupBy("dims", "shard").applyInPandas(_build_shard, _INDEX))
+    made = numbered.agg(F.sum("_shards")).first()[0] or 1
+    # a task of its own for each shard: shards are small in bytes but dear to build
+    spread = dealt.repartitionById(int(made), F.col("_first") + F.col("shard")).sortWithinPartitions("dims", "shard", "rep")
+    return materialize(spread.select("dims", "shard", "rep", "embedding").mapInArrow(_build_batches, _INDEX))
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
