@@ -3,7 +3,8 @@
 Unit vectors with cosine c are sqrt(2 - 2c) apart, and a rotation changes no distance.  Cut into
 blocks of dimensions, two such vectors are, in one block at least, within that block's
 proportional share of the squared distance.  Each block is joined by range: its first coordinates
-make a grid, a vector stands in its own cell and asks in every cell that its reach touches.
+make a grid, a vector stands in its own cell and asks in every cell that its reach touches.  Cells
+get the block's coordinates only; whole vectors follow to those cells where they are near another.
 """
 
 from __future__ import annotations
@@ -105,20 +106,73 @@ def _cell_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                             pa.array(cell[some], pa.int64()),
                             pa.array(own[some]),
                             got.column("rep"),
-                            got.column("n"),
-                            got.column("embedding"),
+                            pa.FixedSizeListArray.from_arrays(
+                                pa.array(at[some, block].ravel()), block.stop - block.start
+                            ).cast(pa.list_(pa.float32())),
                         ],
-                        ["label", "dims", "block", "cell", "home", "rep", "n", "embedding"],
+                        ["label", "dims", "block", "cell", "home", "rep", "at"],
                     )
 
 
-def _near(a: np.ndarray, b: np.ndarray, block: slice, dims: int) -> np.ndarray:
-    """Which pairs of rows are within a block's budget; elementwise, so that every task agrees."""
+def _near(a: np.ndarray, b: np.ndarray, budget: float) -> np.ndarray:
+    """Which pairs of rows of a block's coordinates are within its budget; elementwise, so that every task agrees."""
     total = np.zeros((len(a), len(b)), np.float32)
-    for d in range(block.start, block.stop):
+    for d in range(a.shape[1]):
         gap = a[:, d : d + 1] - b[None, :, d]
         total += gap * gap
-    return total <= np.float32(_budget(block, dims))
+    return total <= np.float32(budget)
+
+
+def _within(a: np.ndarray, b: np.ndarray, budget: float) -> np.ndarray:
+    """Which rows of a are within the budget of the row of b beside them, by the sums of :func:`_near`."""
+    total = np.zeros(len(a), np.float32)
+    for d in range(a.shape[1]):
+        gap = a[:, d] - b[:, d]
+        total += gap * gap
+    return total <= np.float32(budget)
+
+
+def _near_pairs(at: np.ndarray, rep: np.ndarray, ask: np.ndarray, stand: np.ndarray, budget: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of an asking and a standing row of a block within its budget, the asking one of the larger ``rep``.
+
+    Both sides go by the block's last coordinate, and only rows within reach on it are compared.
+    """
+    ask, stand = (rows[np.argsort(at[rows, -1], kind="stable")] for rows in (ask, stand))
+    along, reach = at[stand, -1], np.float32(np.sqrt(budget) * (1 + _SLACK))
+    for i in range(0, len(ask), 128):
+        rows = ask[i : i + 128]
+        first = np.searchsorted(along, at[rows[0], -1] - reach, side="left")
+        last = np.searchsorted(along, at[rows[-1], -1] + reach, side="right")
+        if first < last:
+            near = stand[first:last]
+            left, right = np.nonzero((rep[rows][:, None] > rep[near][None]) & _near(at[rows], at[near], budget))
+            if len(left):
+                yield rows[left], near[right]
+
+
+def _sides(tile: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The rows that ask and those that stand in the cell, for either order of the tile's two parts."""
+    lo, hi = (tile.column(c)[0].as_py() for c in ("_lo", "_hi"))
+    part, home = np.asarray(tile.column("_part")), np.asarray(tile.column("home"))
+    orders = [(lo, hi)] if lo == hi else [(lo, hi), (hi, lo)]
+    return [(np.nonzero(part == a)[0], np.nonzero((part == b) & home)[0]) for a, b in orders]
+
+
+_TILE = ["label", "dims", "block", "cell", "_lo", "_hi"]
+
+
+def _hopeful_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each tile the rows that are near another one in the tile's block."""
+    for tile in groups_of(batches, _TILE):
+        dims, b = tile.column("dims")[0].as_py(), tile.column("block")[0].as_py()
+        block = _blocks(dims)[b]
+        at, rep = _matrix(tile.column("at"), block.stop - block.start), np.asarray(tile.column("rep"))
+        hopeful = np.zeros(len(rep), bool)
+        for ask, stand in _sides(tile):
+            for x, y in _near_pairs(at, rep, ask, stand, _budget(block, dims)):
+                hopeful[x] = hopeful[y] = True
+        if hopeful.any():
+            yield from tile.select([*_TILE, "_part", "home", "rep"]).filter(pa.array(hopeful)).to_batches()
 
 
 def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -136,29 +190,22 @@ def _tile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """
     turns: dict[int, np.ndarray] = {}
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
-    for tile in groups_of(batches, ["label", "dims", "block", "cell", "_lo", "_hi"]):
-        dims, b, lo, hi = (tile.column(c)[0].as_py() for c in ("dims", "block", "_lo", "_hi"))
+    for tile in groups_of(batches, _TILE):
+        dims, b = tile.column("dims")[0].as_py(), tile.column("block")[0].as_py()
         blocks = _blocks(dims)
         raw = _matrix(tile.column("embedding"), dims)
         at = rotated(raw, turns.setdefault(dims, rotation(dims)))
         rep, size = np.asarray(tile.column("rep")), np.asarray(tile.column("n"))
-        part, home = np.asarray(tile.column("_part")), np.asarray(tile.column("home"))
         gained = np.zeros(len(rep), np.int64)
         forest, out = Forest(), []
-        sides = [(lo, hi)] if lo == hi else [(lo, hi), (hi, lo)]
-        for asking, standing in sides:
-            ask, stand = np.nonzero(part == asking)[0], np.nonzero((part == standing) & home)[0]
-            if not len(stand):
-                continue
-            for i in range(0, len(ask), 256):
-                rows = ask[i : i + 256]
-                hit = (rep[rows][:, None] > rep[stand][None]) & _near(at[rows], at[stand], blocks[b], dims)
-                for earlier in blocks[:b]:
-                    if hit.any():
-                        hit &= ~_near(at[rows], at[stand], earlier, dims)
-                left, right = np.nonzero(hit)
+        for ask, stand in _sides(tile):
+            for left, right in _near_pairs(at[:, blocks[b]], rep, ask, stand, _budget(blocks[b], dims)):
                 for j in range(0, len(left), 65_536):
-                    x, y = rows[left[j : j + 65_536]], stand[right[j : j + 65_536]]
+                    x, y = left[j : j + 65_536], right[j : j + 65_536]
+                    first = np.ones(len(x), bool)
+                    for earlier in blocks[:b]:
+                        first &= ~_within(at[x, earlier], at[y, earlier], _budget(earlier, dims))
+                    x, y = x[first], y[first]
                     linked = _exact(raw[x], raw[y]) >= COSINE
                     x, y = x[linked], y[linked]
                     np.add.at(gained, x, size[y])
@@ -181,7 +228,8 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
 
     Vectors that are equal and have the same label are one class, which is compared once; its members link with
     each other and with all members of linked classes.  A class that holds a third of all rows is one row of the
-    join.  A cell with very many classes is cut into tiles.  Links are counted where they are found: no pair
+    join.  A cell with very many classes is cut into tiles.  A first pass has the
+    block's coordinates of all classes; only classes near another in a tile go, as whole vectors, to the second.  Links are counted where they are found: no pair
     leaves its task, and of the links between classes only a spanning forest does.
     Classes have numbers of their own, so a vec_id may stand in several; ``component`` is the smallest vec_id of
     the linked classes.  Rows of a class that share a vec_id, or have none, are one vector, and each has a result row.
@@ -200,12 +248,21 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
     )
     cells = classes.mapInArrow(
         _cell_batches,
-        "label bigint, dims int, block int, cell bigint, home boolean, rep bigint, n bigint, embedding array<float>",
+        "label bigint, dims int, block int, cell bigint, home boolean, rep bigint, at array<float>",
+    )
+    hopeful = materialize(
+        tiled(cells, _TILE[:4], "rep", TILE)
+        .select(*_TILE, "_part", "home", "rep", "at")
+        .mapInArrow(
+            _hopeful_batches,
+            "label bigint, dims int, block int, cell bigint, _lo int, _hi int, _part int, home boolean, rep bigint",
+        )
     )
-    keys = ["label", "dims", "block", "cell"]
     found = materialize(
-        tiled(cells, keys, "rep", TILE)
-        .select(*keys, "_lo", "_hi", "_part", "home", "rep", "n", "embedding")
+        hopeful.join(classes.select("rep", "n", "embedding"), "rep")
+        .repartition(*_TILE)
+        .sortWithinPartitions(*_TILE, "_part", "rep")
+        .select(*_TILE, "_part", "home", "rep", "n", "embedding")
         .mapInArrow(_tile_batches, "a bigint, b bigint, n bigint")
     )
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("_others"))
