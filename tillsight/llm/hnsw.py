@@ -18,7 +18,7 @@ from .common import groups_of, table
 from .vectors import valid
 
 #: Vectors of a shard, about.
-SHARD = 16_384
+SHARD = 4_096
 #: Queries that are looked up together.
 BLOCK = 512
 #: Neighbours of a node in upper layers (twice that in the lowest, and the next node), and widths of the search.
