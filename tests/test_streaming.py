@@ -288,3 +288,13 @@ def test_an_error_of_one_query_stops_the_others(spark, tmp_path):
             },
         )
     assert not [q for q in spark.streams.active]
+
+
+def test_fan_out_with_a_stateful_query_beside_it(spark):
+    """The hours and categories of the stateful query are those of a batch job."""
+    from tillsight.catalog import QUERIES
+
+    got = {r.output: r.n for r in QUERIES["stream_fanout"](spark, "/root/testdata/sf0.001").collect()}
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    hours = events_as_purchases(events).select(F.date_trunc("hour", "event_time"), "category").distinct().count()
+    assert got["flags"] == events.count() and got["hours"] == hours > 0 and set(got) == {"alerts", "flags", "hours"}
