@@ -9,16 +9,34 @@ from ..functions.rules import LiftLimits, affinity_strength
 from ..sources.shared import materialize
 
 
+#: Rows that one task sorts or groups at most, apart from those of one key: the parts of a table go by its size.
+TASK_ROWS = 500_000
+
+
+def _parts(rows: DataFrame) -> int:
+    return max(1, -(-rows.count() // TASK_ROWS))
+
+
 def basket_items(df: DataFrame, basket: str, item: str, amount: str) -> DataFrame:
     """One row per basket and distinct item: purchases and mean amount.
 
-    Partial aggregation turns a basket with very many lines into one row per item per
-    task before anything is shuffled.
+    Rows are stored and dealt to as many tasks as they ask for, and grouped twice: an item's very many lines in one
+    basket are first told apart by amount.
     """
+    rows = materialize(
+        df.where(F.col(basket).isNotNull() & F.col(item).isNotNull()).select(
+            F.col(basket).alias("basket"), F.col(item).alias("item"), F.col(amount).alias("amount")
+        )
+    )
+    parts = _parts(rows)
+    lots = rows.withColumn("lot", F.pmod(F.xxhash64("amount"), F.lit(16))).repartition(parts, "basket", "item", "lot")
+    sums = lots.groupBy("basket", "item", "lot").agg(
+        F.count(F.lit(1)).alias("purchases"), F.sum("amount").alias("amount"), F.count("amount").alias("amounts")
+    )
     return (
-        df.where(F.col(basket).isNotNull() & F.col(item).isNotNull())
-        .groupBy(F.col(basket).alias("basket"), F.col(item).alias("item"))
-        .agg(F.count(F.lit(1)).alias("purchases"), exact_mean(amount).alias("mean_amount"))
+        sums.repartition(parts, "basket", "item")
+        .groupBy("basket", "item")
+        .agg(F.sum("purchases").alias("purchases"), ratio("sum(amount)", "sum(amounts)").alias("mean_amount"))
     )
 
 
@@ -27,10 +45,11 @@ def pairs_of(items: DataFrame, rows_per_part: int = 1_000) -> DataFrame:
 
     A basket of n items is worked on by ceil(n / rows_per_part) tasks: its left side is spread by
     item and its right side is repeated for each part.  Matches go straight into a partial
-    aggregate; no pair is shuffled before that.
+    aggregate; no pair is shuffled before that.  A task joins a bounded number of rows.
     """
     sizes = items.groupBy("basket").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_part)).alias("parts"))
-    sized = items.join(sizes, "basket")
+    sized = materialize(items.join(sizes.where(F.col("parts") > 1), "basket", "left").fillna(1, ["parts"]))
+    tasks = _parts(sized)
     left = sized.select(
         "basket",
         F.pmod(F.xxhash64("item"), F.col("parts")).alias("salt"),
@@ -46,7 +65,8 @@ def pairs_of(items: DataFrame, rows_per_part: int = 1_000) -> DataFrame:
         F.col("mean_amount").alias("mean_b"),
     )
     return (
-        left.join(right, ["basket", "salt"])
+        left.repartition(tasks, "basket", "salt")
+        .join(right.repartition(tasks, "basket", "salt"), ["basket", "salt"])
         .where(F.col("item_a") < F.col("item_b"))
         .groupBy("item_a", "item_b")
         .agg(
