@@ -64,3 +64,14 @@ def test_lift_and_confidence(spark):
     assert (r["item_a"], r["item_b"], r["baskets_with_both"]) == ("a", "b", 2)
     assert (r["confidence_a_to_b"], r["confidence_b_to_a"], r["lift"]) == (0.667, 0.667, 1.33)
     assert (r["strength"], r["penetration_pct"], r["avg_combined_spend"]) == ("Moderate Affinity", 33.33, 20.0)
+
+
+def test_tasks_go_by_the_number_of_rows(spark, monkeypatch):
+    """With room for 50 rows in a task, items and pairs are made by many tasks, whatever the session's partitions."""
+    from tillsight.operators import basket
+
+    monkeypatch.setattr(basket, "TASK_ROWS", 50)
+    df = spark.createDataFrame(_purchases(), "basket INT, item STRING, amount INT")
+    items = basket_items(df, "basket", "item", "amount")
+    assert items.rdd.getNumPartitions() >= df.count() // 50 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert _as_dict(pairs_of(items)) == _brute_force(_purchases())
