@@ -1,11 +1,13 @@
 import random
+from dataclasses import replace
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IndexToString
 from pyspark.sql import functions as F
 
 from tillsight.ml import classifiers, metrics, recommend
-from tillsight.ml.features import fit_index, label_table, with_index, with_label
+from tillsight.ml.features import fit_bins, fit_index, label_table, with_index, with_label
 
 SPEC = classifiers.ForestSpec("target", ("colour",), ("x",), trees=4, depth=3)
 
@@ -185,3 +187,56 @@ def test_best_items_equal_all_pairs(spark, monkeypatch, block, strip):
     for r in sorted(recommend.recommend_all(model, 4).collect(), key=lambda r: -r.predicted_rating):
         mine.setdefault(r.user_id, []).append(r.predicted_rating)
     assert all(mine[u] == pytest.approx(s, rel=1e-4, abs=1e-5) for u, s in spark_lists.items())
+
+
+PLAIN = replace(SPEC, trees=60)
+MERGED = replace(PLAIN, draws=2_000)
+
+
+def _many(spark, n=6_000):
+    rng = random.Random(8)
+    rows = []
+    for i in range(n):
+        x, colour = rng.randrange(50), rng.choice(["red", "blue", None])
+        likely = 0.9 if x > 30 or colour == "red" else 0.2
+        rows.append((i, colour, x, "Yes" if rng.random() < likely else "No"))
+    return spark.createDataFrame(rows, "id INT, colour STRING, x INT, target STRING")
+
+
+def test_merged_rows_stand_for_all_rows(spark):
+    """Every row is in the weights, no lot is larger than told, and rows are far fewer than before."""
+    df = _many(spark)
+    bins = fit_bins(df, ["x"], 32)
+    rows = classifiers.merged_rows(df, bins, MERGED)
+    assert round(rows.agg(F.sum("weight")).first()[0], 6) == df.count() and rows.agg(F.max("weight")).first()[0] <= 3
+    assert rows.count() < df.count() * 0.5
+    got = rows.groupBy("target", "colour").agg(F.round(F.sum("weight")).cast("long").alias("n"))
+    assert sorted(got.collect(), key=repr) == sorted(df.groupBy("target", "colour").agg(F.count("*").alias("n")).collect(), key=repr)
+    assert len(bins.getSplitsArray()[0]) <= 33 and rows.select("x_bin").distinct().count() <= 32
+
+
+def test_a_forest_of_merged_rows_scores_as_one_of_all_rows(spark, tmp_path):
+    df = _many(spark)
+    merged, plain = classifiers.train(df, MERGED), classifiers.train(df, PLAIN)
+    assert any(type(s).__name__ == "Bucketizer" for s in merged.stages)
+    assert classifiers.class_labels(merged) == classifiers.class_labels(plain)
+    a = classifiers.score_class(merged, df, ["id"]).withColumnRenamed("probability", "p")
+    b = classifiers.score_class(plain, df, ["id"]).withColumnRenamed("probability", "q")
+    both = a.select("id", "p").join(b.select("id", "q"), "id")
+    assert both.count() == df.count() and both.agg(F.avg(F.abs(F.col("p") - F.col("q")))).first()[0] < 0.05
+    each = classifiers.score_rows(merged, df, MERGED, "id").select("id", "probability", "prediction", MERGED.predicted)
+    plainly = merged.transform(df).select("id", "probability", "prediction", MERGED.predicted)
+    assert sorted(each.collect()) == sorted(plainly.collect())
+    classifiers.save_model(merged, f"{tmp_path}/m")
+    again = classifiers.score_class(PipelineModel.load(f"{tmp_path}/m"), df, ["id"])
+    assert sorted(again.collect(), key=repr) == sorted(classifiers.score_class(merged, df, ["id"]).collect(), key=repr)
+
+
+def test_bins_of_few_and_of_no_values(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (4.0, None), (None, None), (float("nan"), None)], "a DOUBLE, b INT")
+    bins = fit_bins(df, ["a", "b"], 32)
+    inside = [s[1:-1] for s in bins.getSplitsArray()]
+    assert inside == [[1.5, 3.0], [0.0]]
+    even = spark.range(1_000).union(spark.range(500)).select(F.col("id").alias("a"))
+    assert fit_bins(even, ["a"], 3).getSplitsArray()[0][1:-1] == [250.0, 500.0]
+    assert bins.transform(df).count() == 5
