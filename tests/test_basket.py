@@ -1,6 +1,10 @@
+import json
 import random
+import subprocess
+import sys
 from collections import defaultdict
 from itertools import combinations
+from pathlib import Path
 
 import pytest
 
@@ -75,3 +79,50 @@ def test_tasks_go_by_the_number_of_rows(spark, monkeypatch):
     items = basket_items(df, "basket", "item", "amount")
     assert items.rdd.getNumPartitions() >= df.count() // 50 > int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert _as_dict(pairs_of(items)) == _brute_force(_purchases())
+
+
+_WHOLE_QUERY = """
+import sys
+from pyspark.sql import SparkSession
+from __spark_entry__ import queries
+from tillsight.operators import basket
+from tillsight.sources import retail
+
+folder, name = sys.argv[1:]
+conf = {
+    "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "2",
+    "spark.checkpoint.dir": folder + "/shared", "spark.eventLog.enabled": "true", "spark.eventLog.dir": folder,
+    "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
+}
+basket.TASK_ROWS = retail.TASK_LINES = 500
+spark = SparkSession.builder.master("local[2]").config(map=conf).getOrCreate()
+queries()[name](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
+assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
+assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
+spark.stop()
+"""
+
+
+def test_no_task_of_the_whole_query_reads_rows_that_grow_with_the_tables(tmp_path):
+    """6,000 lines, room for 500 in a task, 2 partitions in the session: neither joins nor baskets go by the latter."""
+    root = Path(__file__).parent.parent
+    subprocess.run([sys.executable, "-c", _WHOLE_QUERY, str(tmp_path), "basket_affinity"], cwd=root, check=True, timeout=600)
+    (log,) = tmp_path.glob("local-*")
+    ends = [e for e in map(json.loads, log.open()) if e["Event"] == "SparkListenerTaskEnd"]
+    read = [e["Task Metrics"]["Shuffle Read Metrics"]["Total Records Read"] for e in ends]
+    assert 500 <= max(read) <= 2_000
+
+
+def test_items_in_more_baskets_than_a_task_has_room_for(spark, monkeypatch):
+    from tillsight.operators import basket
+
+    df = spark.createDataFrame(_purchases(), "b INT, i STRING, a INT")
+    expected = sorted(map(tuple, affinity(df, "b", "i", "a").collect()))
+    monkeypatch.setattr(basket, "TASK_ROWS", 7)
+    assert sorted(map(tuple, affinity(df, "b", "i", "a").collect())) == expected != []
+    monkeypatch.setattr(basket, "TASK_ROWS", 500_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, affinity(df, "b", "i", "a").collect())) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -10,7 +10,7 @@ from ..operators.joins import join_rollup, lookup, minus_history, with_baseline
 from ..operators.ranking import first_per_group
 from ..plans.reports import product_affinity
 from ..functions.rules import LiftLimits
-from ..sources.retail import retail, table
+from ..sources.retail import retail, stored_retail, table
 from ..sources.shared import materialize
 from .registry import avg, big, on_retail, pct, query, rnd, tot
 
@@ -93,7 +93,8 @@ _ITEMS = "SELECT DISTINCT order_id AS basket, item_purchased AS item FROM retail
     ),
 )
 def self_join_pairs(spark, sf_dir):
-    items = materialize(basket_items(retail(spark, sf_dir), "order_id", "item_purchased", "purchase_amount"))
+    lines = stored_retail(spark, sf_dir, "order_id", "item_purchased", "purchase_amount")
+    items = materialize(basket_items(lines, "order_id", "item_purchased", "purchase_amount"))
     return pairs_of(items).select("item_a", "item_b", "baskets_with_both")
 
 
@@ -164,6 +165,5 @@ def affinity_sql(basket: str, item: str, min_support: int, top: int, limits: tup
 
 @query("basket_affinity", affinity_sql("order_id", "category", 5, 20, (1.0, 0.99, 0.98)))
 def basket_affinity(spark, sf_dir):
-    return product_affinity(
-        retail(spark, sf_dir), basket="order_id", limits=LiftLimits(strong=1.0, moderate=0.99, weak=0.98)
-    )
+    lines = stored_retail(spark, sf_dir, "order_id", "category", "purchase_amount")
+    return product_affinity(lines, basket="order_id", limits=LiftLimits(strong=1.0, moderate=0.99, weak=0.98))

@@ -13,22 +13,20 @@ from ..sources.shared import materialize
 TASK_ROWS = 500_000
 
 
-def _parts(rows: DataFrame) -> int:
-    return max(1, -(-rows.count() // TASK_ROWS))
+def _tasks(rows: int) -> int:
+    return max(1, -(-rows // TASK_ROWS))
 
 
 def basket_items(df: DataFrame, basket: str, item: str, amount: str) -> DataFrame:
     """One row per basket and distinct item: purchases and mean amount.
 
-    Rows are stored and dealt to as many tasks as they ask for, and grouped twice: an item's very many lines in one
-    basket are first told apart by amount.
+    Rows are counted, so a frame that is costly to make should be stored; they are dealt to as many tasks as they
+    ask for, and grouped twice: an item's very many lines in one basket are first told apart by amount.
     """
-    rows = materialize(
-        df.where(F.col(basket).isNotNull() & F.col(item).isNotNull()).select(
-            F.col(basket).alias("basket"), F.col(item).alias("item"), F.col(amount).alias("amount")
-        )
+    rows = df.where(F.col(basket).isNotNull() & F.col(item).isNotNull()).select(
+        F.col(basket).alias("basket"), F.col(item).alias("item"), F.col(amount).alias("amount")
     )
-    parts = _parts(rows)
+    parts = _tasks(rows.count())
     lots = rows.withColumn("lot", F.pmod(F.xxhash64("amount"), F.lit(16))).repartition(parts, "basket", "item", "lot")
     sums = lots.groupBy("basket", "item", "lot").agg(
         F.count(F.lit(1)).alias("purchases"), F.sum("amount").alias("amount"), F.count("amount").alias("amounts")
@@ -45,11 +43,18 @@ def pairs_of(items: DataFrame, rows_per_part: int = 1_000) -> DataFrame:
 
     A basket of n items is worked on by ceil(n / rows_per_part) tasks: its left side is spread by
     item and its right side is repeated for each part.  Matches go straight into a partial
-    aggregate; no pair is shuffled before that.  A task joins a bounded number of rows.
+    aggregate; no pair is shuffled before that.  A task counts and joins a bounded number of rows;
+    the few baskets that are cut are stored, so that the others need no shuffle to meet them.
     """
-    sizes = items.groupBy("basket").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_part)).alias("parts"))
-    sized = materialize(items.join(sizes.where(F.col("parts") > 1), "basket", "left").fillna(1, ["parts"]))
-    tasks = _parts(sized)
+    rows = items.count()
+    tasks = _tasks(rows)
+    sizes = items.repartition(tasks, "basket").groupBy("basket").agg(F.count(F.lit(1)).alias("size"))
+    cut = materialize(
+        sizes.where(F.col("size") > rows_per_part).withColumn("parts", F.ceil(F.col("size") / F.lit(rows_per_part)))
+    )
+    repeated = cut.agg(F.sum(F.col("size") * (F.col("parts") - 1))).first()[0] or 0
+    sized = items.join(cut.drop("size").repartition(tasks, "basket"), "basket", "left").fillna(1, ["parts"])
+    tasks = _tasks(rows + repeated)
     left = sized.select(
         "basket",
         F.pmod(F.xxhash64("item"), F.col("parts")).alias("salt"),
@@ -83,10 +88,29 @@ def frequent_pairs(items: DataFrame, min_support: int) -> DataFrame:
     An item in fewer baskets than that cannot belong to such a pair and is left out
     before pairs are formed.
     """
-    per_item = items.groupBy("item").agg(F.count(F.lit(1)).alias("baskets"))
-    common = per_item.where(F.col("baskets") >= min_support).select("item")
-    kept = items.join(common, "item", "left_semi")
-    return pairs_of(kept).where(F.col("baskets_with_both") >= min_support)
+    return _frequent_pairs(items, _per_item(items), min_support)
+
+
+def _per_item(items: DataFrame) -> DataFrame:
+    """The number of baskets of every item, stored, so that Spark knows if it is small."""
+    return materialize(items.groupBy("item").agg(F.count(F.lit(1)).alias("baskets")), _tasks(items.count()))
+
+
+def _frequent_pairs(items: DataFrame, per_item: DataFrame, min_support: int) -> DataFrame:
+    """Rows of an item in more baskets than a task has room for are dealt to several tasks; such items are few."""
+    tasks = _tasks(items.count())
+    lots = per_item.withColumn("lots", F.ceil(F.col("baskets") / F.lit(TASK_ROWS)))
+    common = lots.where(F.col("baskets") >= min_support).select(
+        "item", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1)).alias("lot")
+    )
+    crowded = lots.where(F.col("lots") > 1).select("item", "lots")
+    dealt = (
+        items.join(F.broadcast(crowded), "item", "left")
+        .fillna(1, ["lots"])
+        .withColumn("lot", F.pmod(F.xxhash64("basket"), F.col("lots")))
+    )
+    kept = dealt.join(common.repartition(tasks, "item", "lot"), ["item", "lot"], "left_semi")
+    return pairs_of(materialize(kept.drop("lots", "lot"))).where(F.col("baskets_with_both") >= min_support)
 
 
 def affinity(
@@ -99,8 +123,8 @@ def affinity(
 ) -> DataFrame:
     """Support, confidence in both directions, lift and strength label of item pairs."""
     items = materialize(basket_items(df, basket, item, amount))
-    per_item = items.groupBy("item").agg(F.count(F.lit(1)).alias("baskets"))
-    all_baskets = items.agg(F.count_distinct("basket")).scalar()
+    per_item = _per_item(items)
+    all_baskets = items.repartition(_tasks(items.count()), "basket").agg(F.count_distinct("basket")).scalar()
     a = per_item.select(F.col("item").alias("item_a"), F.col("baskets").alias("baskets_a"))
     b = per_item.select(F.col("item").alias("item_b"), F.col("baskets").alias("baskets_b"))
     both = "baskets_with_both"
@@ -109,7 +133,7 @@ def affinity(
         "CAST(baskets_a AS DOUBLE) * CAST(baskets_b AS DOUBLE)",
     )
     return (
-        frequent_pairs(items, min_support)
+        _frequent_pairs(items, per_item, min_support)
         .join(a, "item_a")
         .join(b, "item_b")
         .withColumn("all_baskets", all_baskets)
