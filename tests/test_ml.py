@@ -240,3 +240,45 @@ def test_bins_of_few_and_of_no_values(spark):
     even = spark.range(1_000).union(spark.range(500)).select(F.col("id").alias("a"))
     assert fit_bins(even, ["a"], 3).getSplitsArray()[0][1:-1] == [250.0, 500.0]
     assert bins.transform(df).count() == 5
+
+
+def _wide(spark, n=60_000):
+    """Rows of some ten thousand combinations, with gaps."""
+    h = {c: F.pmod(F.xxhash64("id", F.lit(c)), F.lit(32)) for c in "xyz"}
+    rows = spark.range(n).select("id", *[F.when(v != 31, v.cast("int")).alias(c) for c, v in h.items()])
+    colour = F.when(F.col("id") % 3 > 0, F.when(F.col("id") % 3 > 1, "red").otherwise("blue"))
+    target = F.when((F.coalesce("x", F.lit(0)) + F.col("id") % 7) > 20, "Yes").otherwise("No")
+    return rows.withColumns({"colour": colour, "target": target})
+
+
+WIDE = classifiers.ForestSpec("target", ("colour",), ("x", "y", "z"), trees=4, depth=3, draws=20_000)
+
+
+def _joins(df):
+    import re
+
+    df.collect()
+    return set(re.findall(r"(?:SortMerge|ShuffledHash|BroadcastHash|BroadcastNestedLoop)Join", df._jdf.queryExecution().toString()))
+
+
+def test_many_outputs_of_a_forest_are_not_broadcast(spark):
+    """However small their files are, the driver holds none of them; a few are broadcast."""
+    df = _wide(spark)
+    model = classifiers.train(df, WIDE)
+    each = classifiers.score_rows(model, df, WIDE, "id").select("id", "label", "probability", "prediction", WIDE.predicted)
+    assert _joins(each) == {"SortMergeJoin"}
+    assert sorted(each.collect()) == sorted(model.transform(df).select(*each.columns).collect())
+    assert _joins(classifiers.score_rows(model, df.where("id < 1000"), WIDE, "id")) == {"BroadcastHashJoin"}
+
+
+def test_combinations_of_columns_as_numbers(spark):
+    """Also where one BIGINT does not tell them all, and for NULL."""
+    sizes = {"a": 3, "b": 2**62, "c": 2**60, "d": 4, "e": 2**63 - 1}
+    numbers = classifiers._numbers(sizes)
+    assert list(numbers.values()) == [["a"], ["b"], ["c", "d"], ["e"]]
+    rows = [(0, 2**53 - 1, 2**53 - 2, 2, None), (1, None, 7, None, 5), (None, 0, None, 0, 2**53), (None, None, None, None, None)]
+    df = spark.createDataFrame([tuple(x if x is None else float(x) for x in r) for r in rows], "a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE, e DOUBLE")
+    packed = df.select(*[classifiers._number({c: sizes[c] for c in of}).alias(n) for n, of in numbers.items()])
+    for n, of in numbers.items():
+        packed = packed.withColumns(classifiers._places(n, {c: sizes[c] for c in of}))
+    assert sorted(map(tuple, packed.select(*sizes).collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
