@@ -282,3 +282,39 @@ def test_combinations_of_columns_as_numbers(spark):
     for n, of in numbers.items():
         packed = packed.withColumns(classifiers._places(n, {c: sizes[c] for c in of}))
     assert sorted(map(tuple, packed.select(*sizes).collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("query", ["train_promo"])
+def test_keys_of_many_products_are_not_broadcast(spark, tmp_path, query):
+    """Their files are under the limit and their rows are not: no join of the promo queries hands them to the driver."""
+    import re
+
+    from tillsight.catalog import QUERIES
+    from tillsight.sources.retail import TABLE_SCHEMAS
+
+    def value(name, kind):
+        if name in ("c_custkey", "o_orderkey", "p_partkey", "n_nationkey"):
+            return F.col("id").cast(kind)
+        keys = {"o_custkey": 500, "l_orderkey": 5_000, "l_partkey": 60_000, "c_nationkey": 25}
+        drawn = F.pmod(F.xxhash64("id", F.lit(name)), F.lit(keys.get(name, 1_000)))
+        if kind == "DOUBLE":
+            return drawn / 10_000
+        return F.lit("1995-01-01").cast(kind) if kind == "TIMESTAMP_NTZ" else F.lit("x") if kind == "STRING" else drawn.cast(kind)
+
+    rows = {"nation": 25, "customer": 500, "orders": 5_000, "part": 60_000, "lineitem": 20_000}
+    for name, n in rows.items():
+        columns = [c.split() for c in TABLE_SCHEMAS[name].split(", ")]
+        spark.range(n).select(*[value(c, kind).alias(c) for c, kind in columns]).write.parquet(f"{tmp_path}/{name}.parquet")
+    store = spark._jsparkSession.sharedState().statusStore()
+    earlier = store.executionsCount()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200k")
+    try:
+        assert QUERIES[query](spark, str(tmp_path)).first()[0] is not None
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "200k"
+        assert spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    plans = [store.executionsList().apply(i).physicalPlanDescription() for i in range(store.executionsCount())][earlier:]
+    assert any("p_partkey" in p for p in plans)
+    assert not [p for p in plans if re.search(r"BroadcastExchange\s+Input \[\d+\]: \[p_partkey", p)]
