@@ -284,7 +284,7 @@ def test_combinations_of_columns_as_numbers(spark):
     assert sorted(map(tuple, packed.select(*sizes).collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("query", ["train_promo", "model_roundtrip"])
+@pytest.mark.parametrize("query", ["train_promo", "model_roundtrip", "train_promo_rules"])
 def test_keys_of_many_products_are_not_broadcast(spark, tmp_path, query):
     """Their files are under the limit and their rows are not: no join of the promo queries hands them to the driver."""
     import re
